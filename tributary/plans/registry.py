@@ -230,7 +230,6 @@ def damaged_landing(ws: Workspace, name: str):
     ):
         landing.land(lake, change(rows.where(F.col("dt") == date)), "campaign", "changes", RELANDED_AT, "json", seq="seq")
     rewrite(SHORT, lambda df: df.where("op <> 'D'"))
-    rewrite(NO_MANIFEST, lambda df: df)
     _drop_control(lake, "manifests", landing.MANIFEST, F.col("dt") == NO_MANIFEST)
     # The short drop keeps honest checksums, so only the row count can expose it.
     _drop_control(lake, "checksums", landing.CHECKSUM, F.col("dt") == SHORT)
