@@ -76,7 +76,7 @@ class Lake:
     def exists(self, layer: str, *parts: str) -> bool:
         return self.files.has_data(self.path(layer, *parts))
 
-    def read(self, layer: str, *parts: str, schema: StructType | None = None) -> DataFrame:
+    def read(self, layer: str, *parts: str, schema: StructType | str | None = None) -> DataFrame:
         reader = self.spark.read.schema(schema) if schema else self.spark.read
         return reader.parquet(self.path(layer, *parts))
 

@@ -150,9 +150,13 @@ def relink_unknown(df: DataFrame, xwalk: DataFrame, source: str, key: str) -> Da
     return known.unionByName(unknown_member(resolve_identity(waiting, xwalk, source, key)).select(*df.columns))
 
 
-def erase_customers(table: DataFrame, erased: DataFrame) -> DataFrame:
-    """IDN-11: the table without the given customers; unresolved rows stay."""
-    return table.join(erased.select("customer_id").distinct(), "customer_id", "left_anti")
+def erase_customers(table: DataFrame, erased: DataFrame, **skew) -> DataFrame:
+    """IDN-11: the table without the given customers; unresolved rows stay.
+
+    An outer join with a flag instead of an anti join: it can spread NULL and hot customers.
+    """
+    gone = erased.select(F.col("customer_id").alias("_gone_id")).distinct().withColumn("_gone", F.lit(True))
+    return skew_safe_join(table, gone, "customer_id", "_gone_id", **skew).where(F.col("_gone").isNull()).drop("_gone")
 
 
 def primary_link(disp: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -13,6 +13,7 @@ from ..lake import Lake
 from .promotion import read_ledger
 
 TARGET_FILE_BYTES = 256 * 1024 * 1024
+MAX_BROADCAST_ROWS = 100_000
 
 
 def file_stats(lake: Lake, layer: str, *parts: str) -> dict[str, tuple[int, int]]:
@@ -68,6 +69,8 @@ def compact(
     values = [tuple(unquote(f.rsplit(f"{c}=", 1)[1].split("/")[0]) for c in partition_by) + (n,) for f, n in crowded.items()]
     names = [f"_p{i}" for i in range(len(partition_by))]
     sizes = lake.spark.createDataFrame(values, ", ".join(f"{n} string" for n in names) + ", _files int")
+    if len(values) <= MAX_BROADCAST_ROWS:
+        sizes = F.broadcast(sizes)
     same = [staged[c].cast("string") == sizes[n] for c, n in zip(partition_by, names)]
     placed = staged.join(sizes, same, "left").withColumn("_file", F.pmod(row, F.coalesce("_files", F.lit(1))))
     placed = placed.repartition(total, *[F.col(c) for c in partition_by], F.col("_file")).drop(*names, "_files", "_file")

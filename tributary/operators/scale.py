@@ -14,10 +14,11 @@ MAX_HOT_KEYS = 10_000
 TRACKED_KEYS = 100_000
 NULL_SPREAD = 1024
 ONE_TASK_BYTES = 256 * 1024 * 1024
+BROADCAST_BYTES = 10 * 1024 * 1024
 
 
 def estimated_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate; file sizes for a plain scan, an upper guess after joins."""
+    """The optimizer's size estimate: file sizes for a plain scan, an upper guess after joins, huge when unknown."""
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
@@ -47,17 +48,21 @@ def skew_safe_join(
     how: str = "left",
     rows_per_task: int = ROWS_PER_TASK,
     small_bytes: int = ONE_TASK_BYTES,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Equi-join in which one left key, or NULL, may hold a large share of all rows.
 
-    A left side that a single task can take needs no care and is joined as it is. Else
-    hot keys are salted in proportion to their size and their right rows repeated once
-    per salt; NULL keys never match and are spread by row hash. Salting changes where
-    rows meet, never which rows meet. The right key column is dropped.
+    A right side whose size is known to be small is broadcast, so the left side does not
+    move at all. A left side that a single task can take is joined as it is. Else hot
+    keys are salted in proportion to their size and their right rows repeated once per
+    salt; NULL keys never match and are spread by row hash. Salting changes where rows
+    meet, never which rows meet. The right key column is dropped.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"unsupported join type {how!r}")
     keyed = right.withColumnRenamed(right_key, "_right_key")
+    if estimated_bytes(right) <= broadcast_bytes:
+        return left.join(F.broadcast(keyed), F.col(left_key) == F.col("_right_key"), how).drop("_right_key")
     if estimated_bytes(left) <= small_bytes:
         return left.join(keyed, F.col(left_key) == F.col("_right_key"), how).drop("_right_key")
     hot = hot_keys(left, left_key, rows_per_task)

@@ -183,7 +183,11 @@ def cross_sell(
     """
     healthy = balances.where(F.col("current_balance_myr") >= threshold(thresholds, "balance_p50"))
     deposits = (
-        bridge.where("customer_id is not null").join(healthy.select("account_id", "current_balance_myr"), "account_id")
+        skew_safe_join(
+            bridge.where("customer_id is not null"),
+            healthy.select(F.col("account_id").alias("_account"), "current_balance_myr"),
+            "account_id", "_account", "inner",
+        )
         .join(customers.select("customer_id"), "customer_id", "left_semi")
     )
     cards = txns.where("source_system = 'paysim'").select("customer_id").where("customer_id is not null").distinct()

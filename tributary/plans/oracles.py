@@ -369,7 +369,7 @@ CHECKS = {
         WHERE CAST(c_custkey AS VARCHAR) NOT IN (SELECT pk_value FROM change_log)
         UNION ALL SELECT pk_value, label, amount FROM last_change WHERE op <> 'D'""",
     "conform_table_spec": """
-        SELECT 'trans' AS table_name, count(*) AS row_count, count(partner_account) AS masked_values, 0 AS unmasked_values FROM trans
+        SELECT 'trans' AS table_name, count(*) AS row_count, count(partner_account) AS masked_values, CAST(0 AS BIGINT) AS unmasked_values FROM trans
         UNION ALL SELECT 'previous', count(*), 0, 0 FROM previous_application""",
     "active_rows": """
         SELECT sk_id_curr, CAST(amt_income_total AS DOUBLE) AS amt_income_total, is_deleted FROM application WHERE NOT is_deleted""",
@@ -402,7 +402,7 @@ CHECKS = {
                    UNION ALL SELECT 'bridge', customer_id FROM bridge)
         SELECT table_name, count(*) AS rows_before,
                count(*) FILTER (customer_id IS NULL OR customer_id NOT IN (SELECT customer_id FROM gone)) AS rows_after,
-               0 AS rows_of_erased FROM tables GROUP BY table_name""",
+               CAST(0 AS BIGINT) AS rows_of_erased FROM tables GROUP BY table_name""",
     # ------------------------------------------------------------ dimensions and facts
     "dim_date": """
         SELECT CAST(d AS DATE) AS date_key, CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER) AS month,
@@ -527,7 +527,7 @@ CHECKS = {
     "topk_customers": "SELECT * FROM overview ORDER BY total_txn_value DESC, customer_id LIMIT 20",
     # ------------------------------------------------------------ quality
     "dq_currency_tags": """
-        SELECT 'card_txn' AS table_name, 'amount' AS money_column, 0 AS untagged UNION ALL SELECT 'card_txn', 'newbalance', 0
+        SELECT 'card_txn' AS table_name, 'amount' AS money_column, CAST(0 AS BIGINT) AS untagged UNION ALL SELECT 'card_txn', 'newbalance', 0
         UNION ALL SELECT 'trans', 'amount', count(*) FROM trans WHERE type = 'VYBER'
         UNION ALL SELECT 'trans', 'balance', count(*) FROM trans WHERE type = 'VYBER'
         UNION ALL SELECT 'application', 'amt_income_total', 0

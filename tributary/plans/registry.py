@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import as_double, decode_birth_number, mask_last4, stable_row_id
 from ..operators import conform, control, identity, maintenance, prepare, promotion, quality, upsert
-from ..schemas import SERVING, conform_to, schema, schema_drift
+from ..schemas import HEALTH, SERVING, conform_to, schema, schema_drift
 from ..sources import files, landing, pulls
 from ..streaming import jobs
 from . import marts, star
@@ -20,7 +20,7 @@ CORE_AS_OF = "2001-08-01"
 CUTOVER = "1999-01-01"
 LANDED_AT = "2024-02-01 00:00:00"
 RELANDED_AT = "2024-02-02 00:00:00"
-CHANGES = schema("seq bigint, op string, pk_value string, changed_at string, label string, amount double")
+CHANGES = schema(seq="long", op="string", pk_value="string", changed_at="string", label="string", amount="double")
 
 # Dates whose landed drop is damaged on purpose after landing.
 NO_MARKER, EDITED, EXTRA_COLUMN, RETYPED, SHORT, NO_MANIFEST = (
@@ -121,7 +121,7 @@ def delimited_scan(ws):
     lake = ws.scratch("delimited")
     path = lake.path("landing", "legacy", "customer")
     ws.entities.table("customer").write.option("header", True).option("sep", ";").option("quoteAll", True).csv(path)
-    declared = schema("c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string")
+    declared = schema(c_custkey="long", c_name="string", c_nationkey="integer", c_acctbal="double", c_mktsegment="string")
     return files.read_delimited(ws.spark, path, ["c_custkey", "c_acctbal"], declared)
 
 
@@ -170,8 +170,8 @@ def upsert_single_key(ws):
         F.col("customer_key").alias("pk_value"), "label", "amount", F.lit("2023-01-01").cast("timestamp_ntz").alias("updated_at")
     )
     changes = ws.entities.change_log().select("pk_value", "label", "amount", F.col("changed_at").alias("updated_at"))
-    upsert.upsert(lake, baseline, "state", ["pk_value"], "run-1")
-    upsert.upsert(lake, changes, "state", ["pk_value"], "run-2")
+    upsert.upsert(lake, baseline, "state", ["pk_value"], "run-1", buckets=16)
+    upsert.upsert(lake, changes, "state", ["pk_value"], "run-2", buckets=16)
     return upsert.read_upserted(lake, "state")
 
 
@@ -181,8 +181,8 @@ def upsert_composite_key(ws):
     lines = ws.entities.table("lineitem").withColumnRenamed("l_shipdate", "updated_at")
     tiebreak = ("l_partkey", "l_suppkey", "l_extendedprice")
     keys = ["l_orderkey", "l_linenumber"]
-    upsert.upsert(lake, lines.where("l_returnflag <> 'R'"), "lines", keys, "run-1", tiebreak=tiebreak)
-    upsert.upsert(lake, lines.where("l_returnflag = 'R'"), "lines", keys, "run-2", tiebreak=tiebreak)
+    upsert.upsert(lake, lines.where("l_returnflag <> 'R'"), "lines", keys, "run-1", buckets=16, tiebreak=tiebreak)
+    upsert.upsert(lake, lines.where("l_returnflag = 'R'"), "lines", keys, "run-2", buckets=16, tiebreak=tiebreak)
     return upsert.read_upserted(lake, "lines").select(
         "l_orderkey", "l_linenumber", "l_returnflag", "l_extendedprice", "l_partkey", "updated_at"
     )
@@ -241,7 +241,7 @@ def damaged_landing(ws: Workspace, name: str):
 def _drop_control(lake, topic: str, ddl: str, gone) -> None:
     kept = lake.spark.read.schema(ddl).parquet(lake.path("control", topic)).where(~gone)
     lake.write_snapshot(kept, "staging", "control", topic)
-    lake.write_snapshot(lake.read("staging", "control", topic, schema=schema(ddl)), "control", topic)
+    lake.write_snapshot(lake.read("staging", "control", topic, schema=ddl), "control", topic)
 
 
 def _all_dates(lake) -> list[str]:
@@ -460,7 +460,7 @@ def conform_table_spec(ws):
     counts = None
     for spec, bronze in specs:
         rows = conform.clean(conform.conform_spec(bronze, spec))
-        upsert.upsert(lake, rows, spec.name, list(spec.keys), "run-1", tiebreak=spec.keys)
+        upsert.upsert(lake, rows, spec.name, list(spec.keys), "run-1", buckets=16, tiebreak=spec.keys)
         table = upsert.read_upserted(lake, spec.name)
         masked = F.count_if(F.length(spec.mask[0]) > 4) if spec.mask else F.lit(0).cast("bigint")
         shown = F.count(spec.mask[0]) if spec.mask else F.lit(0).cast("bigint")
@@ -757,8 +757,8 @@ def source_health(ws):
     control.record_state(lake, "marks", counts.select(F.col("table_name").alias("key"), F.col("mark").cast("string").alias("value"), written))
     control.record_state(lake, "stages", counts.select(F.col("table_name").alias("key"), F.lit("success").alias("value"), written))
     health = marts.source_health(counts.drop("mark"), control.read_state(lake, "marks"), control.read_state(lake, "stages"))
-    lake.append(health.withColumn("run_id", F.lit("run-1")), "gold", "source_health")
-    return lake.read("gold", "source_health")
+    lake.append(conform_to(health.withColumn("run_id", F.lit("run-1")), HEALTH), "gold", "source_health")
+    return lake.read("gold", "source_health", schema=HEALTH)
 
 
 @query

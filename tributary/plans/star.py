@@ -20,8 +20,14 @@ FX_RATES = [
 
 
 def fx_rates(spark: SparkSession) -> DataFrame:
-    """GLD-02: the one place a rate comes from."""
-    raw = spark.createDataFrame(FX_RATES, "currency_code string, rate_to_myr string, rate_as_of string, note string")
+    """GLD-02: the one place a rate comes from.
+
+    An inline table, not a parallelized list: the optimizer knows how small it is.
+    """
+    values = ", ".join(
+        f"('{code}', {rate or 'null'}, date'{day}', '{note}')" for code, rate, day, note in FX_RATES
+    )
+    raw = spark.sql(f"select * from values {values} as t(currency_code, rate_to_myr, rate_as_of, note)")
     return raw.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in FX_RATE])
 
 
@@ -41,13 +47,14 @@ def dim_date(spark_range: DataFrame) -> DataFrame:
 def to_reporting_currency(df: DataFrame, amount: str, currency: str, out: str, fx: DataFrame) -> DataFrame:
     """GLD-03: add the converted amount; unknown or NULL rates give NULL, the native amount stays.
 
-    No hint: Spark broadcasts the rate table as long as its measured size allows it.
+    Few currencies share all rows, so a shuffle by currency would be badly skewed: the
+    rates are broadcast after a check of their size, or joined with salted keys.
     """
     rates = fx.select(F.col("currency_code").alias("_code"), "rate_to_myr")
     return (
-        df.join(rates, F.col(currency) == F.col("_code"), "left")
+        skew_safe_join(df, rates, currency, "_code")
         .withColumn(out, (F.col(amount).cast(MONEY) * F.col("rate_to_myr")).cast("decimal(28,6)"))
-        .drop("_code", "rate_to_myr")
+        .drop("rate_to_myr")
     )
 
 

@@ -9,28 +9,30 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
-def schema(ddl: str) -> StructType:
-    return StructType.fromDDL(ddl)
+def schema(**columns: str) -> StructType:
+    """Column names and type names; needs no running session."""
+    declared = StructType()
+    for name, kind in columns.items():
+        declared = declared.add(name, kind)
+    return declared
 
 
-CROSSWALK = schema("customer_id string, source_system string, native_key string, source_priority_rank int")
-FX_RATE = schema("currency_code string, rate_to_myr decimal(10,4), rate_as_of date, note string")
-CHANGE_EVENT = schema("seq bigint, op string, pk_value string, changed_at timestamp_ntz, label string, amount double")
-CONTROL_STATE = schema("key string, value string, written_at timestamp_ntz")
-RUN_LEDGER = schema(
-    "run_id string, source string, table_name string, bronze_row_count bigint, silver_row_count bigint, "
-    "last_watermark string, reconciled boolean, stage_status string"
+FX_RATE = schema(currency_code="string", rate_to_myr="decimal(10,4)", rate_as_of="date", note="string")
+CONTROL_STATE = schema(key="string", value="string", written_at="timestamp_ntz")
+HEALTH = schema(
+    table_name="string", bronze_row_count="long", silver_row_count="long", last_watermark="string",
+    stage_status="string", reconciled="boolean", run_id="string",
 )
 
 # Serving contracts: what an analyst sees of each Gold table.
 SERVING = {
     "fact_txn": schema(
-        "txn_id string, customer_id string, txn_ts timestamp_ntz, txn_type string, amount double, currency string, "
-        "is_fraud boolean, source_system string, amount_myr double, txn_year int, txn_month int"
+        txn_id="string", customer_id="string", txn_ts="timestamp_ntz", txn_type="string", amount="double", currency="string",
+        is_fraud="boolean", source_system="string", amount_myr="double", txn_year="integer", txn_month="integer",
     ),
     "fact_loan_application": schema(
-        "customer_id string, sk_id_curr string, target int, amt_income_total double, name_income_type string, "
-        "created_at timestamp_ntz"
+        customer_id="string", sk_id_curr="string", target="integer", amt_income_total="double", name_income_type="string",
+        created_at="timestamp_ntz",
     ),
 }
 

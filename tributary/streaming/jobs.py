@@ -72,16 +72,18 @@ def apply_changes(lake: Lake, events: DataFrame, table: str, run_id: str, bucket
     the same events again changes nothing.
     """
     changes = with_bucket(last_changes(events), ["pk_value"], buckets)
+    if not lake.exists("silver", table):
+        lake.overwrite_partitions(changes, "silver", table, partition_by=[BUCKET])
+        return
     staging = ("staging", table, run_id)
-    lake.write_snapshot(changes, *staging, "changes", partition_by=[BUCKET])
+    lake.write_snapshot(changes, *staging, "changes")
     staged = lake.read(*staging, "changes", schema=changes.schema)
-    if lake.exists("silver", table):
-        touched = staged.select(BUCKET).distinct()
-        current = lake.read("silver", table).join(F.broadcast(touched), BUCKET, "left_semi")  # at most `buckets` rows
-        merged = latest_per_key(current.unionByName(staged), [BUCKET, "pk_value"], [F.col("seq").desc()])
-        lake.write_snapshot(merged, *staging, "merged", partition_by=[BUCKET])
-        staged = lake.read(*staging, "merged", schema=merged.schema)
-    lake.overwrite_partitions(staged, "silver", table, partition_by=[BUCKET])
+    touched = F.broadcast(staged.select(BUCKET).distinct())  # at most `buckets` rows
+    current = lake.read("silver", table).join(touched, BUCKET, "left_semi")
+    merged = latest_per_key(current.unionByName(staged), [BUCKET, "pk_value"], [F.col("seq").desc()])
+    lake.write_snapshot(merged, *staging, "merged")
+    merged = lake.read(*staging, "merged", schema=merged.schema)
+    lake.overwrite_partitions(merged, "silver", table, partition_by=[BUCKET])
 
 
 def current_state(lake: Lake, table: str) -> DataFrame:
