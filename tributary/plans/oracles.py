@@ -314,7 +314,7 @@ CHECKS = {
         SELECT dt, promised AS rows_promised, found AS rows_found, promised = found AS reconciled
         FROM (SELECT dt, CASE WHEN dt <> '2024-01-25' THEN count(*) END AS promised,
                      count(*) FILTER (NOT (dt = '2024-01-21' AND op = 'D')) AS found FROM change_log GROUP BY dt)""",
-    "schema_drift_report": """
+    "schema_drift": """
         SELECT column_name, change, (SELECT count(*) FROM orders) AS rows_held_back
         FROM (VALUES ('o_orderpriority', 'removed'), ('o_channel', 'added'), ('o_totalprice', 'retyped')) AS t(column_name, change)""",
     "promote_landing": "SELECT seq, op, pk_value, label, amount, dt FROM change_log WHERE dt NOT IN (SELECT dt FROM damaged)",
@@ -344,7 +344,7 @@ CHECKS = {
     "conform_campaign": """
         SELECT campaign_row, job, marital, education, credit_in_default, CAST(balance AS DOUBLE) AS avg_yearly_balance,
                poutcome AS prior_campaign_outcome, subscribed AS subscribed_term_deposit, currency, created_at FROM campaign_keyless""",
-    "mask_last4_columns": """
+    "mask_last4": """
         SELECT c_custkey, CAST(c_custkey AS VARCHAR) AS account_no, right(c_name, 4) AS c_name,
                CASE WHEN length(CAST(c_custkey AS VARCHAR)) >= 4 THEN right(CAST(c_custkey AS VARCHAR), 4) END AS account_no_last4
         FROM customer""",
@@ -606,7 +606,7 @@ CHECKS = {
                CAST(o_orderdate AS DATE) + CAST(DATE '2026-07-05' - (SELECT CAST(max(o_orderdate) AS DATE) FROM orders) AS INTEGER) AS rebased_date
         FROM orders""",
     "step_to_timestamp": "SELECT event_id, TIMESTAMP '2026-06-01' + to_hours(event_id % 744 + 1) AS txn_ts FROM events",
-    "stable_row_ids": """
+    "stable_row_id": """
         SELECT event_id, substr(d, 1, 8) || '-' || substr(d, 9, 4) || '-5' || substr(d, 14, 3) || '-'
                || substr('89ab', CAST('0x' || substr(d, 17, 1) AS INTEGER) % 4 + 1, 1) || substr(d, 18, 3) || '-' || substr(d, 21, 12) AS row_id
         FROM (SELECT event_id, sha1(unhex('6ba7b8109dad11d180b400c04fd430c8') || encode('events|' || CAST(event_id AS VARCHAR))) AS d FROM events)""",

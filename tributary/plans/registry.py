@@ -31,7 +31,8 @@ QUERIES: dict[str, Callable[[Workspace], DataFrame]] = {}
 
 
 def query(fn: Callable[[Workspace], DataFrame]) -> Callable[[Workspace], DataFrame]:
-    QUERIES[fn.__name__] = fn
+    """Register under the function's name; a trailing underscore only avoids an import's name."""
+    QUERIES[fn.__name__.removesuffix("_")] = fn
     return fn
 
 
@@ -270,7 +271,7 @@ def rowcount_reconcile(ws):
 
 
 @query
-def schema_drift_report(ws):
+def schema_drift_(ws):
     """The drift of a new drop of orders against the last good Bronze schema."""
     lake = ws.scratch("drift")
     orders = ws.entities.table("orders")
@@ -365,7 +366,7 @@ def conform_campaign(ws):
 
 
 @query
-def mask_last4_columns(ws):
+def mask_last4_(ws):
     customers = ws.entities.table("customer").select("c_custkey", F.col("c_custkey").cast("string").alias("account_no"), "c_name")
     return customers.withColumns(
         {"account_no_last4": mask_last4(F.col("account_no")), "c_name": mask_last4(F.col("c_name"))}
@@ -949,7 +950,7 @@ def step_to_timestamp(ws):
 
 
 @query
-def stable_row_ids(ws):
+def stable_row_id_(ws):
     """Ids from natural columns; the audit columns show they are unique and repeatable."""
     return ws.entities.table("events").select("event_id", stable_row_id(F.lit("events"), F.col("event_id")).alias("row_id"))
 
