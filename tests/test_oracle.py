@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as entry_file
 import parity
+from tributary.operators import scale
 
 SF_DIR = f"/root/testdata/sf{os.environ.get('PARITY_SF', '0.001')}"
 
@@ -20,3 +21,10 @@ def duck():
 @pytest.mark.parametrize("key", sorted(entry_file.queries()))
 def test_matches_sql(spark, duck, key):
     assert parity.differences(entry_file.queries()[key](spark, SF_DIR), duck, entry_file.oracle_sql()[key]) == []
+
+
+@pytest.mark.parametrize("key", ["fact_txn", "fact_card_fraud", "orphan_rejects", "to_reporting_currency", "quarantine_write", "fraud_followup_events"])
+def test_matches_sql_with_salting_forced(spark, duck, key, monkeypatch):
+    """Small thresholds send the same queries down the paths meant for large, skewed tables."""
+    monkeypatch.setattr(scale.skew_safe_join, "__defaults__", ("left", 20, 0, 0, None))
+    assert parity.differences(entry_file.queries()[key](spark, SF_DIR), duck, entry_file.oracle_sql()[key]) == []

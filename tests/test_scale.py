@@ -27,6 +27,14 @@ def test_skew_safe_join_equals_plain_join(spark, how):
     assert salted.columns == plain.columns
 
 
+def test_weights_only_steer_the_salting(spark):
+    left = spark.range(300).select(F.when(F.col("id") % 2 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"))
+    right = spark.createDataFrame([("hot", 1), ("3", 2)], "rk string, w int")
+    misleading = spark.createDataFrame([("3",)] * 50, "other string")
+    salted = scale.skew_safe_join(left, right, "k", "rk", rows_per_task=5, small_bytes=0, broadcast_bytes=0, weights=(misleading, "other"))
+    assert rows(salted) == rows(left.join(right, F.col("k") == F.col("rk"), "left").drop("rk"))
+
+
 def test_hot_keys_are_split_in_proportion(spark):
     df = spark.range(1000).select(F.when(F.col("id") < 600, 1).otherwise(F.col("id")).alias("k"))
     assert rows(scale.hot_keys(df, "k", 100)) == [(1, 6)]

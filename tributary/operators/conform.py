@@ -182,8 +182,8 @@ class TableSpec:
 
 def conform_spec(df: DataFrame, spec: TableSpec, parent: DataFrame | None = None) -> DataFrame:
     """Mask, dedup and tag orphans as the spec says; split with ``clean`` and ``rejects``."""
-    df = df.withColumns({c: mask_last4(F.col(c)) for c in spec.mask if c in df.columns})
-    df = dedup_latest(df, spec.keys, tiebreak=spec.tiebreak)
+    masked = df.withColumns({c: mask_last4(F.col(c)) for c in spec.mask if c in df.columns})
+    latest = dedup_latest(masked, spec.keys, tiebreak=spec.tiebreak)
     if spec.fk is None or parent is None:
-        return df.withColumn(VERDICT, F.lit(None).cast("string"))
-    return tag_orphans(df, spec.fk, parent, spec.parent_key or spec.fk)
+        return latest.withColumn(VERDICT, F.lit(None).cast("string"))
+    return tag_orphans(latest, spec.fk, parent, spec.parent_key or spec.fk, weights=(df, spec.fk))

@@ -100,7 +100,7 @@ def resolve_identity_private(
     """
     lookup = raw.groupBy(F.col(row_id).alias("_row")).agg(F.max(raw_key).alias("_raw"))
     keyed = masked.join(lookup, F.col(row_id) == F.col("_row"), "left").drop("_row")
-    return resolve_identity(keyed, xwalk, source, "_raw", **skew).drop("_raw")
+    return resolve_identity(keyed, xwalk, source, "_raw", weights=(raw, raw_key), **skew).drop("_raw")
 
 
 def primary_owner(disp: DataFrame, relation: str = "OWNER") -> DataFrame:

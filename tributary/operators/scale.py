@@ -49,6 +49,7 @@ def skew_safe_join(
     rows_per_task: int = ROWS_PER_TASK,
     small_bytes: int = ONE_TASK_BYTES,
     broadcast_bytes: int = BROADCAST_BYTES,
+    weights: tuple[DataFrame, str] | None = None,
 ) -> DataFrame:
     """Equi-join in which one left key, or NULL, may hold a large share of all rows.
 
@@ -65,7 +66,9 @@ def skew_safe_join(
         return left.join(F.broadcast(keyed), F.col(left_key) == F.col("_right_key"), how).drop("_right_key")
     if estimated_bytes(left) <= small_bytes:
         return left.join(keyed, F.col(left_key) == F.col("_right_key"), how).drop("_right_key")
-    hot = hot_keys(left, left_key, rows_per_task)
+    measured, key = weights or (left, left_key)
+    kind = left.schema[left_key].dataType
+    hot = hot_keys(measured.select(F.col(key).cast(kind).alias("_key")), "_key", rows_per_task)
     spread = F.xxhash64(*[F.col(c) for c in left.columns])
     salt = (
         F.when(F.col(left_key).isNull(), F.pmod(spread, F.lit(NULL_SPREAD)))

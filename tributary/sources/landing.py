@@ -21,16 +21,19 @@ def _dt_of(path: str) -> str:
 
 
 def land(
-    lake: Lake, df: DataFrame, source: str, table: str, written_at: str, fmt: str = "parquet", seq: str | None = None
+    lake: Lake, df: DataFrame, source: str, table: str, written_at: str, fmt: str = "parquet", seq: str | None = None,
+    dates: Sequence[str] | None = None,
 ) -> list[str]:
     """SNK-01: write ``dt=`` partitions, then their manifests, then the markers.
 
     Partitions present in ``df`` are replaced, so a re-run of a date replaces that date.
     A crash before the last step leaves partitions without a marker, which promotion
-    refuses. Gives the dates landed; an empty frame lands nothing.
+    refuses. Gives the dates landed; an empty frame lands nothing. A scheduled run knows
+    its ``dates``; without them the frame is read once more to find them.
     """
     base = lake.path("landing", source, table)
-    dates = [r.dt for r in df.select(F.col("dt").cast("string").alias("dt")).distinct().orderBy("dt").toLocalIterator()]
+    if dates is None:
+        dates = sorted(r.dt for r in df.select(F.col("dt").cast("string").alias("dt")).distinct().toLocalIterator())
     if not dates:
         return []
     for date in dates:
