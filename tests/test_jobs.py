@@ -108,3 +108,17 @@ def test_health_ledger(built):
     lake, _ = built
     got = {r.table_name: (r.bronze_row_count, r.reconciled) for r in lake.read("gold", "mart_source_health").collect()}
     assert got["paysim_transactions"] == (2000, True) and got["missing"] == (None, False) and len(got) == 3
+
+
+def test_erasure_reaches_every_table(built, ws):
+    lake, _ = built
+    xwalk = ws.gold("crosswalk")
+    erased = xwalk.where("source_system = 'home_credit' and native_key in ('1', '13', '25')").select("customer_id")
+    report = {r.table_name: (r.rows_before, r.rows_after) for r in jobs.erase(lake, erased, "erase-1").collect()}
+    assert report["gold.fact_loan_application"][0] - report["gold.fact_loan_application"][1] == erased.count()
+    gone = {r[0] for r in erased.collect()}
+    for table in [*jobs.CUSTOMER_TABLES, *jobs.CUSTOMER_FACTS, "dim_customer_xwalk"]:
+        assert lake.read("gold", table).where(F.col("customer_id").isin(*gone)).count() == 0
+    assert lake.read("silver", "application").where("sk_id_curr in ('1', '13', '25')").count() == 0
+    again = {r.table_name: (r.rows_before, r.rows_after) for r in jobs.erase(lake, erased, "erase-2").collect()}
+    assert all(before == after for before, after in again.values())

@@ -60,3 +60,21 @@ def test_only_closed_windows_are_written(spark, lake):
     jobs.stream_fraud_window(lake, source, "w", "updated_at", "1 hour").awaitTermination()
     got = lake.read("gold", "w").select(F.hour("window_start"), "txn_count", "fraud_count")
     assert rows(got) == [(0, 2, 1)]  # 01:00-02:00 stays open: the mark is 01:59
+
+
+def test_late_rows_are_counted(spark, lake):
+    def add(*times):
+        df = spark.createDataFrame([(t, True) for t in times], "t string, is_fraud boolean")
+        lake.append(df.coalesce(1).select(F.col("t").cast("timestamp").alias("updated_at"), "is_fraud"), "silver", "c")
+
+    def run():
+        source = spark.readStream.schema("updated_at timestamp, is_fraud boolean").parquet(lake.path("silver", "c"))
+        query = jobs.stream_fraud_window(lake, source, "w", "updated_at", "1 hour")
+        query.awaitTermination()
+        return query
+
+    add("2024-01-01 00:10:00", "2024-01-01 05:00:00")
+    assert jobs.late_rows(run()) == 0
+    add("2024-01-01 00:20:00", "2024-01-01 09:00:00")
+    assert jobs.late_rows(run()) == 1
+    assert rows(lake.read("gold", "w").select(F.hour("window_start"), "txn_count")) == [(0, 1), (5, 1)]

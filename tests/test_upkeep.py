@@ -37,6 +37,25 @@ def test_partitioned_compaction_touches_crowded_partitions_only(spark, lake):
     assert not maintenance.compact(lake, "gold", "t", run_id="r2", partition_by=["p"])
 
 
+@pytest.mark.parametrize("how", ["compact", "cluster"])
+def test_rewrite_killed_while_swapping_is_finished(spark, lake, monkeypatch, how):
+    lake.append(spark.range(100).repartition(5), "gold", "t")
+
+    def run():
+        if how == "compact":
+            return maintenance.compact(lake, "gold", "t", run_id="r1")
+        return maintenance.cluster(lake, "gold", "t", key="id", run_id="r1")
+
+    real = lake.unstage
+    monkeypatch.setattr(lake, "unstage", lambda *a: (_ for _ in ()).throw(RuntimeError("killed")))
+    with pytest.raises(RuntimeError):
+        run()
+    monkeypatch.setattr(lake, "unstage", real)
+    lake.files.delete(lake.path("gold", "t"))  # as if the swap had only removed the old files
+    run()
+    assert lake.read("gold", "t").count() == 100
+
+
 def test_large_partition_gets_several_files(spark, lake):
     df = spark.range(4000).withColumn("p", F.lit(1)).withColumn("v", F.sha2(F.col("id").cast("string"), 256))
     lake.append(df.repartition(30), "gold", "t")

@@ -1,3 +1,4 @@
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
@@ -50,6 +51,26 @@ def test_composite_key(spark, lake):
     assert rows(upsert.read_upserted(lake, "t").select("a", "b", "v")) == [(1, 1, "x"), (1, 2, "z")]
 
 
+def test_run_killed_while_swapping_is_finished_by_the_next_call(spark, lake, monkeypatch):
+    upsert.upsert(lake, batch(spark, [(str(i), "1", "t1") for i in range(40)]), "t", ["k"], "r1", buckets=4)
+    source = batch(spark, [("3", "2", "t2"), (None, "x", "t2")])
+    real = lake.overwrite_partitions
+
+    def die(df, layer, *parts, **kw):
+        for bucket in {r[0] for r in df.select("bucket").distinct().collect()}:
+            lake.files.delete(lake.path(layer, *parts) + f"/bucket={bucket}")
+        raise RuntimeError("killed")
+
+    monkeypatch.setattr(lake, "overwrite_partitions", die)
+    with pytest.raises(RuntimeError):
+        upsert.upsert(lake, source, "t", ["k"], "r2", buckets=4)
+    monkeypatch.setattr(lake, "overwrite_partitions", real)
+    assert upsert.read_upserted(lake, "t").count() < 40
+    assert upsert.upsert(lake, source, "t", ["k"], "r2", buckets=4) == 1
+    got = dict(rows(upsert.read_upserted(lake, "t").select("k", "v")))
+    assert len(got) == 40 and got["3"] == "2"
+
+
 def test_empty_source_leaves_the_table(spark, lake):
     upsert.upsert(lake, batch(spark, [("a", "1", "t")]), "t", ["k"], "r1", buckets=2)
     upsert.upsert(lake, batch(spark, []), "t", ["k"], "r2", buckets=2)

@@ -6,7 +6,7 @@ a directory of parquet files under ``<root>/<layer>/...`` on any Hadoop file sys
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -96,6 +96,23 @@ class Lake:
             .parquet(self.path(layer, *parts))
         )
 
+    def is_staged(self, *parts: str) -> bool:
+        return self.files.exists(self.path("staging", *parts) + "/_SUCCESS")
+
+    def stage(self, build: Callable[[], DataFrame], *parts: str) -> DataFrame:
+        """A written copy of rows that will replace the table they were computed from.
+
+        No job may overwrite what it reads, and a run can die while it swaps the new rows
+        in. The copy is dropped only after the swap, so one that is still there belongs to
+        an unfinished swap: it is used as it is, and the damaged table is not read again.
+        """
+        if not self.is_staged(*parts):
+            self.write_snapshot(build(), "staging", *parts)
+        return self.spark.read.parquet(self.path("staging", *parts))
+
+    def unstage(self, *parts: str) -> None:
+        self.files.delete(self.path("staging", *parts))
+
     @staticmethod
     def _writer(df: DataFrame, partition_by: Sequence[str]):
         # Rebalancing lets the adaptive planner merge small output tasks and split a

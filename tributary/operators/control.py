@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,13 +28,13 @@ def read_state(lake: Lake, topic: str) -> DataFrame:
     return latest_state(lake.read("control", topic, schema=CONTROL_STATE))
 
 
-def write_once(lake: Lake, df: DataFrame, layer: str, *parts: str) -> bool:
+def write_once(lake: Lake, df: DataFrame | Callable[[], DataFrame], layer: str, *parts: str) -> bool:
     """SRC-06 / MRT-14: write a table only if it is not there yet; True when written.
 
     The commit marker of a finished write is the guard, so a write that died half way is
-    replaced on the next call.
+    replaced on the next call. A callable is only called when there is something to write.
     """
     if lake.files.exists(lake.path(layer, *parts) + "/_SUCCESS"):
         return False
-    lake.write_snapshot(df, layer, *parts)
+    lake.write_snapshot(df() if callable(df) else df, layer, *parts)
     return True

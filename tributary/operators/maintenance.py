@@ -6,7 +6,6 @@ import math
 from collections.abc import Sequence
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..lake import Lake
@@ -33,16 +32,6 @@ def file_stats(lake: Lake, layer: str, *parts: str) -> dict[str, tuple[int, int]
     return stats
 
 
-def _stage(lake: Lake, df: DataFrame, run_id: str, *parts: str) -> DataFrame:
-    """A written copy to rewrite a table from, since no job may overwrite what it reads.
-
-    If the rewrite dies, the copy is whole and the rewrite can be repeated from it.
-    """
-    path = lake.path("staging", "rewrite", *parts, run_id)
-    df.write.mode("overwrite").parquet(path)
-    return lake.spark.read.schema(df.schema).parquet(path)
-
-
 def compact(
     lake: Lake, layer: str, *parts: str, run_id: str, partition_by: Sequence[str] = (), target_bytes: int = TARGET_FILE_BYTES
 ) -> bool:
@@ -50,20 +39,29 @@ def compact(
 
     A missing or already compact table is left alone.
     """
+    base = lake.path(layer, *parts)
+    plan = ("compact", layer, *parts, run_id)
     crowded = {}
     for folder, (files, size) in file_stats(lake, layer, *parts).items():
         wanted = max(1, math.ceil(size / target_bytes))
         if files > wanted:
             crowded[folder] = wanted
+    if lake.is_staged(*plan):  # an earlier call died while swapping: finish that first
+        unfinished = lake.spark.read.parquet(lake.path("staging", *plan))
+        if partition_by:
+            lake.overwrite_partitions(unfinished, layer, *parts, partition_by=partition_by)
+        else:
+            lake.write_snapshot(unfinished, layer, *parts)
+        lake.unstage(*plan)
+        return True
     if not crowded:
         return False
-    base = lake.path(layer, *parts)
-    table = lake.spark.read.option("basePath", base).parquet(*crowded)
-    row = F.xxhash64(*[F.col(c) for c in table.columns])
+    staged = lake.stage(lambda: lake.spark.read.option("basePath", base).parquet(*crowded), *plan)
+    row = F.xxhash64(*[F.col(c) for c in staged.columns])
     total = sum(crowded.values())
-    staged = _stage(lake, table, run_id, *parts)
     if not partition_by:
         staged.repartition(total, row).write.mode("overwrite").parquet(base)
+        lake.unstage(*plan)
         return True
     # One row per rewritten partition: its values and how many files it should have.
     values = [tuple(unquote(f.rsplit(f"{c}=", 1)[1].split("/")[0]) for c in partition_by) + (n,) for f, n in crowded.items()]
@@ -78,6 +76,7 @@ def compact(
         placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by).parquet(base)
     )
+    lake.unstage(*plan)
     return True
 
 
@@ -86,12 +85,14 @@ def cluster(lake: Lake, layer: str, *parts: str, key: str, run_id: str, target_b
 
     The row hash is a second range column: a key too big for one file is split over several.
     """
-    size = sum(s for _, s in file_stats(lake, layer, *parts).values())
-    n = max(1, math.ceil(size / target_bytes))
-    staged = _stage(lake, lake.read(layer, *parts), run_id, *parts)
+    plan = ("cluster", layer, *parts, run_id)
+    staged = lake.stage(lambda: lake.read(layer, *parts), *plan)
+    size = sum(s for _, s in file_stats(lake, "staging", *plan).values())
     row = F.xxhash64(*[F.col(c) for c in staged.columns])
-    arranged = staged.repartitionByRange(n, F.col(key), row).sortWithinPartitions(key)
+    ranges = max(1, math.ceil(size / target_bytes))
+    arranged = staged.repartitionByRange(ranges, F.col(key), row).sortWithinPartitions(key)
     arranged.write.mode("overwrite").parquet(lake.path(layer, *parts))
+    lake.unstage(*plan)
 
 
 def expire_landing(lake: Lake, source: str, table: str, as_of: str, keep_days: int) -> list[str]:

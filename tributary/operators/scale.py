@@ -127,12 +127,13 @@ def exact_quantiles(df: DataFrame, column: str, quantiles: dict[str, float], acc
     are ordered, so no task sorts or buffers the whole column.
     """
     value = F.col(column)
-    values = df.where(value.isNotNull()).select(value.alias("_v"))
+    # Bracketing compares doubles; rounding keeps order, so a bracket never loses its answer.
+    values = df.where(value.isNotNull()).select(value.alias("_v"), value.cast("double").alias("_d"))
     slack = 4.0 / accuracy
     names = list(quantiles)
     edges = [max(0.0, quantiles[n] - slack) for n in names] + [min(1.0, quantiles[n] + slack) for n in names]
     sketch = values.agg(
-        F.percentile_approx("_v", [float(e) for e in edges], accuracy).alias("edges")
+        F.percentile_approx("_d", [float(e) for e in edges], accuracy).alias("edges")
     )
     bounds = sketch.select("edges").scalar()
     bracketed = values.withColumn("_edges", bounds)
@@ -145,14 +146,14 @@ def exact_quantiles(df: DataFrame, column: str, quantiles: dict[str, float], acc
 
     below = bracketed.agg(
         F.count("*").alias("_total"),
-        *[F.count_if(F.col("_v") < low(i)).alias(f"_below_{i}") for i in range(len(names))],
+        *[F.count_if(F.col("_d") < low(i)).alias(f"_below_{i}") for i in range(len(names))],
     )
     rank = [F.greatest(F.lit(1), F.ceil(F.lit(float(quantiles[n])) * F.col("_total"))) for n in names]
     targets = below.select(
         F.array(*[(r - F.col(f"_below_{i}")).cast("bigint") for i, r in enumerate(rank)]).alias("targets")
     ).scalar()
     hits = F.filter(
-        F.array(*[F.when((F.col("_v") >= low(i)) & (F.col("_v") <= high(i)), F.lit(i)) for i in range(len(names))]),
+        F.array(*[F.when(F.col("_d").between(low(i), high(i)), F.lit(i)) for i in range(len(names))]),
         lambda x: x.isNotNull(),
     )
     inside = bracketed.select(F.explode(hits).alias("_i"), "_v").groupBy("_i", "_v").agg(F.count("*").alias("_n"))

@@ -35,9 +35,9 @@ def upsert(
     """Latest row per key wins; returns how many source rows were set aside for a NULL key.
 
     Rows live in ``bucket=<hash of key>`` partitions and only buckets the source touches
-    are read and rewritten. The new buckets are first written to a staging table: no job
-    reads what it overwrites, and a run that dies during the swap is completed by running
-    it again from the same source. Choose ``buckets`` so that one bucket is a few GB.
+    are read and rewritten. The new buckets are staged first; calling again with the same
+    run id finishes a swap that died half way. Choose ``buckets`` so that one bucket is a
+    few GB.
     """
     has_key = F.lit(True)
     for k in keys:
@@ -45,24 +45,23 @@ def upsert(
     seen = Observation()
     observed = source.observe(seen, F.count_if(~has_key).alias("null_keys"))
     rows = with_bucket(dedup_latest(observed.where(has_key), keys, recency, tiebreak), keys, buckets)
-    if not lake.exists("silver", table):
-        lake.overwrite_partitions(rows, "silver", table, partition_by=[BUCKET])
-    else:
-        staging = ("staging", table, run_id)
-        lake.write_snapshot(rows, *staging, "source")
-        # The declared schema is the source's own: an empty source leaves no file to infer from.
-        staged = lake.read(*staging, "source", schema=rows.schema)
+    resumed = lake.is_staged("upsert", table, run_id, "merged")
+
+    def merged() -> DataFrame:
+        latest = lake.stage(lambda: rows, "upsert", table, run_id, "source")
+        if not lake.exists("silver", table):
+            return latest
         # At most `buckets` rows, so the broadcast is bounded; it also prunes the scan.
-        touched = F.broadcast(staged.select(BUCKET).distinct())
-        target = lake.read("silver", table).join(touched, BUCKET, "left_semi")
-        merged = merge_rows(target, staged, [BUCKET, *keys])
-        lake.write_snapshot(merged, *staging, "merged")
-        merged = lake.read(*staging, "merged", schema=merged.schema)
-        lake.overwrite_partitions(merged, "silver", table, partition_by=[BUCKET])
-    null_keys = int(seen.get["null_keys"])
+        touched = F.broadcast(latest.select(BUCKET).distinct())
+        return merge_rows(lake.read("silver", table).join(touched, BUCKET, "left_semi"), latest, [BUCKET, *keys])
+
+    staged = lake.stage(merged, "upsert", table, run_id, "merged")
+    lake.overwrite_partitions(staged, "silver", table, partition_by=[BUCKET])
+    null_keys = source.where(~has_key).count() if resumed else int(seen.get["null_keys"])
     if null_keys:
         bad = source.where(~has_key).withColumn(VERDICT, F.lit("null key"))
         quarantine(lake, bad, f"{table}_null_key", run_id)
+    lake.unstage("upsert", table, run_id)
     return null_keys
 
 

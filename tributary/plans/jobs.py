@@ -42,6 +42,20 @@ LOAN_CHILDREN = {
 MONETARY = {"card_txn": ["amount"], "trans": ["amount", "balance"], "application": ["amt_income_total"], "campaign_response": ["avg_yearly_balance"]}
 
 
+# Where a customer appears: by customer id, or by the native key of one source.
+CUSTOMER_TABLES = [
+    "dim_customer", "dim_campaign_response", "bridge_customer_account", "fact_loan_application", "fact_previous_application",
+    "fact_crm_case", "fact_repayment_behavior", "mart_customer_360", "mart_risk_segment", "mart_cross_sell", "mart_dormancy",
+    "mart_repayment_risk",
+]
+CUSTOMER_FACTS = ["fact_txn", "fact_card_fraud"]
+NATIVE_TABLES = {
+    "client": ("berka", "client_id"), "disp": ("berka", "client_id"), "crm_case": ("berka", "client_id"),
+    "application": ("home_credit", "sk_id_curr"), "previous_application": ("home_credit", "sk_id_curr"),
+    **{table: ("home_credit", "sk_id_curr") for table in LOAN_CHILDREN},
+}
+
+
 def _bronze(lake: Lake, source: str, table: str) -> DataFrame:
     """A Bronze table without its load columns, names in lower case unless they are CRM fields."""
     return lake.read("bronze", source, table).drop("dt", "load_id")
@@ -224,7 +238,7 @@ def gold_marts(lake: Lake, as_of: str) -> None:
     customers, txns, loans = gold["dim_customer"], gold["fact_txn"], gold["fact_loan_application"]
     campaign, fraud, cases = gold["dim_campaign_response"], gold["fact_card_fraud"], gold["fact_crm_case"]
     balances = gold["fact_account_balance"]
-    write_once(lake, marts.segment_thresholds(loans, balances), "gold", "segment_thresholds")
+    write_once(lake, lambda: marts.segment_thresholds(loans, balances), "gold", "segment_thresholds")
     limits = lake.read("gold", "segment_thresholds")
     built = {
         "mart_customer_360": marts.customer_360(customers, txns, loans, campaign),
@@ -242,6 +256,40 @@ def gold_marts(lake: Lake, as_of: str) -> None:
         lake.write_snapshot(mart, "gold", name)
 
 
+def erase(lake: Lake, erased: DataFrame, run_id: str) -> DataFrame:
+    """IDN-11: remove customers from every Silver and Gold table that names them; counts per table.
+
+    The crosswalk goes last, since the native keys come from it: a run that dies is
+    repeated under the same run id. Bronze keeps its verbatim copies until the source's own retention removes them.
+    """
+    xwalk = lake.read("gold", "dim_customer_xwalk")
+    targets = [("gold", t, "customer_id", None, ()) for t in CUSTOMER_TABLES]
+    targets += [("gold", t, "customer_id", None, ("txn_year", "txn_month")) for t in CUSTOMER_FACTS]
+    targets += [("silver", t, key, source, (upsert.BUCKET,)) for t, (source, key) in NATIVE_TABLES.items()]
+    targets += [("silver", "campaign_response", "customer_id", None, ()), ("gold", "dim_customer_xwalk", "customer_id", None, ("source_system",))]
+    report: list[tuple[str, int | None, int]] = []
+    for layer, table, key, source, partition_by in targets:
+        plan = ("erase", run_id, layer, table)
+        if not lake.exists(layer, table) and not lake.is_staged(*plan):
+            continue
+        gone = erased.select("customer_id")
+        if source is not None:
+            keys = identity.source_slice(xwalk, source)
+            gone = keys.join(gone.distinct(), "customer_id", "left_semi").select(F.col("native_key").alias("customer_id"))
+
+        def kept() -> DataFrame:
+            before = lake.read(layer, table)
+            renamed = before.withColumnRenamed(key, "customer_id") if key != "customer_id" else before
+            return identity.erase_customers(renamed, gone).select(*renamed.columns).toDF(*before.columns)
+
+        rows_before = lake.read(layer, table).count() if not lake.is_staged(*plan) else None
+        staged = lake.stage(kept, *plan)
+        report.append((f"{layer}.{table}", rows_before, staged.count()))
+        lake.write_snapshot(staged, layer, table, partition_by=partition_by)
+        lake.unstage(*plan)
+    return lake.spark.createDataFrame(report, "table_name string, rows_before bigint, rows_after bigint")
+
+
 def health(lake: Lake, pairs: list[tuple[str, str, str]], run_id: str) -> None:
     """Append one ledger row per ``(source, bronze table, silver table)``; a missing table is unreconciled."""
     counts = None

@@ -144,7 +144,7 @@ class Workspace:
         """The frozen percentiles: computed by the first caller, only read by every later one."""
         write_once(
             self.lake,
-            marts.segment_thresholds(self.gold("fact_loan_application"), self.gold("balances")),
+            lambda: marts.segment_thresholds(self.gold("fact_loan_application"), self.gold("balances")),
             "gold", "segment_thresholds",
         )
         return self.lake.read("gold", "segment_thresholds")

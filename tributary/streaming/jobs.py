@@ -72,18 +72,17 @@ def apply_changes(lake: Lake, events: DataFrame, table: str, run_id: str, bucket
     the same events again changes nothing.
     """
     changes = with_bucket(last_changes(events), ["pk_value"], buckets)
-    if not lake.exists("silver", table):
-        lake.overwrite_partitions(changes, "silver", table, partition_by=[BUCKET])
-        return
-    staging = ("staging", table, run_id)
-    lake.write_snapshot(changes, *staging, "changes")
-    staged = lake.read(*staging, "changes", schema=changes.schema)
-    touched = F.broadcast(staged.select(BUCKET).distinct())  # at most `buckets` rows
-    current = lake.read("silver", table).join(touched, BUCKET, "left_semi")
-    merged = latest_per_key(current.unionByName(staged), [BUCKET, "pk_value"], [F.col("seq").desc()])
-    lake.write_snapshot(merged, *staging, "merged")
-    merged = lake.read(*staging, "merged", schema=merged.schema)
-    lake.overwrite_partitions(merged, "silver", table, partition_by=[BUCKET])
+
+    def merged() -> DataFrame:
+        latest = lake.stage(lambda: changes, "state", table, run_id, "changes")
+        if not lake.exists("silver", table):
+            return latest
+        touched = F.broadcast(latest.select(BUCKET).distinct())  # at most `buckets` rows
+        current = lake.read("silver", table).join(touched, BUCKET, "left_semi")
+        return latest_per_key(current.unionByName(latest), [BUCKET, "pk_value"], [F.col("seq").desc()])
+
+    lake.overwrite_partitions(lake.stage(merged, "state", table, run_id, "merged"), "silver", table, partition_by=[BUCKET])
+    lake.unstage("state", table, run_id)
 
 
 def current_state(lake: Lake, table: str) -> DataFrame:
@@ -118,3 +117,10 @@ def stream_fraud_window(lake: Lake, stream: DataFrame, table: str, event_time: s
         .trigger(availableNow=True)
         .start()
     )
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """How many rows a finished or running query left out because they came after the watermark."""
+    return sum(
+        int(op["numRowsDroppedByWatermark"]) for progress in query.recentProgress for op in progress["stateOperators"]
+    )
