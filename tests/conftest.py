@@ -14,7 +14,7 @@ from tributary.session import build_session, shared_dir  # noqa: E402
 def spark():
     session = build_session(
         "tests", "local[8]",
-        **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "6g", "spark.ui.showConsoleProgress": "false"},
+        **{"spark.sql.shuffle.partitions": "4", "spark.driver.memory": "6g", "spark.ui.showConsoleProgress": "false"},
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -35,6 +35,7 @@ def test_interval_pull_bounds(changes):
 def test_watermark_pull(spark, changes, lake):
     assert pulls.pull_since(changes, "updated_at", None).count() == 5
     assert [r[0] for r in rows(pulls.pull_since(changes, "updated_at", "2020-01-15 12:04:00").select("id"))] == [2, 3]
+    assert "GreaterThan" in pulls.pull_since(spark.read.schema("u timestamp_ntz").parquet("/root/testdata/sf0.001/nation.parquet"), "u", "2020-01-15 12:04:00")._jdf.queryExecution().executedPlan().toString()
     empty = control.read_state(lake, "marks").where("key = 't'").agg(F.max("value").cast("timestamp_ntz")).scalar()
     assert pulls.pull_since(changes, "updated_at", empty).count() == 5  # no mark yet: first run
 

@@ -13,6 +13,7 @@ from ..lake import Lake
 MANIFEST = "source string, table_name string, dt string, row_count bigint, min_seq bigint, max_seq bigint, written_at timestamp_ntz"
 CHECKSUM = "source string, table_name string, dt string, file string, sha256 string, written_at timestamp_ntz"
 PARTITIONS = "source string, table_name string, dt string, has_success boolean"
+MAX_ROWS_PER_FILE = 2_000_000  # a payload file is hashed as a whole by one task
 NO_MARKER = {"mapreduce.fileoutputcommitter.marksuccessfuljobs": "false"}
 
 
@@ -43,6 +44,7 @@ def land(
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .options(**NO_MARKER, **({"ignoreNullFields": "false"} if fmt == "json" else {}))
+        .option("maxRecordsPerFile", MAX_ROWS_PER_FILE)
         .partitionBy("dt")
         .format(fmt)
         .save(base)

@@ -46,9 +46,10 @@ def pull_since(df: DataFrame, column: str, watermark: Column | dt.datetime | str
     """
     if watermark is None:
         return df
-    mark = watermark if isinstance(watermark, Column) else _at(watermark)
+    if not isinstance(watermark, Column):
+        return df.where(F.col(column) > _at(watermark) - F.lit(OVERLAP))
     # A NULL mark is a first run, as with no mark at all.
-    return df.where(F.coalesce(F.col(column) > mark - F.lit(OVERLAP), mark.isNull()))
+    return df.where(F.coalesce(F.col(column) > watermark - F.lit(OVERLAP), watermark.isNull()))
 
 
 def pull_full(df: DataFrame) -> DataFrame:
