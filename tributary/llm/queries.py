@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import contamination, exact, quality, simhash
+from . import contamination, exact, mixing, quality, simhash, tokens
 from .common import table
 
 
@@ -18,6 +18,23 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", quality.held_out().alias("held_out"), "score", (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
 
 
+def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mix = mixing.mix_report(table(spark, sf_dir, "documents"))
+    return mix.select("doc_id", "size", "source_size", "target", "taken", "source", "rate", "copies")
+
+
+def word_tokenizer() -> str:
+    """The definition of the public word tokenizer."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file:
+        return file.read()
+
+
+def op3_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.read_tokens(tokens.write_tokens(table(spark, sf_dir, "documents"), word_tokenizer()))
+
+
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination.verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -31,5 +48,5 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_classifier, op5_benchmark_decontamination, op6_exact_dedup, op10_simhash_near_dedup)
+    f.__name__: f for f in (op1_quality_classifier, op2_mix_sources, op3_token_binary, op5_benchmark_decontamination, op6_exact_dedup, op10_simhash_near_dedup)
 }
