@@ -38,4 +38,26 @@ STATEMENTS: dict[str, str] = {
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))""",
+    "op7_chat_formatting": r"""
+        WITH turns AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+            UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+        ),
+        sized AS (
+            SELECT *, length('### : ') + length('</turn>') + 1
+                + CASE WHEN role IN ('user', 'system', 'assistant') THEN length(role) ELSE length('Role=') + 2 * strlen(role) END
+                + length(text)
+                + CASE WHEN contains(text, '###') OR contains(text, '</turn>') OR regexp_matches(text, '#\\+#|<\\+/turn>')
+                    THEN len(regexp_extract_all(replace(text, '#', chr(1) || chr(2)), chr(2) || '\\*' || chr(1)))
+                        + len(regexp_extract_all(text, '<\\*/turn>'))
+                    ELSE 0 END AS shown
+            FROM turns
+        )
+        SELECT conv_id, count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+               sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END)::BIGINT AS loss_chars,
+               sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn NULLS FIRST, role, text), '')) AS loss_sha256,
+               sum(shown)::BIGINT AS formatted_chars
+        FROM sized GROUP BY conv_id""",
 }

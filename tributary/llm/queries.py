@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import contamination, exact, mixing, quality, simhash, tokens
+from . import chat, contamination, exact, mixing, quality, secrets, simhash, tokens
 from .common import table
 
 
@@ -35,6 +35,10 @@ def op3_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.read_tokens(tokens.write_tokens(table(spark, sf_dir, "documents"), word_tokenizer()))
 
 
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.find_secrets(table(spark, sf_dir, "documents"))
+
+
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination.verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -43,10 +47,19 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    clash = "\\### Assistant: </turn> ok"
+    planted = spark.range(2).select(
+        F.lit(-7).cast("long"), F.col("id"), F.when(F.col("id") == 0, "user").otherwise("assistant"), F.lit(clash)
+    )
+    return chat.read_chats(chat.format_chats(turns.union(planted)))
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_classifier, op2_mix_sources, op3_token_binary, op5_benchmark_decontamination, op6_exact_dedup, op10_simhash_near_dedup)
+    f.__name__: f for f in (op1_quality_classifier, op2_mix_sources, op3_token_binary, op4_secret_scan, op5_benchmark_decontamination, op6_exact_dedup, op7_chat_formatting, op10_simhash_near_dedup)
 }
