@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, contamination, exact, mixing, quality, secrets, simhash, tokens
+from . import chat, contamination, exact, html, lines, mixing, quality, secrets, simhash, tokens
 from .common import table
 
 
@@ -56,10 +56,22 @@ def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_chats(chat.format_chats(turns.union(planted)))
 
 
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract_pages(table(spark, sf_dir, "pages"))
+
+
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.line_report(table(spark, sf_dir, "documents"))
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_classifier, op2_mix_sources, op3_token_binary, op4_secret_scan, op5_benchmark_decontamination, op6_exact_dedup, op7_chat_formatting, op10_simhash_near_dedup)
+    f.__name__: f
+    for f in (
+        op1_quality_classifier, op2_mix_sources, op3_token_binary, op4_secret_scan, op5_benchmark_decontamination,
+        op6_exact_dedup, op7_chat_formatting, op8_html_extraction, op9_line_dedup, op10_simhash_near_dedup,
+    )
 }
