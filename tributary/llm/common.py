@@ -13,6 +13,8 @@ from pyspark.sql.types import StructType
 from ..lake import Files
 from ..session import shared_dir
 
+ARROW_BATCH_BYTES = 4 * 1024 * 1024
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -23,13 +25,13 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/corpus/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+def written(df: DataFrame, name: str, compression: str = "snappy") -> tuple[DataFrame, str]:
     """The rows as a table in the shared folder, and its path.
 
     Cuts lineage: later jobs read files that survive the loss of executors.
     """
     path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
@@ -39,6 +41,17 @@ def discard(spark: SparkSession, *paths: str) -> None:
         files.delete(path)
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Arrow batches are cut by bytes too, so that long texts do not pile up in Python workers.
+
+    The setting belongs to the session, as batches are cut when a plan runs; a smaller one is left alone.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(name).rstrip("b")
+    if not now.isdigit() or not 0 < int(now) <= ARROW_BATCH_BYTES:
+        spark.conf.set(name, str(ARROW_BATCH_BYTES))
+
+
 def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
@@ -58,6 +71,8 @@ def free_names(df: DataFrame, *wanted: str) -> list[str]:
 def by_arrow(df: DataFrame, schema: StructType | str, work: Callable[[pa.RecordBatch], pa.RecordBatch]) -> DataFrame:
     """Each Arrow batch of ``df`` through ``work``, without a shuffle."""
 
+    bound_batches(df.sparkSession)
+
     def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in stream:
             if batch.num_rows:

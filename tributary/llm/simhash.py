@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_arrow, discard, free_names, text_bytes, written
+from .common import bound_batches, by_arrow, discard, free_names, text_bytes, written
 from .components import components
 
 RADIUS, SEED, SHINGLE = 3, 42, 3
@@ -165,6 +165,7 @@ def links(nodes: DataFrame) -> DataFrame:
         if len(rest[2]):
             yield out(*rest)
 
+    bound_batches(nodes.sparkSession)
     grouped = variants(nodes).repartition("block", "key").sortWithinPartitions("block", "key")
     return grouped.mapInArrow(work, "a long, b long")
 

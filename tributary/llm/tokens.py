@@ -28,11 +28,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import scratch, text_or_empty, written
+from .common import bound_batches, scratch, text_or_empty, written
 
 END_ID = 1
 FRAME_BYTES = 256 * 1024
-MEMO_WORDS, MEMO_LETTERS = 500_000, 48
+MEMO_WORDS, MEMO_LETTERS = 400_000, 48
 # Fixed values of the seekable format.
 SEEK_MAGIC, SKIPPABLE_SEEK, SKIPPABLE_INDEX = 0x8F92EAB1, 0x184D2A5E, 0x184D2A5D
 HAS_CHECKSUMS = 0x80
@@ -40,40 +40,65 @@ FOOTER, FOOTER_SIZE = "<IBI", 9
 PUNCTUATION = "!#$%&()*+,-./:;?@[]^_`{|}~"
 
 
+def byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary: printable Latin-1 as it is, others from 256 on."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b if b in shown else 256 + hidden.index(b)) for b in range(256)}
+
+
 class Encoder:
     """Token ids of whole texts, as little-endian unsigned 32-bit bytes.
 
     The tokenizer drops white space and never merges across it, so a text's ids are those of its parts between blanks
-    and line feeds, one after the other. Ids of short parts are remembered, up to ``MEMO_WORDS`` of them.
+    and line feeds, one after the other. Ids of short parts are remembered, up to ``MEMO_WORDS`` of them. Words of Latin
+    letters only are one piece to the tokenizer whatever its rules do elsewhere; they go to its model directly.
     """
 
     def __init__(self, definition: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
+        self.model = self.tokenizer.model
+        self.letters = byte_letters()
         self.memo: dict[str, bytes] = {"": b""}
 
     def width(self) -> int:
         return 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
 
-    def encode(self, parts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
+    def whole(self, parts: list[str]) -> dict[str, bytes]:
+        encoded = self.tokenizer.encode_batch_fast(parts, add_special_tokens=False) if parts else []
+        return {p: struct.pack(f"<{len(e.ids)}I", *e.ids) for p, e in zip(parts, encoded)}
 
-    @staticmethod
-    def split(part: str) -> tuple[str, str]:
-        """A word and the punctuation at its end, which the tokenizer parts as well."""
-        word = part.rstrip(PUNCTUATION)
-        return (word, part[len(word) :]) if word and word[-1].lower()[-1].isalpha() else (part, "")
+    def word(self, word: str) -> bytes | None:
+        """Ids of a word of Latin letters, None for any other text."""
+        if not word.isalpha() or not word.isascii() and (max(word) > "\u017f" or "\u0130" in word):
+            return None
+        low = word.lower()
+        if not low.isascii():
+            low = low.encode().decode("latin-1").translate(self.letters)
+        return b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(low)])
 
     def learn(self, parts: set[str]) -> dict[str, bytes]:
-        """Ids of parts that are not remembered yet."""
-        split = {part: self.split(part) for part in parts}
-        fresh = list({x for pair in split.values() for x in pair if x not in self.memo})
-        known = dict(zip(fresh, self.encode(fresh)))
-        ids = lambda x: known[x] if x in known else self.memo[x]
-        found = {part: ids(word) + ids(rest) for part, (word, rest) in split.items()}
-        for new in (known, found):
-            self.memo.update((part, x) for part, x in new.items() if len(part) <= MEMO_LETTERS)
+        """Ids of parts that are not remembered yet.
+
+        Punctuation after a letter is a piece of its own to the tokenizer, so a word is looked up without it.
+        """
+        memo, found, cut = self.memo, {}, []
+        for part in parts:
+            word = part.rstrip(PUNCTUATION)
+            ids = memo.get(word) if word else None
+            if ids is None and word and (ids := self.word(word)) is not None and len(word) <= MEMO_LETTERS:
+                memo[word] = ids
+            if ids is None or len(word) < len(part) and not word[-1].lower()[-1].isalpha():
+                cut.append((part, b"", part))
+            elif len(word) < len(part):
+                cut.append((part, ids, part[len(word) :]))
+            else:
+                found[part] = ids
+        rest = self.whole([r for r in {r for _, _, r in cut} if r not in memo])
+        found.update((part, ids + (rest[r] if r in rest else memo[r])) for part, ids, r in cut)
+        memo.update((p, x) for new in (rest, found) for p, x in new.items() if len(p) <= MEMO_LETTERS)
         return found
 
     def texts(self, texts: list[str]) -> Iterator[bytes]:
@@ -187,6 +212,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str | None = None, end
     only. ``tokenizer`` is the tokenizer's definition (JSON). ``start`` counts the ids in the files before.
     """
     spark = docs.sparkSession
+    bound_batches(spark)
     folder = folder or scratch(spark, "tokens")
     # The encoder stays with the broadcast in each Python worker, and so does what it remembers.
     shared = spark.sparkContext.broadcast({"definition": tokenizer})
