@@ -22,6 +22,7 @@ from .components import components
 EDITS = 2
 MIN_CHARS = 30
 SKETCH_MIX = np.uint64(0x9E3779B97F4A7C15)
+PLACES = 1 << 20
 BLANKS = " \t\r\x0b\x0c"
 
 
@@ -110,10 +111,21 @@ def candidates(lines: DataFrame, edits: int = EDITS) -> DataFrame:
     return met.select(F.greatest("id", "probe_id").alias("a"), F.least("id", "probe_id").alias("b")).distinct()
 
 
+def place_of(key: Column) -> Column:
+    """One of ``PLACES`` places: a set of places is a filter of bounded size, whatever it was made from."""
+    return F.pmod(F.xxhash64(F.lit(29), key), F.lit(PLACES)).cast("int")
+
+
+def places(keys: Column, df: DataFrame) -> DataFrame:
+    return df.select(place_of(keys).alias("place")).distinct()
+
+
 def verified(pairs: DataFrame, lines: DataFrame, edits: int = EDITS) -> DataFrame:
-    """The pairs whose lines are within ``edits``. Only lines of a pair move, once."""
+    """The pairs whose lines are within ``edits``. Lines in no place of a paired id stay where they are."""
     ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    some, _ = written(lines.select("id", "line").join(ids, "id"), "pair-lines")
+    # At most PLACES numbers, so they fit any broadcast.
+    near = lines.select("id", "line", place_of(F.col("id")).alias("place")).join(F.broadcast(places(F.col("id"), ids)), "place", "left_semi")
+    some, _ = written(near.join(ids, "id").select("id", "line"), "pair-lines")
     left = some.select(F.col("id").alias("a"), F.col("line").alias("line_a"))
     right = some.select(F.col("id").alias("b"), F.col("line").alias("line_b"))
 
@@ -124,61 +136,76 @@ def verified(pairs: DataFrame, lines: DataFrame, edits: int = EDITS) -> DataFram
     return by_arrow(pairs.join(left, "a").join(right, "b").select("a", "b", "line_a", "line_b"), "a long, b long", work)
 
 
-def distinct_lines(each: DataFrame) -> tuple[DataFrame, str]:
-    """``(id, digest, line, sketch)``; the sketch only for lines long enough to be compared."""
+def split_lines(docs: DataFrame, *keys: str) -> DataFrame:
+    each = docs.select(*keys, F.posexplode(F.split(text_or_empty(), "\n", -1)).alias("no", "raw"))
+    return each.select(*keys, "no", clean_line(F.col("raw")).alias("line"))
+
+
+def digest(line: Column) -> Column:
+    return F.when(line != "", F.unhex(F.md5(line)))
+
+
+def located(docs: DataFrame) -> DataFrame:
+    """``(row, doc_id, no, digest)`` for each line of ``docs (row, doc_id, text)``, null for blank lines; written."""
+    each = split_lines(docs, "row", "doc_id")
+    return written(each.select("row", "doc_id", "no", digest(F.col("line")).alias("digest")), "located")[0]
+
+
+def distinct_lines(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """``(id, digest, line, sketch)`` for each distinct line; the sketch only for lines long enough to be compared.
+
+    Lines whose digest shares its place with no digest that repeats are distinct where they stand; only the others move.
+    """
+    repeated = found.where("digest is not null").groupBy("digest").agg(F.count("*").alias("n")).where("n > 1")
+    taken = F.broadcast(places(F.col("digest"), repeated))
+    each = split_lines(docs).where("line <> ''").select("line", digest(F.col("line")).alias("digest")).select("*", place_of(F.col("digest")).alias("place"))
+    unique = each.join(taken, "place", "left_anti").select("line").union(each.join(taken, "place", "left_semi").select("line").distinct())
+
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         marks = [sketch(x) if len(x) >= MIN_CHARS else None for x in batch["line"].to_pylist()]
         return batch.append_column("sketch", pa.array(marks, pa.int64()))
 
-    unique = each.where("line <> ''").select("line").distinct()
     sketched = by_arrow(unique, "line string, sketch long", work)
-    return written(sketched.select(F.monotonically_increasing_id().alias("id"), F.unhex(F.md5("line")).alias("digest"), "line", "sketch"), "lines")
+    return written(sketched.select(F.monotonically_increasing_id().alias("id"), digest(F.col("line")).alias("digest"), "line", "sketch"), "lines", "zstd")[0]
 
 
-def line_classes(docs: DataFrame, edits: int = EDITS) -> DataFrame:
-    """``(row, doc_id, no, class, copy)`` for each line of each row of ``docs (row, doc_id, text)``.
+def line_classes(found: DataFrame, docs: DataFrame, edits: int = EDITS) -> DataFrame:
+    """``(row, doc_id, no, class, copy)`` for each line of ``docs``; ``found`` is what ``located`` returns for it.
 
     ``class`` is null for blank lines, and for the one line of an empty text. ``copy`` says that the class has an earlier
     line, in the order of doc_id (null last), row and number. Lines shorter than ``MIN_CHARS`` are copies only if equal.
     """
-    spark = docs.sparkSession
-    each = docs.select("row", "doc_id", F.posexplode(F.split(text_or_empty(), "\n", -1)).alias("no", "raw")).select("row", "doc_id", "no", clean_line(F.col("raw")).alias("line"))
-    lines, _ = distinct_lines(each)
-    long_enough = lines.where("sketch is not null")
-    pairs, pairs_path = written(candidates(long_enough, edits), "pairs")
+    lines = distinct_lines(docs, found)
+    pairs, pairs_path = written(candidates(lines.where("sketch is not null"), edits), "pairs")
     roots, _ = components(verified(pairs, lines, edits))
-    discard(spark, pairs_path)
-    digest = F.when(F.col("line") != "", F.unhex(F.md5("line")))
+    discard(docs.sparkSession, pairs_path)
     known = lines.select("digest", "id").join(roots, F.col("id") == F.col("node"), "left").select("digest", F.coalesce("root", "id").alias("class"))
-    placed, _ = written(each.select("row", "doc_id", "no", digest.alias("digest")).join(known, "digest", "left").drop("digest"), "placed")
+    placed, _ = written(found.join(known, "digest", "left").drop("digest"), "placed")
     order = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("d"), F.col("row").alias("r"), F.col("no").alias("l"))
     first = placed.where("class is not null").groupBy(F.col("class").alias("of")).agg(F.min(order).alias("first"))
     joined = placed.join(first, F.col("class") == F.col("of"), "left")
     return joined.select("row", "doc_id", "no", "class", F.coalesce(order != F.col("first"), F.lit(False)).alias("copy"))
 
 
-def numbered_rows(docs: DataFrame) -> DataFrame:
-    """Rows with a number of their own, written so that it stays the same."""
-    return written(docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text"), "rows")[0]
-
-
 def line_report(docs: DataFrame, edits: int = EDITS) -> DataFrame:
     """``(doc_id, n_lines, n_copies, copies)``, a row for each row of ``docs``.
 
     ``n_lines`` counts lines that are not blank, ``n_copies`` those with an earlier copy in this or another document, and
     ``copies`` lists their 0-based numbers. Null and empty texts have no lines. Other columns are not read.
     """
-    placed = line_classes(numbered_rows(docs), edits)
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
+    placed = line_classes(located(rows), rows, edits)
     numbers = F.sort_array(F.collect_list(F.when(F.col("copy"), F.col("no"))))
-    rows = placed.groupBy("row", "doc_id").agg(F.count("class").alias("n_lines"), F.count_if("copy").alias("n_copies"), numbers.alias("numbers"))
-    return rows.select("doc_id", "n_lines", "n_copies", F.concat_ws(",", F.col("numbers").cast("array<string>")).alias("copies"))
+    by_row = placed.groupBy("row", "doc_id").agg(F.count("class").alias("n_lines"), F.count_if("copy").alias("n_copies"), numbers.alias("numbers"))
+    return by_row.select("doc_id", "n_lines", "n_copies", F.concat_ws(",", F.col("numbers").cast("array<string>")).alias("copies"))
 
 
 def drop_copied_lines(docs: DataFrame, edits: int = EDITS) -> DataFrame:
     """``docs`` without the lines that have an earlier copy; blank lines and all other columns stay."""
     (row,) = free_names(docs, "line_row")
     whole, _ = written(docs.select("*", F.monotonically_increasing_id().alias(row)), "whole-rows")
-    placed = line_classes(whole.select(F.col(row).alias("row"), "doc_id", "text"), edits)
+    rows = whole.select(F.col(row).alias("row"), "doc_id", "text")
+    placed = line_classes(located(rows), rows, edits)
     gone = placed.where("copy").groupBy(F.col("row").alias("of")).agg(F.collect_set("no").alias("gone"))
     of, numbers = free_names(whole, "line_of", "line_gone")
     joined = whole.join(gone.select(F.col("of").alias(of), F.col("gone").alias(numbers)), F.col(row) == F.col(of), "left")
