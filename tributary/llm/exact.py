@@ -54,7 +54,8 @@ def exact_duplicates(docs: DataFrame, digest: Callable[[Column], Column] = sha25
     if not shared.isEmpty():
         verdicts = verdicts.union(contested(docs, digest, shared))
     # A total order among the rows of a group, so one row is kept even where rows repeat.
-    best = verdicts.groupBy(F.col("group").alias("of")).agg(F.max(F.struct("doc_id", "tie")).alias("best"))
+    # It is written, so that the join below is free to split a hot group.
+    best, _ = written(verdicts.groupBy(F.col("group").alias("of")).agg(F.max(F.struct("doc_id", "tie")).alias("best")), "best")
     return verdicts.join(best, F.col("group") == F.col("of")).select(
         "doc_id", "keep_id", "group_size", (F.struct("doc_id", "tie").eqNullSafe(F.col("best"))).alias("kept"), F.col("digest").alias("text_sha256")
     )
