@@ -182,7 +182,8 @@ def line_classes(found: DataFrame, docs: DataFrame, edits: int = EDITS) -> DataF
     known = lines.select("digest", "id").join(roots, F.col("id") == F.col("node"), "left").select("digest", F.coalesce("root", "id").alias("class"))
     placed, _ = written(found.join(known, "digest", "left").drop("digest"), "placed")
     order = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("d"), F.col("row").alias("r"), F.col("no").alias("l"))
-    first = placed.where("class is not null").groupBy(F.col("class").alias("of")).agg(F.min(order).alias("first"))
+    # Written, so that the join is free to split a hot class.
+    first, _ = written(placed.where("class is not null").groupBy(F.col("class").alias("of")).agg(F.min(order).alias("first")), "first")
     joined = placed.join(first, F.col("class") == F.col("of"), "left")
     return joined.select("row", "doc_id", "no", "class", F.coalesce(order != F.col("first"), F.lit(False)).alias("copy"))
 

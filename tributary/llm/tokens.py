@@ -187,6 +187,8 @@ def read_file(source, wanted: set[int] | None = None) -> Iterator[tuple[int | No
     frame_ends = np.cumsum(table[:, 1]) // width
     of = np.searchsorted(frame_ends, starts, "right")
     places = np.cumsum(table[:, 0]) - table[:, 0]
+    if (ends[-1] if count else 0) * width != table[:, 1].sum():
+        raise ValueError("the seek table does not fit the document index")
     loaded, content = -1, np.empty(0, np.uint32)
     for i in range(count):
         doc_id = int(ids[i]) if there[i] else None
