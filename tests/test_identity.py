@@ -105,3 +105,10 @@ def test_primary_link_prefers_owner(spark):
 def test_summary(spark):
     xwalk = spark.createDataFrame([("a", "x", "1", 1), ("a", "x", "2", 1), ("b", "x", "3", 1), ("b", "y", "1", 2)], XWALK)
     assert dict(rows(idn.crosswalk_summary(xwalk))) == {"rows:x": 3, "rows:y": 1, "customers": 2, "multi_source_customers": 1}
+
+
+def test_relink_keeps_rows_without_customer(spark):
+    xwalk = spark.createDataFrame([("C1", "berka", "k1", "1")], "customer_id string, source_system string, native_key string, source_priority_rank string")
+    facts = spark.createDataFrame([(1, "k1", "-1"), (2, "k1", None), (3, "k2", None), (4, "k9", "C9")], "id long, client string, customer_id string")
+    again = idn.relink_unknown(facts, xwalk, "berka", "client")
+    assert rows(again.select("id", "customer_id")) == [(1, "C1"), (2, "C1"), (3, "-1"), (4, "C9")]

@@ -142,3 +142,12 @@ def test_preparation(spark):
     groups = spark.range(90).withColumn("g", F.when(F.col("id") < 60, 0).otherwise(F.col("id")))
     per_group = prepare.capped_group_sample(groups, "g", "id", 4, "s").groupBy("g").count().agg(F.max("count"), F.sum("count")).first()
     assert tuple(per_group) == (4, 34)
+
+
+def test_interval_offsets_are_converted(spark):
+    east = {"DATA_INTERVAL_START": "2024-01-10T01:00:00+02:00", "DATA_INTERVAL_END": "2024-01-11T00:00:00"}
+    begin, end = pulls.run_interval(east)
+    assert (begin.isoformat(), end.isoformat()) == ("2024-01-09T22:55:00+00:00", "2024-01-11T00:00:00+00:00")
+    assert pulls.logical_date(east, dt.date(2024, 5, 5)) == "2024-01-09"
+    rows = spark.sql("select timestamp_ntz'2024-01-09 23:30:00' ts")
+    assert pulls.pull_interval(rows, "ts", "2024-01-10T01:00:00+02:00", "2024-01-11 00:00:00").count() == 1

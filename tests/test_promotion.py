@@ -129,6 +129,15 @@ def test_retention_spares_unpromoted_days(spark, lake):
     assert rows(landing.list_partitions(lake, "s", "t").select("dt")) == [("2024-01-02",), ("2024-01-20",)]
 
 
+def test_retention_spares_a_pending_new_drop(spark, lake):
+    land(lake, drop(spark, (1, "I", "x", "2024-01-01")))
+    promote(lake)
+    land(lake, drop(spark, (2, "I", "y", "2024-01-01")), 2)
+    assert maintenance.expire_landing(lake, "s", "t", "2024-01-21", 7) == []
+    assert promote(lake, "r2") == {"2024-01-01": "promoted"}
+    assert maintenance.expire_landing(lake, "s", "t", "2024-01-21", 7) == ["2024-01-01"]
+
+
 def test_verbatim_api_payload(spark, lake):
     path = lake.path("landing", "api", "accounts") + "/dt=2024-01-01"
     spark.createDataFrame([('[{"id": "a1"}, {"id": "a2"}]',)], "v string").coalesce(1).write.text(path)

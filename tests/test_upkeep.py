@@ -133,3 +133,19 @@ def test_growth_and_grain(spark):
     got = {(r.scope, r.run): r.verdict for r in quality.unknown_growth(runs, "run", "scope", "n").collect()}
     assert got == {("s", 1): "OK", ("s", 2): "WARN", ("s", 3): "OK", ("t", 1): "OK"}
     assert tuple(quality.grain(runs, "t", ["scope"]).first()) == ("t", 4, 2, 2.0)
+
+
+@pytest.mark.parametrize("how", ["compact", "cluster"])
+def test_partitions_are_kept_without_being_told(spark, lake, how):
+    df = spark.range(300).withColumn("p", F.col("id") % 3)
+    for part in (df.where("id < 250"), df.where("id >= 250 and p = 1")):
+        lake.append(part, "gold", "t", partition_by=["p"])
+    before = rows(lake.read("gold", "t").select("id", "p"))
+    if how == "compact":
+        assert maintenance.compact(lake, "gold", "t", run_id="r1")
+    else:
+        maintenance.cluster(lake, "gold", "t", key="id", run_id="r1")
+    assert rows(lake.read("gold", "t").select("id", "p")) == before
+    assert maintenance.partition_columns(lake, "gold", "t") == ["p"]
+    with pytest.raises(ValueError):
+        maintenance.compact(lake, "gold", "t", run_id="r2", partition_by=["id"])

@@ -71,6 +71,17 @@ def test_run_killed_while_swapping_is_finished_by_the_next_call(spark, lake, mon
     assert len(got) == 40 and got["3"] == "2"
 
 
+def test_resumes_after_only_the_source_was_staged(spark, lake, monkeypatch):
+    upsert.upsert(lake, batch(spark, [("a", "1", "t")]), "t", ["k"], "r1", buckets=2)
+    monkeypatch.setattr(upsert, "merge_rows", lambda *a: (_ for _ in ()).throw(RuntimeError("killed")))
+    source = batch(spark, [("b", "2", "t"), (None, "3", "t")])
+    with pytest.raises(RuntimeError):
+        upsert.upsert(lake, source, "t", ["k"], "r2", buckets=2)
+    monkeypatch.undo()
+    assert upsert.upsert(lake, source, "t", ["k"], "r2", buckets=2) == 1
+    assert rows(upsert.read_upserted(lake, "t").select("k", "v")) == [("a", "1"), ("b", "2")]
+
+
 def test_empty_source_leaves_the_table(spark, lake):
     upsert.upsert(lake, batch(spark, [("a", "1", "t")]), "t", ["k"], "r1", buckets=2)
     upsert.upsert(lake, batch(spark, []), "t", ["k"], "r2", buckets=2)

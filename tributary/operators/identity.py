@@ -144,9 +144,10 @@ def unknown_member(df: DataFrame) -> DataFrame:
 
 
 def relink_unknown(df: DataFrame, xwalk: DataFrame, source: str, key: str) -> DataFrame:
-    """IDN-10: retry the unknown-member rows against a newer crosswalk; known rows pass untouched."""
-    known = df.where(F.col("customer_id") != UNKNOWN_MEMBER)
-    waiting = df.where(F.col("customer_id") == UNKNOWN_MEMBER).drop("customer_id")
+    """IDN-10: retry rows of the unknown member, or of none, against a newer crosswalk; known rows pass untouched."""
+    unresolved = F.coalesce(F.col("customer_id") == UNKNOWN_MEMBER, F.lit(True))
+    known = df.where(~unresolved)
+    waiting = df.where(unresolved).drop("customer_id")
     return known.unionByName(unknown_member(resolve_identity(waiting, xwalk, source, key)).select(*df.columns))
 
 

@@ -9,7 +9,7 @@ from urllib.parse import unquote
 from pyspark.sql import functions as F
 
 from ..lake import Lake
-from .promotion import read_ledger
+from .promotion import pending_partitions, read_ledger
 
 TARGET_FILE_BYTES = 256 * 1024 * 1024
 MAX_BROADCAST_ROWS = 100_000
@@ -32,14 +32,27 @@ def file_stats(lake: Lake, layer: str, *parts: str) -> dict[str, tuple[int, int]
     return stats
 
 
+def partition_columns(lake: Lake, layer: str, *parts: str) -> list[str]:
+    """The partition columns of a table, as its directories name them."""
+    name = f"/{'/'.join((layer, *parts))}"
+    for folder in file_stats(lake, layer, *parts):
+        below = folder.rsplit(name, 1)[1].strip("/")
+        return [unquote(level.split("=", 1)[0]) for level in below.split("/") if "=" in level]
+    return []
+
+
 def compact(
-    lake: Lake, layer: str, *parts: str, run_id: str, partition_by: Sequence[str] = (), target_bytes: int = TARGET_FILE_BYTES
+    lake: Lake, layer: str, *parts: str, run_id: str, partition_by: Sequence[str] | None = None, target_bytes: int = TARGET_FILE_BYTES
 ) -> bool:
     """MNT-01: fewer, larger files with the same rows; only directories with too many files are rewritten.
 
-    A missing or already compact table is left alone.
+    A missing or already compact table is left alone. Partitions are kept whether or not they are named.
     """
     base = lake.path(layer, *parts)
+    found = partition_columns(lake, layer, *parts)
+    if partition_by and found and list(partition_by) != found:
+        raise ValueError(f"the table is partitioned by {found}, not {list(partition_by)}")
+    partition_by = found or list(partition_by or ())
     plan = ("compact", layer, *parts, run_id)
     crowded = {}
     for folder, (files, size) in file_stats(lake, layer, *parts).items():
@@ -47,7 +60,8 @@ def compact(
         if files > wanted:
             crowded[folder] = wanted
     if lake.is_staged(*plan):  # an earlier call died while swapping: finish that first
-        unfinished = lake.spark.read.parquet(lake.path("staging", *plan))
+        unfinished = lake.read("staging", *plan)
+        partition_by = partition_columns(lake, "staging", *plan)
         if partition_by:
             lake.overwrite_partitions(unfinished, layer, *parts, partition_by=partition_by)
         else:
@@ -56,7 +70,9 @@ def compact(
         return True
     if not crowded:
         return False
-    staged = lake.stage(lambda: lake.spark.read.option("basePath", base).parquet(*crowded), *plan)
+    # The copy is partitioned like the table, so its layout outlives a swap that died.
+    lake.write_snapshot(lake.spark.read.option("basePath", base).parquet(*crowded), "staging", *plan, partition_by=partition_by)
+    staged = lake.read("staging", *plan)
     row = F.xxhash64(*[F.col(c) for c in staged.columns])
     total = sum(crowded.values())
     if not partition_by:
@@ -86,12 +102,17 @@ def cluster(lake: Lake, layer: str, *parts: str, key: str, run_id: str, target_b
     The row hash is a second range column: a key too big for one file is split over several.
     """
     plan = ("cluster", layer, *parts, run_id)
-    staged = lake.stage(lambda: lake.read(layer, *parts), *plan)
+    # The copy is partitioned like the table, so its layout outlives a swap that died.
+    if not lake.is_staged(*plan):
+        lake.write_snapshot(lake.read(layer, *parts), "staging", *plan, partition_by=partition_columns(lake, layer, *parts))
+    staged = lake.read("staging", *plan)
+    inside = partition_columns(lake, "staging", *plan)
     size = sum(s for _, s in file_stats(lake, "staging", *plan).values())
     row = F.xxhash64(*[F.col(c) for c in staged.columns])
     ranges = max(1, math.ceil(size / target_bytes))
-    arranged = staged.repartitionByRange(ranges, F.col(key), row).sortWithinPartitions(key)
-    arranged.write.mode("overwrite").parquet(lake.path(layer, *parts))
+    # Partitions stay; within each, files cover ranges of the key.
+    arranged = staged.repartitionByRange(ranges, *inside, F.col(key), row).sortWithinPartitions(*inside, key)
+    arranged.write.mode("overwrite").partitionBy(*inside).parquet(lake.path(layer, *parts))
     lake.unstage(*plan)
 
 
@@ -99,9 +120,11 @@ def expire_landing(lake: Lake, source: str, table: str, as_of: str, keep_days: i
     """MNT-03: drop landed dates older than the window, but only once they were promoted."""
     done = (
         read_ledger(lake)
-        .where((F.col("source") == source) & (F.col("table_name") == table) & (F.col("verdict") == "promoted"))
+        .where((F.col("source") == source) & (F.col("table_name") == table) & F.col("verdict").isin("promoted", "redelivered"))
         .where(F.col("dt").try_cast("date") < F.date_sub(F.lit(as_of).cast("date"), keep_days))
         .select("dt").distinct()
+        # A date may have been dropped again since; that drop is not in Bronze yet.
+        .join(pending_partitions(lake, source, table).select("dt"), "dt", "left_anti")
     )
     base = lake.path("landing", source, table)
     removed = []

@@ -45,7 +45,8 @@ def upsert(
     seen = Observation()
     observed = source.observe(seen, F.count_if(~has_key).alias("null_keys"))
     rows = with_bucket(dedup_latest(observed.where(has_key), keys, recency, tiebreak), keys, buckets)
-    resumed = lake.is_staged("upsert", table, run_id, "merged")
+    # With the source staged earlier the observed frame does not run again, and there is nothing to wait for.
+    resumed = any(lake.is_staged("upsert", table, run_id, part) for part in ("source", "merged"))
 
     def merged() -> DataFrame:
         latest = lake.stage(lambda: rows, "upsert", table, run_id, "source")
