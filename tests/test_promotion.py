@@ -103,6 +103,37 @@ def test_redelivery_is_skipped_but_new_content_appended(spark, lake):
     assert lake.read("bronze", "s", "t").count() == 4
 
 
+def test_same_content_twice_in_one_run(spark, lake):
+    land(lake, drop(spark, (1, "I", "x", "2024-01-01"), (1, "I", "x", "2024-01-02"), (2, "I", "x", "2024-01-03")))
+    assert promote(lake) == {"2024-01-01": "promoted", "2024-01-02": "redelivered", "2024-01-03": "promoted"}
+    assert lake.read("bronze", "s", "t").count() == 2
+
+
+def test_values_that_typing_would_lose(spark, lake):
+    land(lake, drop(spark, (1, "I", "x", "2024-01-01"), (2, "I", None, "2024-01-03")))
+    land(lake, drop(spark, (1, "I", "x", "2024-01-02")).withColumn("seq", F.lit(1.5)))
+    path = lake.path("landing", "s", "t") + "/dt=2024-01-03"
+    spark.createDataFrame([('{"seq": 2, "op": "I", "note": "cut o',)], "v string").write.mode("overwrite").text(path)
+    spark.createDataFrame([('{"seq": 3, "op": "I", "note": null}',)], "v string").write.mode("append").text(path)
+    spark.sql("select 2L as row_count, 's' as source, 't' as table_name, '2024-01-03' as dt, 2L as min_seq, 3L as max_seq, timestamp_ntz'2024-02-03' as written_at").select(
+        "source", "table_name", "dt", "row_count", "min_seq", "max_seq", "written_at"
+    ).write.mode("append").parquet(lake.path("control", "manifests"))
+    lake.append(landing.payload_checksums(lake, "s", "t", ["2024-01-03"]).withColumn("written_at", F.lit(AT[2]).cast("timestamp_ntz")), "control", "checksums")
+    assert promote(lake) == {"2024-01-01": "promoted", "2024-01-02": "bad values", "2024-01-03": "bad values"}
+
+
+def test_every_parquet_file_of_a_date_is_judged(spark, lake):
+    land(lake, drop(spark, (1, "I", "x", "2024-01-01"), (2, "I", "x", "2024-01-02")), fmt="parquet")
+    path = lake.path("landing", "s", "t") + "/dt=2024-01-02"
+    drop(spark, (3, "I", "x", "")).drop("dt").withColumn("extra", F.lit(1)).write.mode("append").parquet(path)
+    land(lake, drop(spark, (4, "I", "x", "2024-01-03")).withColumn("note", F.lit(4)), fmt="parquet")
+    land(lake, drop(spark, (5, "I", "x", "2024-01-04")), fmt="parquet")
+    path = lake.path("landing", "s", "t") + "/dt=2024-01-04"
+    drop(spark, (6, "I", "x", "")).drop("dt").withColumn("seq", F.lit("six")).write.mode("append").parquet(path)
+    got = promote(lake, fmt="parquet")
+    assert got == {"2024-01-01": "promoted", "2024-01-02": "schema drift", "2024-01-03": "schema drift", "2024-01-04": "schema drift"}
+
+
 def test_incomplete_file_set_waits(spark, lake):
     land(lake, drop(spark, (1, "I", "x", "2024-01-01")))
     assert promote(lake, incomplete=["2024-01-01"]) == {"2024-01-01": "file set incomplete"}

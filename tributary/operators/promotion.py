@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from ..lake import Lake
 from ..sources import landing
 
+BAD_ROW = "_bad_row"
+
 LEDGER = (
     "source string, table_name string, dt string, verdict string, content_key string, load_id string, "
     "row_count bigint, run_id string"
@@ -53,31 +57,50 @@ def checksum_report(lake: Lake, source: str, table: str, dates: Sequence[str] |
 def payload_report(
     lake: Lake, source: str, table: str, declared: StructType, fmt: str, dates: Sequence[str] | None = None
 ) -> DataFrame:
-    """Per landed date: rows found, the observed shape, and a content key, from one scan.
+    """Per landed date: rows found, the observed shape, rows that typing would damage, and a content key.
 
     The content key sums row hashes, so it depends neither on row order nor on how the
-    rows are cut into files, and it combines on the map side. JSON shapes are merged by an
-    aggregate over all partitions; parquet shapes come from one footer per partition.
+    rows are cut into files, and it combines on the map side. JSON gives all of it in one
+    scan: shapes are merged by an aggregate, and a row is bad when it is no JSON or holds a
+    value that its declared type cannot take. Parquet shapes are merged over the footers of
+    all files of a date, and only dates of the declared shape are read.
     """
     base = lake.path("landing", source, table)
     if fmt == "json":
         paths = [base] if dates is None else [f"{base}/dt={d}" for d in dates]
         lines = lake.spark.read.option("basePath", base).text(paths).withColumn("dt", F.col("dt").cast("string"))
-        row, shape = F.xxhash64("value"), F.schema_of_variant_agg(F.try_parse_json("value"))
-    else:
-        lines = landing.scan_landing(lake, source, table, declared, fmt, dates)
-        row, shape = F.xxhash64(*[F.col(f.name) for f in declared]), F.lit(None).cast("string")
+        typed = F.from_json("value", StructType([*declared.fields]).add(BAD_ROW, "string"), {"columnNameOfCorruptRecord": BAD_ROW})
+        return _report(lines, F.xxhash64("value"), F.schema_of_variant_agg(F.try_parse_json("value")), typed[BAD_ROW].isNotNull())
+    landed = dates or [landing._dt_of(p) for p in lake.files.glob(f"{base}/dt=*")]
+    shapes = [(d, merged_shape(lake, f"{base}/dt={d}")) for d in landed]
+    fitting = [d for d, shape in shapes if shape == declared.simpleString()]
+    shapes = lake.spark.createDataFrame(shapes, "dt string, shape string")
+    if not fitting:
+        return shapes.selectExpr("dt", "shape", "0L as rows_found", "0L as bad_rows", "cast(null as string) as content_key")
+    lines = landing.scan_landing(lake, source, table, declared, fmt, fitting)
+    row = F.xxhash64(*[x for f in declared for x in (F.col(f.name), F.col(f.name).isNull())])
+    return shapes.join(_report(lines, row, F.lit(None), F.lit(False)).drop("shape"), "dt", "left")
+
+
+def _report(lines: DataFrame, row: Column, shape: Column, bad: Column) -> DataFrame:
     report = lines.groupBy("dt").agg(
         F.count("*").alias("rows_found"),
         F.sum(row.cast("decimal(38,0)")).cast("string").alias("_digest"),
         shape.alias("shape"),
+        F.count_if(bad).alias("bad_rows"),
     )
-    report = report.withColumn("content_key", F.concat_ws(":", "_digest", F.col("rows_found").cast("string"))).drop("_digest")
-    if fmt == "json":
-        return report
-    landed = dates or [landing._dt_of(p) for p in lake.files.glob(f"{base}/dt=*")]
-    shapes = [(d, lake.spark.read.parquet(f"{base}/dt={d}").schema.simpleString()) for d in landed]
-    return report.drop("shape").join(lake.spark.createDataFrame(shapes, "dt string, shape string"), "dt", "right")
+    return report.withColumn("content_key", F.concat_ws(":", "_digest", F.col("rows_found").cast("string"))).drop("_digest")
+
+
+def merged_shape(lake: Lake, path: str) -> str | None:
+    """The columns of all parquet files below a path, merged by a job over their footers; None without files.
+
+    Files that cannot be merged or read have a shape that fits nothing, so their date waits and the others go on.
+    """
+    try:
+        return lake.spark.read.option("mergeSchema", True).parquet(path).schema.simpleString()
+    except (PySparkException, Py4JJavaError) as error:
+        return None if "UNABLE_TO_INFER_SCHEMA" in str(error) else "unreadable"
 
 
 def row_count_report(
@@ -146,13 +169,20 @@ def judge(
         F.when(~F.col("has_success"), "no success marker")
         .when(F.col("rows_promised").isNull(), "no manifest")
         .when(F.col("bad_files") > 0, "checksum mismatch")
+        # Rows of parquet files with another shape are not counted.
+        .when(~shape_ok & F.lit(fmt != "json"), "schema drift")
         .when(F.col("rows_promised") != F.col("rows_found"), "row count mismatch")
         .when(~shape_ok, "schema drift")
+        .when(F.col("bad_rows") > 0, "bad values")
         .when(waiting, "file set incomplete")
         .when(F.col("_seen"), "redelivered")
         .otherwise("promoted")
     )
-    return judged.select(*PARTITION, verdict.alias("verdict"), "content_key", "load_id", F.col("rows_found").alias("row_count"))
+    judged = judged.select(*PARTITION, verdict.alias("verdict"), "content_key", "load_id", F.col("rows_found").alias("row_count"))
+    # Of drops with the same content in one run, the first is the delivery.
+    same = Window.partitionBy("source", "table_name", "content_key").orderBy(F.col("verdict") != "promoted", "dt", "load_id")
+    again = (F.col("verdict") == "promoted") & F.col("content_key").isNotNull() & (F.row_number().over(same) > 1)
+    return judged.withColumn("verdict", F.when(again, "redelivered").otherwise(F.col("verdict")))
 
 
 def promote(

@@ -46,7 +46,8 @@ def fraud_daily(fraud: DataFrame) -> DataFrame:
 def fraud_mom(fraud: DataFrame) -> DataFrame:
     """MRT-02b: month against the previous calendar month, per type; months without fraud count as zero.
 
-    The self-join is on an aggregate with one row per month and type.
+    A type that drops to zero has a row for the month after its last fraud, up to the last month of the table. The
+    self-join is on an aggregate with one row per month and type.
     """
     month = F.trunc(F.col("txn_ts"), "MM")
     monthly = fraud.groupBy(month.alias("txn_month"), "txn_type").agg(
@@ -55,14 +56,14 @@ def fraud_mom(fraud: DataFrame) -> DataFrame:
     prior = monthly.select(
         F.add_months("txn_month", 1).alias("txn_month"), "txn_type",
         F.col("fraud_txn_count").alias("prior_count"), F.col("_value").alias("_prior_value"),
-    )
-    both = monthly.join(prior, ["txn_month", "txn_type"], "left").fillna(0, ["prior_count"])
-    prior_value = F.coalesce(F.col("_prior_value"), F.lit(0))
+    ).where(F.col("txn_month") <= monthly.agg(F.max("txn_month")).scalar())
+    both = monthly.join(prior, ["txn_month", "txn_type"], "full").fillna(0, ["fraud_txn_count", "prior_count"])
+    value, prior_value = F.coalesce(F.col("_value"), F.lit(0)), F.coalesce(F.col("_prior_value"), F.lit(0))
     return both.select(
-        "txn_month", "txn_type", "fraud_txn_count", as_double(F.col("_value")).alias("fraud_txn_value"),
+        "txn_month", "txn_type", "fraud_txn_count", as_double(value).alias("fraud_txn_value"),
         "prior_count", as_double(prior_value).alias("prior_value"),
         (F.col("fraud_txn_count") - F.col("prior_count")).alias("count_delta"),
-        as_double(F.col("_value") - prior_value).alias("value_delta"),
+        as_double(value - prior_value).alias("value_delta"),
     )
 
 
@@ -203,8 +204,8 @@ def cross_sell(
     )
 
 
-def cross_sell_ranked(targets: DataFrame, as_of: str, top: int) -> DataFrame:
-    """MRT-06b: the active targets, best earlier response first, then the larger balance."""
+def cross_sell_ranked(targets: DataFrame, as_of: str) -> DataFrame:
+    """MRT-06b: all active targets, best earlier response first, then the larger balance. Callers limit."""
     outcome = F.coalesce(
         *[F.when(F.col("prior_campaign_outcome") == name, F.lit(rank)) for name, rank in OUTCOME_RANK.items()], F.lit(4)
     )
@@ -213,7 +214,6 @@ def cross_sell_ranked(targets: DataFrame, as_of: str, top: int) -> DataFrame:
         targets.where(days_idle(as_of).between(0, ACTIVE_DAYS - 1))
         .withColumn("response_rank", outcome)
         .orderBy(*order)
-        .limit(top)
     )
 
 

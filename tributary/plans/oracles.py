@@ -29,11 +29,12 @@ VIEWS = {
                'CZK' AS currency
         FROM orders""",
     "application": """
-        SELECT CAST(c_custkey AS VARCHAR) AS sk_id_curr, CASE WHEN c_custkey % 12 = 1 THEN 1 ELSE 0 END AS target,
+        SELECT CAST(c_custkey AS VARCHAR) || CASE WHEN c_mktsegment = 'MACHINERY' THEN '-N' ELSE '' END AS sk_id_curr,
+               CASE WHEN c_custkey % 12 = 1 THEN 1 ELSE 0 END AS target,
                CAST(c_acctbal AS DECIMAL(18,2)) AS amt_income_total, c_mktsegment AS name_income_type,
                TIMESTAMP '2024-01-01' + to_days(CAST(c_custkey % 180 AS INTEGER)) AS created_at,
                c_custkey % 50 = 0 AS is_deleted, 'unitless' AS currency
-        FROM customer WHERE c_mktsegment <> 'MACHINERY'""",
+        FROM customer""",
     "previous_application": """
         SELECT CAST(o_orderkey AS VARCHAR) AS sk_id_prev, CAST(o_custkey AS VARCHAR) AS sk_id_curr,
                CASE o_orderstatus WHEN 'F' THEN 'Approved' WHEN 'O' THEN 'Refused' ELSE 'Canceled' END AS name_contract_status,
@@ -113,7 +114,7 @@ VIEWS = {
                CASE c_custkey % 4 WHEN 0 THEN 'success' WHEN 1 THEN 'failure' ELSE 'unknown' END AS poutcome,
                c_custkey % 9 = 2 AS subscribed, 'EUR' AS currency,
                TIMESTAMP '1998-01-01' + to_days(CAST(c_custkey % 730 AS INTEGER)) AS created_at
-        FROM customer WHERE c_nationkey >= 3""",
+        FROM customer""",
     "change_log": """
         SELECT event_id AS seq, CASE event_type WHEN 'signup' THEN 'I' WHEN 'error' THEN 'D' ELSE 'U' END AS op,
                CAST(user_id AS VARCHAR) AS pk_value, ts AS changed_at, event_type AS label, value AS amount,
@@ -322,6 +323,16 @@ CHECKS = {
     "redelivered_skip": """
         SELECT 'promoted' AS verdict, count(DISTINCT dt) AS drops, count(*) AS row_count FROM change_log
         UNION ALL SELECT 'redelivered', 2, 2 * count(*) FROM change_log WHERE dt = '2024-01-03'""",
+    "redelivered_same_run": """
+        SELECT dt, 'promoted' AS verdict, count(*) AS row_count FROM change_log GROUP BY dt
+        UNION ALL SELECT '2024-02-02', 'redelivered', count(*) FROM change_log WHERE dt = '2024-01-03'""",
+    "promote_bad_values": """
+        SELECT dt, CASE dt WHEN '2024-01-05' THEN 'bad values' ELSE 'promoted' END AS verdict, count(*) AS row_count
+        FROM change_log GROUP BY dt""",
+    "promote_parquet_verdicts": """
+        SELECT dt, CASE WHEN dt IN ('2024-01-05', '2024-01-08') THEN 'schema drift' ELSE 'promoted' END AS verdict,
+               count(*) FILTER (dt NOT IN ('2024-01-05', '2024-01-08')) AS row_count
+        FROM change_log GROUP BY dt""",
     "cdc_exactly_once": """
         SELECT 'campaign' AS source, 'changes' AS table_name, seq, op, pk_value, changed_at FROM change_log
         WHERE changed_at >= TIMESTAMP '2024-01-20'""",
@@ -452,12 +463,13 @@ CHECKS = {
     "fraud_mom": """
         WITH monthly AS (
             SELECT CAST(date_trunc('month', txn_ts) AS DATE) AS txn_month, txn_type, count(*) AS n, sum(amount) AS v
-            FROM fact_txn WHERE is_fraud OR source_system = 'berka' GROUP BY ALL)
-        SELECT txn_month, txn_type, m.n AS fraud_txn_count, CAST(round(m.v, 2) AS DOUBLE) AS fraud_txn_value,
+            FROM fact_card_fraud GROUP BY ALL)
+        SELECT txn_month, txn_type, coalesce(m.n, 0) AS fraud_txn_count, CAST(round(coalesce(m.v, 0), 2) AS DOUBLE) AS fraud_txn_value,
                coalesce(p.n, 0) AS prior_count, CAST(round(coalesce(p.v, 0), 2) AS DOUBLE) AS prior_value,
-               m.n - coalesce(p.n, 0) AS count_delta, CAST(round(m.v - coalesce(p.v, 0), 2) AS DOUBLE) AS value_delta
-        FROM monthly m LEFT JOIN (SELECT CAST(txn_month + INTERVAL 1 MONTH AS DATE) AS txn_month, txn_type, n, v FROM monthly) p
-             USING (txn_month, txn_type)""",
+               coalesce(m.n, 0) - coalesce(p.n, 0) AS count_delta,
+               CAST(round(coalesce(m.v, 0) - coalesce(p.v, 0), 2) AS DOUBLE) AS value_delta
+        FROM monthly m FULL JOIN (SELECT CAST(txn_month + INTERVAL 1 MONTH AS DATE) AS txn_month, txn_type, n, v FROM monthly
+                                  WHERE txn_month < (SELECT max(txn_month) FROM monthly)) p USING (txn_month, txn_type)""",
     "fraud_followup_events": "SELECT * FROM followup",
     "fraud_followup": """
         SELECT count(*) AS fraud_event_count, count(*) FILTER (within_sla) AS within_sla_count,
@@ -486,8 +498,7 @@ CHECKS = {
     "cross_sell": "SELECT * FROM targets",
     "cross_sell_ranked": f"""
         SELECT *, CASE prior_campaign_outcome WHEN 'success' THEN 1 WHEN 'unknown' THEN 2 WHEN 'failure' THEN 3 ELSE 4 END AS response_rank
-        FROM targets WHERE {_IDLE.format(d='2001-08-01')} BETWEEN 0 AND 89
-        ORDER BY response_rank, current_balance DESC, customer_id, account_id LIMIT 100""",
+        FROM targets WHERE {_IDLE.format(d='2001-08-01')} BETWEEN 0 AND 89""",
     "dormancy": f"""
         SELECT customer_id, '2024-01' AS as_of_month, last_txn_ts, {_IDLE.format(d='2024-01-31')} AS days_since_last_txn
         FROM customers LEFT JOIN activity USING (customer_id)
