@@ -1,3 +1,6 @@
+import hashlib
+import json
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructType
@@ -174,3 +177,68 @@ def test_verbatim_api_payload(spark, lake):
     spark.createDataFrame([('[{"id": "a1"}, {"id": "a2"}]',)], "v string").coalesce(1).write.text(path)
     got = landing.scan_landing(lake, "api", "accounts", schema(id="string"), "json", multiline=True)
     assert rows(got) == [("a1", "2024-01-01"), ("a2", "2024-01-01")]
+
+
+def outside(lake, texts, dt="2024-01-01", **said):
+    """A drop that was not written by ``land``: payload files, a manifest of its own, the marker."""
+    path = lake.path("landing", "s", "t") + f"/dt={dt}"
+    for i, text in enumerate(texts):
+        lake.files.write_text(f"{path}/response-{i}.json", text)
+    lake.files.write_text(f"{path}/_manifest.json", json.dumps(said))
+    lake.files.touch(f"{path}/_SUCCESS")
+
+
+ARRAY = """[{"seq": 1, "op": "I", "note": "[x"},
+ {"seq": 2, "op": "I", "note": null}]"""
+
+
+def test_array_payload_with_its_own_manifest(spark, lake):
+    outside(lake, [ARRAY], row_count=2, checksum=hashlib.sha256(ARRAY.encode()).hexdigest())
+    outside(lake, ["[]"], "2024-01-02", row_count=0)
+    outside(lake, [ARRAY[:-9]], "2024-01-03", row_count=1)
+    outside(lake, ["null"], "2024-01-05", row_count=1)
+    outside(lake, ['{"seq": 3, "op": "D", "note": "one"}', "", "[ ]"], "2024-01-04", rows_landed=1)
+    assert promote(lake, multiline=True) == {"2024-01-01": "promoted", "2024-01-02": "promoted", "2024-01-03": "bad values", "2024-01-04": "promoted", "2024-01-05": "bad values"}
+    assert rows(lake.read("bronze", "s", "t").select("seq", "note")) == [(1, "[x"), (2, None), (3, "one")]
+    assert promote(lake, "r2", multiline=True) == {"2024-01-03": "bad values", "2024-01-05": "bad values"}
+
+
+def test_manifest_from_outside_is_held_to(spark, lake):
+    line = '{"seq": 1, "op": "I", "note": "x"}'
+    outside(lake, [line], row_count=1, checksum="0" * 64)
+    outside(lake, [line], "2024-01-02", rows_landed=1, api_reported_total=2)
+    outside(lake, [line], "2024-01-03", row_count=2)
+    outside(lake, [line], "2024-01-04", row_count=1, reconciled=False)
+    outside(lake, [line], "2024-01-05", reconciled=True)
+    outside(lake, [], "2024-01-06", row_count=1, checksum="0" * 64)
+    assert promote(lake) == {
+        "2024-01-01": "checksum mismatch", "2024-01-02": "paging not reconciled", "2024-01-03": "row count mismatch",
+        "2024-01-04": "paging not reconciled", "2024-01-05": "no manifest", "2024-01-06": "checksum mismatch",
+    }
+    land(lake, drop(spark, (1, "I", "x", "2024-01-01")))
+    assert promote(lake, "r2")["2024-01-01"] == "promoted"
+
+
+def changes(lake, run):
+    declared = schema(seq="long", op="string", pk_value="string")
+    return {r.dt: r.verdict for r in promotion.promote(lake, "s", "t", declared, "json", run, mode="changes").collect()}
+
+
+def test_change_log_is_appended_once(spark, lake, monkeypatch):
+    def events(*data):
+        return spark.createDataFrame(data, "seq bigint, op string, pk_value string, dt string")
+
+    landing.land(lake, events((1, "I", "a", "2024-01-01"), (2, "U", None, "2024-01-01"), (2, "U", None, "2024-01-02")), "s", "t", AT[0], "json")
+    assert changes(lake, "r1") == {"2024-01-01": "promoted", "2024-01-02": "promoted"}
+    landing.land(lake, events((2, "U", None, "2024-01-03"), (3, "D", "a", "2024-01-03"), (3, "D", "a", "2024-01-03")), "s", "t", AT[1], "json")
+    real = lake.append
+    monkeypatch.setattr(lake, "append", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("killed")))
+    with pytest.raises(RuntimeError):
+        changes(lake, "r2")
+    monkeypatch.setattr(lake, "append", real)
+    assert changes(lake, "r3") == {"2024-01-03": "promoted"}
+    assert rows(lake.read("bronze", "s", "t").select("seq", "op", "pk_value", F.col("dt").cast("string"))) == [
+        (1, "I", "a", "2024-01-01"), (2, "U", None, "2024-01-01"), (3, "D", "a", "2024-01-03"),
+    ]
+    with pytest.raises(ValueError):
+        promotion.promote(lake, "s", "t", DECLARED, "json", "r4", mode="log")

@@ -34,6 +34,14 @@ class Files:
         fs, target = self._open(path)
         fs.create(target, True).close()
 
+    def write_text(self, path: str, text: str) -> None:
+        fs, target = self._open(path)
+        stream = fs.create(target, True)
+        try:
+            stream.write(text.encode())
+        finally:
+            stream.close()
+
     def delete(self, path: str) -> None:
         fs, target = self._open(path)
         fs.delete(target, True)
@@ -42,6 +50,19 @@ class Files:
         fs, target = self._open(pattern)
         return sorted(s.getPath().toString() for s in fs.globStatus(target) or [])
 
+    def small_texts(self, pattern: str) -> list[tuple[str, str, int]]:
+        """Path, content and time in milliseconds of each matching file; for one small file per directory."""
+        fs, target = self._open(pattern)
+        found = []
+        for status in fs.globStatus(target) or []:
+            stream = fs.open(status.getPath())
+            try:
+                text = self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+            finally:
+                stream.close()
+            found.append((status.getPath().toString(), text, status.getModificationTime()))
+        return found
+
     def fingerprint(self, pattern: str) -> str:
         """Changes whenever a matching file is added, removed or rewritten."""
         fs, target = self._open(pattern)

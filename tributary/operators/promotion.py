@@ -1,8 +1,14 @@
-"""Landing to Bronze: was everything received, unchanged, once, and in the known shape."""
+"""Landing to Bronze: was everything received, unchanged, once, and in the known shape.
+
+A table is promoted as ``batch``, drop by drop, or as ``changes``: a change log whose events
+are appended once, however often later drops repeat them.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
@@ -12,6 +18,7 @@ from pyspark.sql.types import StructField, StructType
 
 from ..lake import Lake
 from ..sources import landing
+from .scale import latest_per_key
 
 BAD_ROW = "_bad_row"
 
@@ -20,6 +27,7 @@ LEDGER = (
     "row_count bigint, run_id string"
 )
 PARTITION = ["source", "table_name", "dt"]
+EVENT = ("pk_value", "op", "seq")
 
 
 def read_ledger(lake: Lake) -> DataFrame:
@@ -49,13 +57,18 @@ def checksum_report(lake: Lake, source: str, table: str, dates: Sequence[str] |
     expected = landing.read_checksums(lake, source, table).select(*PARTITION, "file", F.col("sha256").alias("expected"))
     if dates is not None:
         expected = expected.where(F.col("dt").isin(*dates))
+    # A drop from outside may vouch for its only payload in its own manifest; its counts have to do otherwise.
+    outside = landing.read_drop_manifests(lake, source, table).select(*PARTITION, "checksum")
+    if dates is not None:
+        outside = outside.where(F.col("dt").isin(*dates))
     actual = landing.payload_checksums(lake, source, table, dates)
-    both = actual.join(expected, [*PARTITION, "file"], "full")
-    return both.groupBy(*PARTITION).agg(F.count_if(~F.equal_null("sha256", "expected")).alias("bad_files"))
+    own = actual.join(outside, PARTITION, "left_anti").join(expected.join(outside, PARTITION, "left_anti"), [*PARTITION, "file"], "full")
+    theirs = outside.where("checksum is not null").withColumnRenamed("checksum", "expected").join(actual, PARTITION, "left")
+    return own.unionByName(theirs).groupBy(*PARTITION).agg(F.count_if(~F.equal_null("sha256", "expected")).alias("bad_files"))
 
 
 def payload_report(
-    lake: Lake, source: str, table: str, declared: StructType, fmt: str, dates: Sequence[str] | None = None
+    lake: Lake, source: str, table: str, declared: StructType, fmt: str, dates: Sequence[str] | None = None, multiline: bool = False
 ) -> DataFrame:
     """Per landed date: rows found, the observed shape, rows that typing would damage, and a content key.
 
@@ -67,10 +80,11 @@ def payload_report(
     """
     base = lake.path("landing", source, table)
     if fmt == "json":
-        paths = [base] if dates is None else [f"{base}/dt={d}" for d in dates]
-        lines = lake.spark.read.option("basePath", base).text(paths).withColumn("dt", F.col("dt").cast("string"))
+        lines = landing.documents(lake, source, table, dates, multiline)
         typed = F.from_json("value", StructType([*declared.fields]).add(BAD_ROW, "string"), {"columnNameOfCorruptRecord": BAD_ROW})
-        return _report(lines, F.xxhash64("value"), F.schema_of_variant_agg(F.try_parse_json("value")), typed[BAD_ROW].isNotNull())
+        # Documents that are all broken or null have no shape to judge; they are bad rows.
+        shape = F.nullif(F.schema_of_variant_agg(F.try_parse_json("value")), F.lit("VOID"))
+        return _report(lines, F.xxhash64("value"), shape, typed.isNull() | typed[BAD_ROW].isNotNull())
     landed = dates or [landing._dt_of(p) for p in lake.files.glob(f"{base}/dt=*")]
     shapes = [(d, merged_shape(lake, f"{base}/dt={d}")) for d in landed]
     fitting = [d for d, shape in shapes if shape == declared.simpleString()]
@@ -104,13 +118,16 @@ def merged_shape(lake: Lake, path: str) -> str | None:
 
 
 def row_count_report(
-    lake: Lake, source: str, table: str, declared: StructType, fmt: str, dates: Sequence[str] | None = None
+    lake: Lake, source: str, table: str, declared: StructType, fmt: str, dates: Sequence[str] | None = None, multiline: bool = False
 ) -> DataFrame:
-    """PRM-04: rows found against rows the manifest promised, per date with a manifest or a payload."""
-    promised = landing.read_manifests(lake, source, table).select("dt", F.col("row_count").alias("rows_promised"))
+    """PRM-04: rows found against rows the manifest promised, per date with a manifest or a payload.
+
+    ``reconciled`` is the manifest's word on paging: rows landed against the total the source reported.
+    """
+    promised = landing.read_manifests(lake, source, table).select("dt", F.col("row_count").alias("rows_promised"), "reconciled")
     if dates is not None:
         promised = promised.where(F.col("dt").isin(*dates))
-    found = payload_report(lake, source, table, declared, fmt, dates)
+    found = payload_report(lake, source, table, declared, fmt, dates, multiline)
     return promised.join(found, "dt", "full").withColumn("rows_found", F.coalesce("rows_found", F.lit(0)))
 
 
@@ -145,7 +162,8 @@ def matches_shape(shape: Column, declared: StructType, fmt: str) -> Column:
 
 
 def judge(
-    lake: Lake, source: str, table: str, declared: StructType, fmt: str, dates: Sequence[str], incomplete: Sequence[str] = ()
+    lake: Lake, source: str, table: str, declared: StructType, fmt: str, dates: Sequence[str], incomplete: Sequence[str] = (),
+    multiline: bool = False,
 ) -> DataFrame:
     """PRM-01..05, 08..10: one row per pending partition with its verdict; the first failed check names it.
 
@@ -153,7 +171,7 @@ def judge(
     """
     parts = pending_partitions(lake, source, table).where(F.col("dt").isin(*dates))
     # Everything joined here has one row per partition.
-    judged = parts.join(row_count_report(lake, source, table, declared, fmt, dates), "dt", "left")
+    judged = parts.join(row_count_report(lake, source, table, declared, fmt, dates, multiline), "dt", "left")
     if fmt == "json":
         judged = judged.join(checksum_report(lake, source, table, dates), PARTITION, "left")
     else:
@@ -169,6 +187,7 @@ def judge(
         F.when(~F.col("has_success"), "no success marker")
         .when(F.col("rows_promised").isNull(), "no manifest")
         .when(F.col("bad_files") > 0, "checksum mismatch")
+        .when(~F.col("reconciled"), "paging not reconciled")
         # Rows of parquet files with another shape are not counted.
         .when(~shape_ok & F.lit(fmt != "json"), "schema drift")
         .when(F.col("rows_promised") != F.col("rows_found"), "row count mismatch")
@@ -186,33 +205,64 @@ def judge(
 
 
 def promote(
-    lake: Lake, source: str, table: str, declared: StructType, fmt: str, run_id: str, incomplete: Sequence[str] = ()
+    lake: Lake, source: str, table: str, declared: StructType, fmt: str, run_id: str, incomplete: Sequence[str] = (),
+    mode: str = "batch", multiline: bool = False,
 ) -> DataFrame:
     """PRM-08: judge every pending partition, append the good ones to Bronze, record the verdicts.
 
     Bronze is partitioned by ``dt`` and ``load_id`` (one id per drop), and exactly those
     partitions are written, so replaying a run that died before the ledger entry rewrites
-    the same files instead of doubling them. Returns this run's verdicts.
+    the same files instead of doubling them. In mode ``changes`` only events that no other
+    load holds are appended (PRM-06). Returns this run's verdicts.
     """
+    if mode not in ("batch", "changes"):
+        raise ValueError(f"unknown mode {mode!r}")
     dates = [r.dt for r in pending_partitions(lake, source, table).select("dt").distinct().toLocalIterator()]
     if not dates:
         return lake.spark.createDataFrame([], LEDGER)
-    verdicts = judge(lake, source, table, declared, fmt, dates, incomplete).withColumn("run_id", F.lit(run_id))
+    verdicts = judge(lake, source, table, declared, fmt, dates, incomplete, multiline).withColumn("run_id", F.lit(run_id))
     lake.write_snapshot(verdicts, "staging", "verdicts", source, table, run_id)
     verdicts = lake.spark.read.schema(LEDGER).parquet(lake.path("staging", "verdicts", source, table, run_id))
     good = verdicts.where("verdict = 'promoted'").select("dt", "load_id")
     good_dates = [r.dt for r in good.select("dt").toLocalIterator()]
     if good_dates:
-        rows = landing.scan_landing(lake, source, table, declared, fmt, good_dates).join(good, "dt")
+        rows = landing.scan_landing(lake, source, table, declared, fmt, good_dates, multiline).join(good, "dt")
+        if mode == "changes":
+            rows = fresh_changes(lake, rows, good, source, table)
         lake.overwrite_partitions(rows, "bronze", source, table, partition_by=["dt", "load_id"])
     lake.append(verdicts, "control", "promotions")
     return verdicts
 
 
-def only_new_changes(events: DataFrame, bronze: DataFrame | None, keys: Sequence[str] = ("pk_value", "op", "seq")) -> DataFrame:
-    """PRM-06: events not in Bronze yet, one copy each, within the batch as well as against Bronze."""
-    fresh = events.dropDuplicates(list(keys))
-    return fresh if bronze is None else fresh.join(bronze.select(*keys), list(keys), "left_anti")
+def fresh_changes(lake: Lake, events: DataFrame, loads: DataFrame, source: str, table: str) -> DataFrame:
+    """The events of these loads that no other load in Bronze holds; of repeated events the first load's copy.
+
+    What a dead run has left under the same load ids is about to be replaced, so it does not
+    count. Bronze is read only within the new events' range of ``seq``.
+    """
+    if not lake.exists("bronze", source, table):
+        return only_new_changes(events, None, order=("dt", "load_id"))
+    ids = loads.select("load_id")
+    span = events.agg(F.min("seq").alias("low"), F.max("seq").alias("high"))
+    known = lake.read("bronze", source, table).join(ids, "load_id", "left_anti")
+    known = known.where(F.col("seq").isNull() | F.col("seq").between(span.select("low").scalar(), span.select("high").scalar()))
+    return only_new_changes(events, known, order=("dt", "load_id"))
+
+
+def only_new_changes(
+    events: DataFrame, bronze: DataFrame | None, keys: Sequence[str] = EVENT, order: Sequence[str] = ()
+) -> DataFrame:
+    """PRM-06: events not in Bronze yet, one copy each, within the batch as well as against Bronze.
+
+    NULL counts as a value of a key. Of repeated events the first by ``order`` stays, then the one with the smallest row hash.
+    """
+    row = F.xxhash64(*[F.col(c) for c in events.columns], *[F.col(c).isNull() for c in events.columns])
+    fresh = latest_per_key(events, list(keys), [*[F.col(c) for c in order], row])
+    if bronze is None:
+        return fresh
+    known = bronze.select(*[F.col(k).alias(f"_known_{k}") for k in keys])
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_known_{k}")) for k in keys])
+    return fresh.join(known, same, "left_anti")
 
 
 def complete_sets(arrivals: DataFrame, required: Sequence[str]) -> DataFrame:

@@ -336,6 +336,13 @@ CHECKS = {
     "cdc_exactly_once": """
         SELECT 'campaign' AS source, 'changes' AS table_name, seq, op, pk_value, changed_at FROM change_log
         WHERE changed_at >= TIMESTAMP '2024-01-20'""",
+    "promote_changes": "SELECT seq, op, pk_value, label, amount FROM change_log",
+    "manifest_reconcile": """
+        SELECT dt, CASE dt WHEN '2024-01-09' THEN 'paging not reconciled' WHEN '2024-01-21' THEN 'row count mismatch'
+                   ELSE 'promoted' END AS verdict, count(*) AS row_count
+        FROM change_log GROUP BY dt""",
+    "promote_api_payload": """
+        SELECT seq, op, pk_value, label, amount, dt FROM change_log WHERE dt NOT IN ('2024-01-09', '2024-01-21')""",
     "fileset_complete": """
         SELECT 's' || CAST(user_id % 10 AS VARCHAR) AS source, strftime(ts, '%Y-%m-%d') AS dt,
                count(DISTINCT event_type) FILTER (event_type IN ('signup', 'view', 'error')) AS tables_present,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -113,7 +114,7 @@ def landing_write(ws):
     again = ws.entities.landed_changes().where(F.col("dt") == "2024-01-03")
     landing.land(lake, again, "campaign", "changes", RELANDED_AT, "json", seq="seq")
     listed = landing.list_partitions(lake, "campaign", "changes")
-    manifests = landing.read_manifests(lake, "campaign", "changes").drop("written_at")
+    manifests = landing.read_manifests(lake, "campaign", "changes").drop("written_at", "reconciled", "checksum")
     return listed.join(manifests, promotion.PARTITION)
 
 
@@ -360,6 +361,54 @@ def cdc_exactly_once(ws):
     return tagged.select("source", "table_name", "seq", "op", "pk_value", "changed_at")
 
 
+@query
+def promote_changes(ws):
+    """A change log promoted twice: later drops repeat older events among new ones, and Bronze holds each once."""
+    lake = ws.scratch("promote_changes")
+    rows = ws.entities.landed_changes()
+    first = F.col("dt") < "2024-01-20"
+    landing.land(lake, rows.where(first), "campaign", "changes", LANDED_AT, "json", seq="seq")
+    promotion.promote(lake, "campaign", "changes", CHANGES, "json", "run-1", mode="changes")
+    again = rows.where(F.col("dt") >= "2024-01-15").withColumn("dt", F.lit("2024-02-02"))
+    landing.land(lake, rows.where(~first).unionByName(again), "campaign", "changes", RELANDED_AT, "json", seq="seq")
+    promotion.promote(lake, "campaign", "changes", CHANGES, "json", "run-2", mode="changes")
+    return lake.read("bronze", "campaign", "changes").select("seq", "op", "pk_value", "label", "amount")
+
+
+def outside_drops(ws: Workspace, name: str, verbatim: bool = False):
+    """The change log as drops of somebody else: payloads with a ``_manifest.json`` in each date's folder."""
+    lake = ws.scratch(name)
+    base = lake.path("landing", "campaign", "changes")
+    rows = ws.entities.landed_changes()
+    writer = rows.write
+    if verbatim:  # responses of at most a hundred documents, a file each
+        document = F.to_json(F.struct(*[F.col(c) for c in rows.columns if c != "dt"]), {"ignoreNullFields": "false"})
+        page = rows.groupBy("dt", F.floor(F.col("seq") / 100).alias("page")).agg(F.collect_list(document).alias("documents"))
+        writer = page.select("dt", F.concat(F.lit("[\n"), F.array_join("documents", ",\n"), F.lit("\n]\n")).alias("value")).write.option("maxRecordsPerFile", 1)
+    writer.partitionBy("dt").options(**landing.NO_MARKER, ignoreNullFields="false").format("text" if verbatim else "json").save(base)
+    for dt, n in rows.groupBy("dt").count().toLocalIterator():  # one row per date
+        promised = {"rows_landed": n - (dt == SHORT), "api_reported_total": n + (dt == EDITED) - (dt == SHORT)}
+        lake.files.write_text(f"{base}/dt={dt}/_manifest.json", json.dumps(promised))
+        lake.files.touch(f"{base}/dt={dt}/_SUCCESS")
+    return lake
+
+
+@query
+def manifest_reconcile(ws):
+    """A drop whose source reported more rows than it sent, and one whose manifest counts fewer than it holds."""
+    lake = outside_drops(ws, "manifest_reconcile")
+    return promotion.promote(lake, "campaign", "changes", CHANGES, "json", "run-1").select("dt", "verdict", "row_count")
+
+
+@query
+def promote_api_payload(ws):
+    """Verbatim array payloads: every element of the drops that reconcile is a Bronze row."""
+    lake = outside_drops(ws, "api_payload", verbatim=True)
+    promotion.promote(lake, "campaign", "changes", CHANGES, "json", "run-1", multiline=True)
+    bronze = lake.read("bronze", "campaign", "changes")
+    return bronze.select("seq", "op", "pk_value", "label", "amount", F.col("dt").cast("string").alias("dt"))
+
+
 @query
 def fileset_complete(ws):
     arrivals = ws.entities.table("events").select(

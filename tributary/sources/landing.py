@@ -12,6 +12,10 @@ from ..lake import Lake
 
 MANIFEST = "source string, table_name string, dt string, row_count bigint, min_seq bigint, max_seq bigint, written_at timestamp_ntz"
 CHECKSUM = "source string, table_name string, dt string, file string, sha256 string, written_at timestamp_ntz"
+#: What a drop from outside says about itself; the counts and the flag may be missing.
+OWN_WORDS = (
+    "row_count bigint, rows_landed bigint, api_reported_total bigint, reconciled boolean, checksum string, min_seq bigint, max_seq bigint"
+)
 PARTITIONS = "source string, table_name string, dt string, has_success boolean"
 MAX_ROWS_PER_FILE = 2_000_000  # a payload file is hashed as a whole by one task
 NO_MARKER = {"mapreduce.fileoutputcommitter.marksuccessfuljobs": "false"}
@@ -82,6 +86,23 @@ def scan_landing(
     return reader.format(fmt).load(paths)
 
 
+def documents(lake: Lake, source: str, table: str, dates: Sequence[str] | None = None, multiline: bool = False) -> DataFrame:
+    """``(dt, value)``: one JSON document per row, from lines or from verbatim payloads.
+
+    A verbatim payload is one document or an array of them over any number of lines; it is one
+    response of an interface and therefore small. An empty array has no documents, and what is no JSON stays one
+    broken document.
+    """
+    base = lake.path("landing", source, table)
+    paths = [base] if dates is None else [f"{base}/dt={d}" for d in dates]
+    texts = lake.spark.read.option("basePath", base).text(paths, wholetext=multiline).withColumn("dt", F.col("dt").cast("string"))
+    if not multiline:
+        return texts
+    whole = F.array("value")
+    many = F.when(F.ltrim("value").startswith("["), F.from_json("value", "array<string>"))
+    return texts.where(F.ltrim("value") != "").select("dt", F.explode(F.coalesce(many, whole)).alias("value"))
+
+
 def payload_checksums(lake: Lake, source: str, table: str, dates: Sequence[str] | None = None) -> DataFrame:
     """PRM-03: sha256 of every landed payload file, computed where the file is read."""
     base = lake.path("landing", source, table)
@@ -110,12 +131,35 @@ def newest(log: DataFrame, keys: Sequence[str], written_at: str = "written_at")
     return log.join(last, list(keys)).where(F.col(written_at) == F.col("_last")).drop("_last")
 
 
+def read_drop_manifests(lake: Lake, source: str, table: str) -> DataFrame:
+    """PRM-02: the ``_manifest.json`` that a drop from outside brings along, one row per date that has one.
+
+    ``reconciled`` is what the manifest says, else whether the rows landed are those the
+    source reported. A manifest that is no JSON object promises nothing: all its values are NULL.
+    """
+    found = lake.files.small_texts(lake.path("landing", source, table) + "/dt=*/_manifest.json")
+    texts = lake.spark.createDataFrame([(_dt_of(p), text, at) for p, text, at in found], "dt string, text string, at bigint")
+    said = texts.select("dt", F.from_json("text", OWN_WORDS).alias("m"), F.timestamp_millis("at").cast("timestamp_ntz").alias("written_at"))
+    agrees = F.col("m.rows_landed") == F.col("m.api_reported_total")
+    return said.select(
+        F.lit(source).alias("source"), F.lit(table).alias("table_name"), "dt",
+        F.coalesce("m.row_count", "m.rows_landed").alias("row_count"), "m.min_seq", "m.max_seq", "written_at",
+        F.coalesce(F.col("m.reconciled"), agrees, F.lit(True)).alias("reconciled"), "m.checksum",
+    )
+
+
 def read_manifests(lake: Lake, source: str, table: str) -> DataFrame:
+    """The newest manifest of every date, with ``reconciled`` and, for drops from outside, ``checksum``.
+
+    Landing a date removes what lay there, so a manifest inside a partition describes what lies there now.
+    """
+    outside = read_drop_manifests(lake, source, table)
     if not lake.exists("control", "manifests"):
-        return lake.spark.createDataFrame([], MANIFEST)
+        return outside
     log = lake.spark.read.schema(MANIFEST).parquet(lake.path("control", "manifests"))
     mine = log.where((F.col("source") == source) & (F.col("table_name") == table))
-    return newest(mine, ["source", "table_name", "dt"])
+    own = newest(mine, ["source", "table_name", "dt"]).join(outside.select("dt"), "dt", "left_anti")
+    return own.withColumns({"reconciled": F.lit(True), "checksum": F.lit(None).cast("string")}).unionByName(outside)
 
 
 def read_checksums(lake: Lake, source: str, table: str) -> DataFrame:
