@@ -10,7 +10,9 @@ from tributary.lake import Lake
 from tributary.operators import upsert
 from tributary.plans import jobs, registry
 from tributary.plans.workspace import Workspace
+from tributary.schemas import CONTRACTS, schema
 from tributary.session import shared_dir
+from tributary.sources import pulls
 
 SF = "/root/testdata/sf0.001"
 
@@ -39,8 +41,8 @@ def built(spark, ws):
     put(e.district().select(F.col("district_id").alias("berka_district_id__c"), F.col("name").alias("district_name__c"), F.col("region").alias("region__c")), "salesforce", "district")
     put(e.crm_case_surrogate().select(F.col("case_id").alias("Id"), F.col("contact_ref").alias("ContactId"), F.col("opened_at").cast("string").alias("CreatedDate"), F.col("case_type").alias("Type")), "salesforce", "case")
     upper = lambda df: df.toDF(*[c.upper() if not c.endswith("_at") else c for c in df.columns])
-    put(upper(e.application().drop("currency")).withColumn("SK_ID_CURR", F.col("SK_ID_CURR").cast("bigint")), "postgres", "application")
-    put(upper(e.previous_application()), "postgres", "previous_application")
+    put(upper(e.application().drop("currency")), "postgres", "application")
+    put(upper(e.previous_application()).withColumn("SK_ID_PREV", F.col("SK_ID_PREV").cast("bigint")), "postgres", "previous_application")
     put(e.previous_application().select(F.col("sk_id_prev").alias("SK_ID_BUREAU"), F.col("sk_id_curr").alias("SK_ID_CURR")), "postgres", "bureau")
     put(upper(e.installments_bronze()), "postgres", "installments_payments")
     put(upper(e.card_balance_bronze()), "postgres", "credit_card_balance")
@@ -110,6 +112,39 @@ def test_health_ledger(built):
     assert got["paysim_transactions"] == (2000, True) and got["missing"] == (None, False) and len(got) == 3
 
 
+def test_contracts_hold(built):
+    lake, _ = built
+    report = jobs.contract_gate(lake)
+    assert {r.table_name for r in report.select("table_name").collect()} == set(CONTRACTS)
+    with pytest.raises(ValueError):
+        jobs.contract_gate(lake, [])
+
+
+def test_pull_land_promote(spark):
+    lake = Lake(spark, f"{shared_dir(spark)}/tests/feeds-{uuid.uuid4().hex}")
+    declared = schema(id="long", changed_at="timestamp_ntz")
+    a, b = [jobs.Feed("core", t, declared, file_set="daily") for t in ("a", "b")]
+
+    def data(*ids):
+        return spark.createDataFrame([(i, f"2024-01-{i:02d} 00:00:00") for i in ids], "id long, changed_at string").withColumn("changed_at", F.col("changed_at").cast("timestamp_ntz"))
+
+    def pull(feed, table, day):
+        rows = pulls.pull_since(table, "changed_at", jobs.mark(lake, feed, "timestamp_ntz"))
+        return jobs.extract(lake, rows, feed, day, f"{day} 02:00:00", changed="changed_at")
+
+    assert pull(a, data(), "2024-01-03") == []
+    assert pull(a, data(1, 2), "2024-01-03") == ["2024-01-03"]
+    verdict = lambda run: {(r.table_name, r.dt): r.verdict for r in jobs.promote_all(lake, [a, b], run).collect()}
+    assert verdict("r1") == {("a", "2024-01-03"): "file set incomplete"}
+    pull(b, data(1), "2024-01-03")
+    assert verdict("r2") == {("a", "2024-01-03"): "promoted", ("b", "2024-01-03"): "promoted"}
+    pull(a, data(1, 2, 5), "2024-01-06")
+    pull(b, data(1, 6), "2024-01-06")
+    assert set(verdict("r3").values()) == {"promoted"}
+    assert rows(lake.read("bronze", "core", "a").select("id", F.col("dt").cast("string"))) == [(1, "2024-01-03"), (2, "2024-01-03"), (2, "2024-01-06"), (5, "2024-01-06")]
+    assert verdict("r4") == {}
+
+
 def test_erasure_reaches_every_table(built, ws):
     lake, _ = built
     xwalk = ws.gold("crosswalk")

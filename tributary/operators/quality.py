@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..schemas import Contract
 
 class QualityGateFailed(RuntimeError):
     pass
@@ -48,6 +49,34 @@ def unique(df: DataFrame, table: str, keys: Sequence[str]) -> DataFrame:
     ).select(F.lit(table).alias("table_name"), F.lit(",".join(keys)).alias("key_columns"), "duplicate_keys", "surplus_rows")
 
 
+def held_to(df: DataFrame, table: str, contract: Contract) -> DataFrame:
+    """DQ-02: one row per clause of a declared contract and the rows that break it.
+
+    Rows are counted per key first, so NULLs and repeats come from one scan and one shuffle
+    that combines on the map side.
+    """
+    clauses = [F.sum(f"_null_{c}").alias(f"not_null:{c}") for c in contract.required]
+    nulls = [F.count_if(F.col(c).isNull()).alias(f"_null_{c}") for c in contract.required]
+    if contract.key:
+        rows = df.groupBy(*contract.key).agg(F.count("*").alias("_n"), *nulls)
+        clauses.append(F.sum(F.col("_n") - 1).alias("unique:" + ",".join(contract.key)))
+    else:
+        rows = df.agg(*nulls)
+    counted = rows.agg(*clauses)
+    names = [F.coalesce(F.col(f"`{c}`"), F.lit(0).cast("bigint")).alias(c) for c in counted.columns]
+    checked = counted.select(*names)
+    return checked.unpivot([], [F.col(f"`{c}`") for c in checked.columns], "clause", "broken_rows").select(
+        F.lit(table).alias("table_name"), "clause", "broken_rows"
+    )
+
+
+def require_contracts(checked: DataFrame) -> None:
+    """Block the build when a contract is broken; the check table has one row per clause."""
+    failed = checked.where("broken_rows > 0").collect()
+    if failed:
+        raise QualityGateFailed("; ".join(f"{r.table_name} {r.clause}: {r.broken_rows} rows" for r in failed))
+
+
 def reconcile(counts: DataFrame) -> DataFrame:
     """DQ-03: rows may only shrink from one layer to the next."""
     return counts.withColumn(
@@ -138,3 +167,23 @@ def no_raw_identifier(serving: DataFrame, table: str, columns: Sequence[str], ra
         .agg(F.count("_leak").alias("leaked_values"))
         .select(F.lit(table).alias("table_name"), "column_name", "leaked_values")
     )
+
+
+def suffix_leaks(serving: DataFrame, table: str, columns: Sequence[str], raw: DataFrame, raw_key: str, shown: int = 4) -> DataFrame:
+    """DQ-12: values of masked columns that are longer than the mask allows and end as a raw identifier does.
+
+    A masked column shows the last ``shown`` characters at most. A longer value whose last
+    characters are those of some raw identifier, itself longer, gives more of it away. Only distinct suffixes are compared.
+    """
+    each = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("v")) for c in columns])).alias("x")
+    long = serving.select(each).select("x.*").where(F.length("v") > shown).distinct()
+    key = F.col(raw_key).cast("string")
+    # Of a raw key every ending longer than the mask is listed; keys are short.
+    endings = raw.select(key.alias("k")).where(F.length("k") > shown).distinct().select(
+        F.explode(F.transform(F.sequence(F.lit(shown + 1), F.length("k")), lambda n: F.right(F.col("k"), n))).alias("v")
+    ).distinct().withColumn("_leak", F.lit(1))
+    found = long.join(endings, "v", "left").groupBy("column_name").agg(F.count("_leak").alias("leaked_values"))
+    named = serving.sparkSession.createDataFrame([(c,) for c in columns], "column_name string")
+    return named.join(found, "column_name", "left").select(
+        F.lit(table).alias("table_name"), "column_name", F.coalesce("leaked_values", F.lit(0)).alias("leaked_values")
+    )

@@ -1,4 +1,4 @@
-"""Stage jobs over a lake: Bronze to Silver per source system, then Gold and the marts.
+"""Stage jobs over a lake: pull and landing, promotion, Bronze to Silver per source system, then Gold and the marts.
 
 Each function reads the lake's tables, composes operators and writes tables. Order and
 retries are left to whatever runs them; every job may be run again for the same run id.
@@ -6,13 +6,20 @@ retries are left to whatever runs them; every job may be run again for the same
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+from functools import reduce
+from typing import NamedTuple
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.columns import MONEY, mask_last4
 from ..lake import Lake
-from ..operators import conform, identity, quality, upsert
-from ..operators.control import read_state, write_once
+from ..operators import conform, identity, promotion, quality, upsert
+from ..operators.control import read_state, record_state, write_once
+from ..schemas import CONTRACTS
+from ..sources import landing
 from . import marts, star
 
 # Field names of the CRM objects and the loan tables.
@@ -56,6 +63,81 @@ NATIVE_TABLES = {
 }
 
 
+class Feed(NamedTuple):
+    """How one table of a source arrives. Tables of a source with the same ``file_set`` are promoted together per date."""
+
+    source: str
+    table: str
+    declared: StructType
+    fmt: str = "parquet"
+    mode: str = "batch"
+    multiline: bool = False
+    file_set: str | None = None
+
+
+def extract(lake: Lake, pulled: DataFrame, feed: Feed, date: str, written_at: str, changed: str | None = None, seq: str | None = None) -> list[str]:
+    """SRC-01..05, SNK-01: pulled rows become one landed date, then the mark moves; gives the dates landed.
+
+    The mark is the newest change among the rows that landed, never the clock, and is written last:
+    a run that died before pulls the same rows again. An empty pull lands nothing and leaves the mark.
+    """
+    rows = pulled.select(*[F.col(f.name).cast(f.dataType) for f in feed.declared]).withColumn("dt", F.lit(date))
+    if rows.isEmpty():
+        return []
+    landed = landing.land(lake, rows, feed.source, feed.table, written_at, feed.fmt, seq, [date])
+    mark = seq or changed
+    if mark:
+        newest = landing.scan_landing(lake, feed.source, feed.table, feed.declared, feed.fmt, landed).agg(F.max(mark).cast("string").alias("value"))
+        state = newest.select(F.lit(f"{feed.source}.{feed.table}").alias("key"), "value", F.lit(written_at).alias("written_at"))
+        record_state(lake, "marks", state)
+    return landed
+
+
+def mark(lake: Lake, feed: Feed, kind: str) -> Column:
+    """The mark of a feed as a scalar subquery; NULL before the first pull."""
+    mine = read_state(lake, "marks").where(F.col("key") == f"{feed.source}.{feed.table}")
+    return mine.agg(F.max("value").cast(kind)).scalar()
+
+
+def waiting_dates(lake: Lake, feeds: Sequence[Feed]) -> dict[tuple[str, str], list[str]]:
+    """PRM-10: per source and file set, the landed dates on which a table of the set is still missing."""
+    sets: dict[tuple[str, str], list[str]] = {}
+    for feed in feeds:
+        if feed.file_set:
+            sets.setdefault((feed.source, feed.file_set), []).append(feed.table)
+    waiting = {}
+    for (source, name), tables in sets.items():
+        arrived = reduce(DataFrame.unionByName, [landing.list_partitions(lake, source, t) for t in tables]).where("has_success")
+        late = promotion.complete_sets(arrived, tables).where("not complete")
+        waiting[source, name] = [r.dt for r in late.select("dt").toLocalIterator()]
+    return waiting
+
+
+def promote_all(lake: Lake, feeds: Sequence[Feed], run_id: str) -> DataFrame:
+    """PRM-08..10: every pending date of every feed; the verdicts of this run.
+
+    A date that fails stays pending and stops neither other dates nor other feeds.
+    """
+    waiting = waiting_dates(lake, feeds)
+    verdicts = [
+        promotion.promote(
+            lake, f.source, f.table, f.declared, f.fmt, run_id, waiting.get((f.source, f.file_set), ()), f.mode, f.multiline
+        )
+        for f in feeds
+    ]
+    return reduce(DataFrame.unionByName, verdicts)
+
+
+def contract_gate(lake: Lake, tables: Sequence[str] = tuple(CONTRACTS)) -> DataFrame:
+    """DQ-02: the contracts of those Gold tables that exist; raises when one is broken, else gives the clauses."""
+    checked = [quality.held_to(lake.read("gold", t), t, CONTRACTS[t]) for t in tables if lake.exists("gold", t)]
+    if not checked:
+        raise ValueError("no Gold table to check")
+    report = reduce(DataFrame.unionByName, checked)
+    quality.require_contracts(report)
+    return report
+
+
 def _bronze(lake: Lake, source: str, table: str) -> DataFrame:
     """A Bronze table without its load columns, names in lower case unless they are CRM fields."""
     return lake.read("bronze", source, table).drop("dt", "load_id")
@@ -305,5 +387,8 @@ def health(lake: Lake, pairs: list[tuple[str, str, str]], run_id: str) -> None:
             rows("silver", silver).alias("silver_row_count"),
         )
         counts = row if counts is None else counts.unionByName(row)
-    state = marts.source_health(counts, read_state(lake, "marks"), read_state(lake, "stages"))
+    # Pulls mark a table under its source's name as well.
+    names = {f"{source}.{bronze}": bronze for source, bronze, _ in pairs}
+    marks = read_state(lake, "marks").replace(names, subset=["key"])
+    state = marts.source_health(counts, marks, read_state(lake, "stages"))
     lake.overwrite_partitions(state.withColumn("run_id", F.lit(run_id)), "gold", "mart_source_health", partition_by=["run_id"])

@@ -191,11 +191,14 @@ def cross_sell(
         )
         .join(customers.select("customer_id"), "customer_id", "left_semi")
     )
-    cards = txns.where("source_system = 'paysim'").select("customer_id").where("customer_id is not null").distinct()
-    targets = deposits.join(loans.select("customer_id"), "customer_id", "left_anti").join(cards, "customer_id", "left_anti")
+    # One pass over the fact: who holds a card, and when a customer was last seen.
+    card = F.col("source_system") == "paysim"
+    seen = txns.where("customer_id is not null").groupBy("customer_id").agg(F.max("txn_ts").alias("last_txn_ts"), F.bool_or(card).alias("_card"))
+    targets = deposits.join(loans.select("customer_id"), "customer_id", "left_anti")
     response = campaign.select("customer_id", "prior_campaign_outcome", "subscribed_term_deposit")
     return (
-        targets.join(last_activity(txns), "customer_id", "left")
+        targets.join(seen, "customer_id", "left")
+        .where(~F.coalesce("_card", F.lit(False)))
         .join(response, "customer_id", "left")
         .select(
             "customer_id", "account_id", as_double(F.col("current_balance_myr"), 6).alias("current_balance"), "last_txn_ts",

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import re
 
+from ..schemas import CONTRACTS, SERVING
+
 VIEWS = {
     # ------------------------------------------------------------ source entities
     "card_bronze": """
@@ -336,6 +338,15 @@ CHECKS = {
     "cdc_exactly_once": """
         SELECT 'campaign' AS source, 'changes' AS table_name, seq, op, pk_value, changed_at FROM change_log
         WHERE changed_at >= TIMESTAMP '2024-01-20'""",
+    "extract_to_bronze": """
+        SELECT event_id, ts, user_id, value, '2024-01-15' AS dt FROM events WHERE ts < TIMESTAMP '2024-01-15'
+        UNION ALL SELECT event_id, ts, user_id, value, '2024-01-16' FROM events
+        WHERE ts > (SELECT max(ts) FROM events WHERE ts < TIMESTAMP '2024-01-15') - INTERVAL 5 MINUTE""",
+    "dq_suffix_leak": """
+        SELECT 'card_txn' AS table_name, 'name_orig_masked' AS column_name, 0 AS leaked_values
+        UNION ALL SELECT 'card_txn', 'hidden', 0
+        UNION ALL SELECT 'card_txn_weak', 'hidden', 0
+        UNION ALL SELECT 'card_txn_weak', 'name_orig_masked', count(DISTINCT right(name_orig, 6)) FROM card_bronze""",
     "promote_changes": "SELECT seq, op, pk_value, label, amount FROM change_log",
     "manifest_reconcile": """
         SELECT dt, CASE dt WHEN '2024-01-09' THEN 'paging not reconciled' WHEN '2024-01-21' THEN 'row count mismatch'
@@ -672,6 +683,26 @@ def _needed(sql: str) -> list[str]:
         waiting = set().union(*[_mentioned(VIEWS[v]) for v in waiting]) - found
     return [v for v in VIEWS if v in found]
 
+# Gold tables under the names of their contracts, by the statement that yields each.
+GOLD = {name: CHECKS["build_crosswalk" if name == "dim_customer_xwalk" else name] for name in SERVING} | {
+    "dim_fx_rate": "SELECT currency_code, rate_to_myr, rate_as_of, 'rate' AS note FROM fx"
+}
+CHECKS["serving_views_all"] = " UNION ALL ".join(
+    f"SELECT '{name}' AS table_name, '{c}' AS column_name, count(*) AS row_count, count({c}) AS non_null FROM ({GOLD[name]})"
+    for name, view in SERVING.items() for c in view.names
+)
+CHECKS["dq_contracts"] = " UNION ALL ".join(
+    [
+        f"SELECT '{name}' AS table_name, 'not_null:{c}' AS clause, count(*) FILTER ({c} IS NULL) AS broken_rows FROM ({GOLD[name]})"
+        for name in SERVING for c in CONTRACTS[name].required
+    ]
+    + [
+        f"SELECT '{name}', 'unique:{key}', CAST(coalesce(sum(n - 1), 0) AS BIGINT) FROM (SELECT count(*) AS n FROM ({GOLD[name]}) GROUP BY {key})"
+        for name in SERVING if (key := ",".join(CONTRACTS[name].key))
+    ]
+)
+
+
 
 def statement(key: str) -> str:
     body = CHECKS[key].strip()

@@ -4,15 +4,17 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import as_double, decode_birth_number, mask_last4, stable_row_id
 from ..operators import conform, control, identity, maintenance, prepare, promotion, quality, upsert
-from ..schemas import HEALTH, SERVING, conform_to, schema, schema_drift
+from ..schemas import CONTRACTS, HEALTH, SERVING, conform_to, schema, schema_drift
 from ..sources import files, landing, pulls
 from ..streaming import jobs
+from . import jobs as stages
 from . import marts, star
 from .workspace import Workspace
 
@@ -296,6 +298,19 @@ def promote_landing(ws):
     return bronze.select("seq", "op", "pk_value", "label", "amount", F.col("dt").cast("string").alias("dt"))
 
 
+@query
+def extract_to_bronze(ws):
+    """Two scheduled runs from pull to Bronze; the second starts at the mark of the first, less the overlap."""
+    lake = ws.scratch("extract")
+    events = ws.entities.table("events").select("event_id", "ts", "user_id", "value")
+    feed = stages.Feed("app", "events", events.schema, file_set="app")
+    for run, upto in (("2024-01-15", events.where(F.col("ts") < F.lit("2024-01-15").cast("timestamp_ntz"))), ("2024-01-16", events)):
+        pulled = pulls.pull_since(upto, "ts", stages.mark(lake, feed, "timestamp_ntz"))
+        stages.extract(lake, pulled, feed, run, f"{run} 01:00:00", changed="ts")
+        stages.promote_all(lake, [feed], run)
+    return lake.read("bronze", "app", "events").select("event_id", "ts", "user_id", "value", F.col("dt").cast("string").alias("dt"))
+
+
 @query
 def pending_partitions(ws):
     lake = damaged_landing(ws, "pending")
@@ -890,6 +905,49 @@ def dq_not_null(ws):
     ).unionByName(quality.not_null(ws.gold("fact_txn"), "fact_txn", ["txn_id", "customer_id", "amount_myr"]))
 
 
+def gold_tables(ws: Workspace) -> dict[str, DataFrame]:
+    """The Gold tables under the names of their contracts."""
+    return {
+        "fact_txn": ws.gold("fact_txn"), "fact_card_fraud": ws.build_fact_card_fraud(),
+        "fact_loan_application": ws.gold("fact_loan_application"), "dim_customer": ws.gold("dim_customer"),
+        "dim_customer_xwalk": ws.gold("crosswalk"), "dim_date": dim_date(ws), "dim_fx_rate": ws.fx,
+        "dim_campaign_response": dim_campaign_response(ws), "fact_crm_case": ws.build_fact_crm_case(),
+        "fact_previous_application": fact_previous_application(ws), "fact_account_balance": ws.gold("balances"),
+        "bridge_customer_account": ws.gold("bridge"), "fact_repayment_behavior": ws.gold("repayment"),
+    }
+
+
+@query
+def serving_views_all(ws):
+    """Every Gold table in its serving types, with the rows and the values that survive the casts, by column."""
+    parts = []
+    for name, table in gold_tables(ws).items():
+        view = conform_to(table, SERVING[name])
+        counted = view.agg(F.count("*").alias("_rows"), *[F.count(c).alias(c) for c in view.columns])
+        parts.append(counted.unpivot(["_rows"], view.columns, "column_name", "non_null").select(
+            F.lit(name).alias("table_name"), "column_name", F.col("_rows").alias("row_count"), "non_null"
+        ))
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query
+def dq_contracts(ws):
+    """The declared contract of every Gold table, one row per clause."""
+    return reduce(DataFrame.unionByName, [quality.held_to(t, name, CONTRACTS[name]) for name, t in gold_tables(ws).items()])
+
+
+@query
+def dq_suffix_leak(ws):
+    """Masked originators against the raw ones: nothing beyond four characters may show; a column masked too weakly does."""
+    cards = ws.card_txn().select("name_orig_masked", F.lit(None).cast("string").alias("hidden"))
+    weak = ws.entities.card_bronze().select(F.right("nameOrig", F.lit(6)).alias("name_orig_masked"), F.lit("none").alias("hidden"))
+    raw = ws.entities.card_bronze()
+    columns = ["name_orig_masked", "hidden"]
+    return quality.suffix_leaks(cards, "card_txn", columns, raw, "nameOrig").unionByName(
+        quality.suffix_leaks(weak, "card_txn_weak", columns, raw, "nameOrig")
+    )
+
+
 @query
 def dq_unique(ws):
     return quality.unique(
