@@ -122,6 +122,12 @@ def test_exact_duplicates(spark, digest):
     assert exact.exact_duplicates(empty_docs(spark), digest).count() == 0
 
 
+def test_drop_copies_keeps_texts_under_null_ids_only(spark):
+    rows = [(None, "only here", "en", "s1", 1, 0.5, "x", 1), (None, "also", "de", "s2", 2, 0.5, "y", 2), (None, "also", "fr", "s2", 2, 0.5, "y", 2), (None, "both", "en", "s", 1, 0.5, "x", 1), (3, "both", "it", "s", 1, 0.5, "x", 1)]
+    kept = sorted((tuple(r) for r in exact.drop_copies(spark.createDataFrame(rows, DOCS)).collect()), key=lambda r: r[1])
+    assert kept[0] in rows[1:3] and kept[1:] == [rows[4], rows[0]]
+
+
 def test_drop_copies_keeps_whole_rows_and_uses_no_python(spark):
     docs = hard_docs(spark, ["a", "b", "a"])
     kept = exact.drop_copies(docs)

@@ -19,7 +19,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_or_empty, written
+from .common import row_hash, text_or_empty, written
 
 SALTS = 8
 
@@ -72,9 +72,14 @@ def contested(docs: DataFrame, digest: Callable[[Column], Column], shared: DataF
 
 
 def drop_copies(docs: DataFrame) -> DataFrame:
-    """``docs`` without copies: of equal texts, one row of the largest doc_id stays, with all its columns."""
+    """``docs`` without copies: of equal texts, one row of the largest doc_id stays, with all its columns.
+
+    A null doc_id loses to any other. Among rows of one doc_id the largest row hash stays.
+    """
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    merged = docs.select(text_or_empty().alias("content"), F.struct(F.col("doc_id").alias("order"), F.struct(*columns).alias("row")).alias("candidate"))
+    # max_by skips rows whose order is null; a struct never is.
+    order = F.struct(F.col("doc_id").isNotNull().alias("known"), F.col("doc_id").alias("id"), row_hash(docs).alias("mark"))
+    merged = docs.select(text_or_empty().alias("content"), F.struct(order.alias("order"), F.struct(*columns).alias("row")).alias("candidate"))
     local = merged.select(sha256_hex(F.col("content")).alias("digest"), F.pmod(F.xxhash64(F.lit(19), "candidate.order"), F.lit(SALTS)).alias("salt"), "content", "candidate")
     salted = local.groupBy("digest", "salt", "content").agg(F.max_by("candidate", "candidate.order").alias("candidate"))
     final = salted.groupBy("digest", "content").agg(F.max_by("candidate", "candidate.order").alias("candidate"))
