@@ -11,7 +11,7 @@ import regex
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tributary.llm import automaton, chat, contamination, exact, html, lines, mixing, quality, queries, secrets, simhash, tokens
+from tributary.llm import automaton, chat, contamination, exact, html, lines, minhash, mixing, quality, queries, secrets, simhash, tokens
 from tributary.llm.components import components
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, score double, fp string, `_rank` int"
@@ -103,6 +103,46 @@ def test_components_of_a_long_chain_and_a_star(spark):
     assert got == {i: 100 for i in range(100, 161)} | {i: 1 for i in [1, *range(200, 260)]}
 
 
+def jaccard(a, b):
+    """Similarity of the sets of five-word shingles."""
+    def sets(t):
+        w = "".join(c.lower() if c.isascii() else c for c in t or "").split()
+        return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+    a, b = sets(a), sets(b)
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def replaced(rnd, text, n):
+    """``n`` words of a text replaced, and the text's similarity to it falls."""
+    out = text.split()
+    for at in rnd.sample(range(len(out)), n):
+        out[at] = f"x{rnd.randrange(10**6)}"
+    return " ".join(out)
+
+
+def test_pipeline_near_dedup_matches_all_pairs(spark):
+    rnd = random.Random(11)
+    texts = []
+    for _ in range(30):
+        base = words(rnd, rnd.choice((40, 100, 300)), 5000)
+        n = len(base.split())
+        texts += [base, *(replaced(rnd, base, rnd.randint(1, n // 25)) for _ in range(4))]
+    for _ in range(10):  # much alike by a passage that repeats, different in the rest
+        texts.append("the same notice stands in every text of this kind " * 8 + words(rnd, 60, 5000))
+    docs = hard_docs(spark, texts)
+    rows = docs.select("doc_id", "text").distinct().collect()
+    close = [(i, j) for i, a in enumerate(rows) for j, b in enumerate(rows[:i]) if jaccard(a.text, b.text) >= 0.8]
+    groups = {}
+    for r, root in zip(rows, union(close, len(rows))):
+        groups.setdefault(root, []).append(r.doc_id)
+    want = sorted(min((i for i in ids if i is not None), default=None) for ids in groups.values())
+    kept = minhash.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == want
+    assert minhash.keep_one(empty_docs(spark)).count() == 0
+
+
 # ---- exact dedup
 
 @pytest.mark.parametrize("digest", [exact.sha256_hex, lambda t: F.substring(F.sha2(t, 256), 1, 1)], ids=["sha256", "colliding"])

@@ -18,10 +18,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches, by_arrow, discard, free_names, text_bytes, written
+from .common import bound_batches, by_arrow, discard, free_names, row_hash, text_bytes, written
 from .components import components
 
 RADIUS, SEED, SHINGLE = 3, 42, 3
@@ -197,9 +197,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return prints.join(found, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def row_hash(docs: DataFrame) -> Column:
-    """A hash of the whole row in which a null differs from every value."""
-    return F.xxhash64(*[x for c in docs.columns for x in (F.col(f"`{c}`"), F.col(f"`{c}`").isNull())])
+def one_of_each(docs: DataFrame, marked: DataFrame, mark: str, prints: DataFrame, found: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that stay, one for each root. ``marked`` is ``docs`` with the row hash as ``mark``, ``prints``
+    has ``(doc_id, mark, fp)`` of each row and ``found`` the root of each ``fp``; both are read before it returns."""
+    order = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "mark")
+    # Copies of a row meet in map-side sums before anything is compared.
+    rows = prints.groupBy("fp", "doc_id", "mark").agg(F.count("*").alias("copies"))
+    best = rows.join(found, "fp").groupBy("root").agg(F.min_by(F.struct("doc_id", "mark", "copies"), order).alias("w"))
+    winners, _ = written(best.select(F.col("w.doc_id").alias("w_id"), F.col("w.mark").alias("w_mark"), F.col("w.copies").alias("w_copies")), "winners")
+    wid, wmark, wcopies = free_names(marked, "w_id", "w_mark", "w_copies")
+    winners = winners.select(F.col("w_id").alias(wid), F.col("w_mark").alias(wmark), F.col("w_copies").alias(wcopies))
+    kept = marked.join(winners, F.col("doc_id").eqNullSafe(F.col(wid)) & (F.col(mark) == F.col(wmark)))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    return kept.where(F.col(wcopies) == 1).select(*columns).union(kept.where(F.col(wcopies) > 1).select(*columns).distinct())
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
@@ -212,14 +222,6 @@ def keep_one(docs: DataFrame) -> DataFrame:
     marked = docs.select("*", row_hash(docs).alias(mark))
     prints, prints_path = written(with_fingerprint(marked.select("doc_id", "text", mark), fp).select("doc_id", F.col(mark).alias("mark"), F.col(fp).alias("fp")), "prints")
     found, paths = classes(prints.select("doc_id", "fp"))
-    order = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "mark")
-    # Copies of a row meet in map-side sums before anything is compared.
-    rows = prints.groupBy("fp", "doc_id", "mark").agg(F.count("*").alias("copies"))
-    best = rows.join(found, "fp").groupBy("root").agg(F.min_by(F.struct("doc_id", "mark", "copies"), order).alias("w"))
-    winners, _ = written(best.select(F.col("w.doc_id").alias("w_id"), F.col("w.mark").alias("w_mark"), F.col("w.copies").alias("w_copies")), "winners")
+    kept = one_of_each(docs, marked, mark, prints, found)
     discard(docs.sparkSession, prints_path, *paths)
-    wid, wmark, wcopies = free_names(marked, "w_id", "w_mark", "w_copies")
-    winners = winners.select(F.col("w_id").alias(wid), F.col("w_mark").alias(wmark), F.col("w_copies").alias(wcopies))
-    kept = marked.join(winners, F.col("doc_id").eqNullSafe(F.col(wid)) & (F.col(mark) == F.col(wmark)))
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    return kept.where(F.col(wcopies) == 1).select(*columns).union(kept.where(F.col(wcopies) > 1).select(*columns).distinct())
+    return kept
