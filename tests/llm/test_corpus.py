@@ -308,6 +308,18 @@ def test_parts_of_a_text_encode_as_the_whole():
         assert next(encoder.texts([text])) == np.array(plain.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
 
+@pytest.mark.parametrize("name", ["endoftext", "startoftext"])
+def test_added_tokens_encode_alike_in_any_order(name):
+    from tokenizers import Tokenizer
+
+    definition = queries.word_tokenizer()
+    plain = Tokenizer.from_str(definition)
+    for texts in ([f"<|{name}", f"<|{name}|>", f"a<|{name}|>"], [f"<|{name}|>", f"<|{name}", f"{name}|>"], [name, f"{name}<|", f"{name}<|{name}|>"]):
+        encoder = tokens.Encoder(definition)
+        for text in texts * 2:
+            assert next(encoder.texts([text])) == np.array(plain.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
 class Counting(io.BytesIO):
     fetched = 0
 

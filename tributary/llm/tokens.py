@@ -82,15 +82,16 @@ class Encoder:
     def learn(self, parts: set[str]) -> dict[str, bytes]:
         """Ids of parts that are not remembered yet.
 
-        Punctuation after a letter is a piece of its own to the tokenizer, so a word is looked up without it.
+        Punctuation after a letter is a piece of its own to the tokenizer, so a Latin word is looked up without it. All
+        other parts, which may hold added tokens, go to the tokenizer whole: their ids never depend on what is remembered.
         """
         memo, found, cut = self.memo, {}, []
         for part in parts:
             word = part.rstrip(PUNCTUATION)
-            ids = memo.get(word) if word else None
+            ids = memo.get(word) if word.isalpha() else None
             if ids is None and word and (ids := self.word(word)) is not None and len(word) <= MEMO_LETTERS:
                 memo[word] = ids
-            if ids is None or len(word) < len(part) and not word[-1].lower()[-1].isalpha():
+            if ids is None or "<|" in part or len(word) < len(part) and not word[-1].lower()[-1].isalpha():
                 cut.append((part, b"", part))
             elif len(word) < len(part):
                 cut.append((part, ids, part[len(word) :]))
