@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 WORDS = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
+TERMS = "[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
+SPACED = "[^\\x20\\x09-\\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 STATEMENTS: dict[str, str] = {
@@ -60,4 +62,46 @@ STATEMENTS: dict[str, str] = {
                sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn NULLS FIRST, role, text), '')) AS loss_sha256,
                sum(shown)::BIGINT AS formatted_chars
         FROM sized GROUP BY conv_id""",
+    "op11_ngram_jaccard_join": f"""
+        WITH RECURSIVE word AS (
+            SELECT doc_id, coalesce(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '{SPACED}'), []) AS w FROM documents
+        ),
+        own AS (
+            SELECT doc_id, CASE WHEN len(w) = 0 THEN [] ELSE list_sort(list_distinct(
+                [array_to_string(w[i : i + least(3, len(w)) - 1], ' ') FOR i IN range(1, len(w) - least(3, len(w)) + 2)])) END AS s
+            FROM word
+        ),
+        class AS (SELECT s, row_number() OVER () AS class, len(s) AS n FROM (SELECT DISTINCT s FROM own WHERE len(s) > 0)),
+        shingle AS (SELECT class, n, unnest(s) AS x FROM class),
+        link AS (
+            SELECT a.class AS a, b.class AS b FROM shingle a JOIN shingle b ON a.x = b.x AND a.class <> b.class
+                AND 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n)
+            GROUP BY a.class, b.class, a.n, b.n HAVING 190 * count(*) >= 90 * (a.n + b.n)
+        ),
+        reach AS (SELECT class AS a, class AS b FROM class UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a),
+        root AS (SELECT a AS class, min(b) AS root FROM reach GROUP BY a),
+        placed AS (SELECT doc_id, len(own.s) AS n, root FROM own LEFT JOIN class ON own.s = class.s LEFT JOIN root USING (class))
+        SELECT doc_id, n AS n_shingles, CASE WHEN root IS NULL THEN doc_id ELSE min(doc_id) OVER (PARTITION BY root) END AS component_id
+        FROM placed""",
+    "op13_ranked_search": f"""
+        WITH term AS (
+            SELECT doc_id, unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '{TERMS}')) AS term FROM documents
+        ),
+        size AS (SELECT doc_id, count(*) AS n FROM term GROUP BY doc_id),
+        total AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM size),
+        item AS (
+            SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '{TERMS}')) AS term FROM benchmark
+        ),
+        found AS (SELECT doc_id, term, count(*) AS tf FROM term WHERE term IN (SELECT term FROM item) GROUP BY doc_id, term),
+        weight AS (
+            SELECT term, floor(1000 * ln((2 * docs + 2) / (2 * df + 1)::DOUBLE))::BIGINT AS w
+            FROM (SELECT term, count(*) AS df FROM found GROUP BY term), total
+        ),
+        measure AS (SELECT doc_id, 10 + (90 * n * docs) // terms AS m FROM size, total),
+        scored AS (
+            SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+            FROM item JOIN found USING (term) JOIN weight USING (term) JOIN measure USING (doc_id) GROUP BY item_id, doc_id
+        )
+        SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+        FROM scored WHERE score > 0 QUALIFY rank <= 10""",
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, contamination, exact, html, lines, mixing, quality, secrets, simhash, tokens
+from . import chat, contamination, exact, html, lexical, lines, mixing, ngrams, quality, secrets, simhash, tokens, whitening
 from .common import table
 
 
@@ -68,10 +68,23 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngrams.similar_documents(table(spark, sf_dir, "documents"))
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_quality_classifier, op2_mix_sources, op3_token_binary, op4_secret_scan, op5_benchmark_decontamination,
-        op6_exact_dedup, op7_chat_formatting, op8_html_extraction, op9_line_dedup, op10_simhash_near_dedup,
+        op6_exact_dedup, op7_chat_formatting, op8_html_extraction, op9_line_dedup, op10_simhash_near_dedup, op11_ngram_jaccard_join,
+        op12_embedding_whitening, op13_ranked_search,
     )
 }
