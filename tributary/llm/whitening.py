@@ -57,11 +57,11 @@ def tasks(rows: int, width: int) -> int:
     return max(1, -(-rows * width * 8 // GROUP_BYTES))
 
 
-def block_matrix(rows: DataFrame, n: int, width: int, cols_per_block: int = BLOCK_COLS) -> BlockMatrix:
+def block_matrix(rows: DataFrame, n: int, width: int) -> BlockMatrix:
     """The matrix of ``rows (row, centred)``; built in the JVM, a bounded share of rows for each task."""
     dealt = rows.repartition(tasks(n, width), F.floor(F.col("row") / BLOCK_ROWS))
     vectors = MLUtils.convertVectorColumnsFromML(dealt.select(F.col("row").cast("long"), array_to_vector("centred").alias("vector")), "vector")
-    return IndexedRowMatrix(vectors, n, width).toBlockMatrix(BLOCK_ROWS, cols_per_block)
+    return IndexedRowMatrix(vectors, n, width).toBlockMatrix(BLOCK_ROWS, BLOCK_COLS)
 
 
 def product(a: BlockMatrix, b: BlockMatrix, groups: int) -> BlockMatrix:
