@@ -85,17 +85,17 @@ def frequencies(found: DataFrame, size: int) -> DataFrame:
 
 
 def classes(found: DataFrame, documents: int, terms: int, k: int) -> DataFrame:
-    """``(m, bag, first_id, ids)``: the classes of equal bag and ``m`` with their ``k`` smallest doc_ids.
+    """``(class, m, bag, doc_id, member)``: of each class of equal bag and ``m`` the ``k`` smallest doc_ids, by number.
 
     Rows meet by a hash; the bags are compared. The limit by rank also holds below the shuffle, so a hot class sends ``k``
-    rows for each task.
+    rows for each task. Only the first member keeps the bag; its ``row`` names the class.
     """
     m = (F.lit(10) + F.expr(f"(90L * n * {documents}L) div {terms}L")).cast("long")
-    known = found.where(F.length("bag") > 0).select("doc_id", m.alias("m"), "bag").withColumn("print", F.xxhash64("bag", "m"))
-    same = Window.partitionBy("print", "m", "bag").orderBy(F.col("doc_id").asc_nulls_last())
-    members = known.withColumn("member", F.row_number().over(same)).where(F.col("member") <= k)
-    ids = F.sort_array(F.collect_list(F.struct("member", "doc_id")))
-    return members.groupBy("print", "m", "bag").agg(ids.alias("ids")).select("m", "bag", F.col("ids")[0]["doc_id"].alias("first_id"), F.transform("ids", lambda x: x["doc_id"]).alias("ids"))
+    known = found.where(F.length("bag") > 0).select("row", "doc_id", m.alias("m"), "bag").withColumn("print", F.xxhash64("bag", "m"))
+    same = Window.partitionBy("print", "m", "bag").orderBy(F.col("doc_id").asc_nulls_last(), "row")
+    so_far = same.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    members = known.withColumns({"member": F.row_number().over(same), "class": F.first("row").over(so_far)}).where(F.col("member") <= k)
+    return members.select("class", "m", F.when(F.col("member") == 1, F.col("bag")).alias("bag"), "doc_id", "member")
 
 
 class Items:
@@ -133,7 +133,7 @@ class Items:
 class Best:
     """The best ``k`` of each item so far: of higher score, then of smaller first id, nulls last."""
 
-    ORDER = [("item", "ascending"), ("score", "descending"), ("first_id", "ascending")]
+    ORDER = [("item", "ascending"), ("score", "descending"), ("doc_id", "ascending")]
 
     def __init__(self, n_items: int, k: int):
         self.k, self.held, self.least = k, None, np.ones(n_items, np.int64)
@@ -144,7 +144,7 @@ class Best:
         item, row = np.nonzero((scores >= np.maximum(cut, self.least)).T)  # those equal to the last one stay in
         if not len(item):
             return
-        new = pa.table({"item": item, "score": scores[row, item], "class": rows["class"].take(pa.array(row)), "first_id": rows["first_id"].take(pa.array(row))})
+        new = pa.table({"item": item, "score": scores[row, item], "class": rows["class"].take(pa.array(row)), "doc_id": rows["doc_id"].take(pa.array(row))})
         both = (new if self.held is None else pa.concat_tables([self.held, new])).sort_by(self.ORDER)
         number = both["item"].to_numpy()
         begins = np.flatnonzero(np.append(True, number[1:] != number[:-1]))
@@ -155,9 +155,9 @@ class Best:
 
 
 def best(found: DataFrame, items: Items, k: int) -> DataFrame:
-    """``(item, score, class, first_id)``: of the classes that a task sees, the best ``k`` of each item."""
+    """``(item, score, class, doc_id)``: of the classes that a task sees, the best ``k`` of each item."""
     shared = found.sparkSession.sparkContext.broadcast(items)
-    schema = found.select(F.lit(0).cast("long").alias("item"), F.lit(0).cast("long").alias("score"), "class", "first_id").schema
+    schema = found.select(F.lit(0).cast("long").alias("item"), F.lit(0).cast("long").alias("score"), "class", "doc_id").schema
 
     def work(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
@@ -176,7 +176,7 @@ def best(found: DataFrame, items: Items, k: int) -> DataFrame:
             yield from tops.held.to_batches()
 
     bound_batches(found.sparkSession)
-    return found.select("class", "m", "bag", "first_id").mapInArrow(work, schema)
+    return found.select("class", "m", "bag", "doc_id").mapInArrow(work, schema)
 
 
 def search_block(docs: DataFrame, pairs: list, k: int, id_type: str) -> DataFrame:
@@ -188,22 +188,20 @@ def search_block(docs: DataFrame, pairs: list, k: int, id_type: str) -> DataFram
     of_term: list[list[int]] = [[] for _ in vocabulary]
     for p in pairs:
         of_term[vocabulary[bytes(p["term"])]].append(number[p["item"]])
-    found, found_path = written(bags(docs, vocabulary), "bags", "zstd")
+    found, found_path = written(bags(docs, vocabulary).withColumn("row", F.monotonically_increasing_id()), "bags")
     documents, terms = found.agg(F.count_if(F.col("n") > 0), F.coalesce(F.sum("n"), F.lit(0))).first()
     weights = [0] * len(vocabulary)
     for row in frequencies(found, len(vocabulary)).collect():  # a row for each term of the block at most
         weights[row["term"]] = math.floor(1000 * math.log((2 * documents + 2) / (2 * row["df"] + 1)))
-    grouped = classes(found, documents, max(1, terms), k).withColumn("class", F.monotonically_increasing_id())
-    grouped, grouped_path = written(grouped, "bag-classes", "zstd")
-    ahead = Window.partitionBy("item").orderBy(F.col("score").desc(), F.col("first_id").asc_nulls_last())
-    tops = best(grouped, Items(of_term, weights, len(names)), k).withColumn("place", F.row_number().over(ahead)).where(F.col("place") <= k)
-    chosen, chosen_path = written(tops.select("item", "score", F.col("class").alias("of")), "best-classes")
-    expanded = chosen.join(grouped.select("class", "ids"), F.col("of") == F.col("class")).select("item", "score", F.explode("ids").alias("doc_id"))
-    within = Window.partitionBy("item").orderBy(F.col("score").desc(), F.col("doc_id").asc_nulls_last())
-    ranked = expanded.withColumn("rank", F.row_number().over(within)).where(F.col("rank") <= k)
+    members, members_path = written(classes(found, documents, max(1, terms), k), "bag-classes")
+    ahead = Window.partitionBy("item").orderBy(F.col("score").desc(), F.col("doc_id").asc_nulls_last())
+    tops = best(members.where("member = 1"), Items(of_term, weights, len(names)), k).withColumn("place", F.row_number().over(ahead))
+    chosen, chosen_path = written(tops.where(F.col("place") <= k).select("item", "score", F.col("class").alias("of")), "best-classes")
+    expanded = chosen.join(members.select("class", "doc_id"), F.col("of") == F.col("class")).select("item", "score", "doc_id")
+    ranked = expanded.withColumn("rank", F.row_number().over(ahead)).where(F.col("rank") <= k)
     known = spark.createDataFrame(sorted(names.items()), f"of long, item_id {id_type}")
     result, _ = written(ranked.join(known, F.col("item") == F.col("of")).select("item_id", "rank", "doc_id", "score"), "ranks")
-    discard(spark, found_path, grouped_path, chosen_path)
+    discard(spark, found_path, members_path, chosen_path)
     return result
 
 
