@@ -79,14 +79,14 @@ def test_join_of_a_group_without_a_centre(spark, monkeypatch):
     centre = words(rnd, 100, 10**6)
     rows = [(i, replaced(rnd, centre, rnd.randint(1, 4))) for i in range(300)]
     seen = []
-    add = ngrams.Join.add
+    add = ngrams.Spanning.add
 
     def counted(self, pairs):
         pairs = self.keep(pairs, "pairs")
         seen.append(pairs.count())
         return add(self, pairs)
 
-    monkeypatch.setattr(ngrams.Join, "add", counted)
+    monkeypatch.setattr(ngrams.Spanning, "add", counted)
     assert joined(spark.createDataFrame(rows, "doc_id long, text string")) == brute_join(rows)
     assert sum(seen) < 300 * 299 / 2 / 4
 
@@ -103,7 +103,7 @@ def test_sketches_never_exceed_the_difference():
     for n in (5, 40, 300, 5000):
         a = np.unique(rnd.integers(0, 1 << 63, n, dtype=np.uint64))
         b = np.unique(np.append(a[: n - n // 9], rnd.integers(0, 1 << 63, n // 8, dtype=np.uint64)))
-        x, y = (np.frombuffer(ngrams.sketch(s), np.uint8)[None, :] for s in (a, b))
+        x, y = (np.frombuffer(ngrams.CONTRACT.sketch(s), np.uint8)[None, :] for s in (a, b))
         size = min(x.shape[1], y.shape[1])
         apart = int(np.bitwise_count(ngrams.folded(x, size) ^ ngrams.folded(y, size)).sum())
         assert apart <= len(np.setxor1d(a, b))

@@ -2,21 +2,24 @@
 
 Grouped prefix join. All shingles get one global order, rare ones first. Two sets that reach the similarity share a shingle
 among the first few of each, their prefixes. Documents with equal sets are one class; classes of equal prefix and size are
-one group. Groups meet on the shingles of their prefixes, pairs of groups are filtered by size, by the places of the
-common shingle and by a sketch, and only then are members met and verified on all their shingles.
+one group. Groups meet in lists, one for each shingle of their prefixes. Pairs of groups are filtered by size, by the
+places of the common shingle and by a sketch, and only then are members met and verified on all their shingles.
 
 A component needs a spanning set of its links, so a large group of copies is not met all against all:
 
-1. Every group is verified against a few leaders of its lists, and every member against the leader of its group.
-2. Lists that still hold several components are compared in cells of bounded size: a long list is cut into chunks, and each
-   pair of chunks is one cell. A cell yields pairs that may link different components, a spanning set of them at first.
-3. What verification has left apart is compared again, and now every pair that may link is verified.
+1. Groups without any partner that passes the filters leave the lists, before a text is fetched.
+2. The others are verified against a few leaders of their lists, and every member against the first of its group.
+3. Lists that still hold several components yield pairs that may link them, a spanning set at first.
+4. What verification has left apart is compared again, and now every pair that may link is verified.
+
+Lists are compared in cells of bounded size: a long list is cut into chunks, and each pair of chunks is one cell.
 
 A sketch holds, for each of its bits, whether an odd number of shingles fall on it. Two sketches differ in at most as many
 bits as the sets have shingles apart, so the filter loses nothing.
 
 The order takes the frequency of a shingle from a table of ``2**ORDER_BITS`` counters over all documents. Shingles that
-share a counter count as one; this changes how many candidates there are, never the links.
+share a counter count as one; this changes how many candidates there are, never the links. A shingle whose counter is no
+fuller than chance would fill it is cold: few documents can share it.
 
 Nulls, empty texts and those of blanks only have an empty set and are linked with nothing. Rows that repeat stay separate
 rows of one component; a null doc_id is never a component's smallest unless there is no other. Empty tables give no rows.
@@ -25,30 +28,65 @@ Other columns are not read, whatever their names.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from functools import reduce
+from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+import zstandard
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import bound_batches, by_arrow, discard, row_hash, text_bytes, written
 from .components import components
 from .simhash import LOWER
 
-SHINGLE = 3
-LINK, OF = 90, 100  # linked: OF * |intersection| >= LINK * |union|
 ORDER_BITS, ORDER_CHUNKS = 22, 64
 MEMO_WORDS = 1 << 20
 LEADERS = 4  # for each list and band of sizes, by the shingle
 ROUNDS = 2
 CHUNK = 1024
 LEAST_BITS, MOST_BITS = 256, 1 << 16
+MINI = LEAST_BITS // 8  # bytes of the sketch that finds partners at first
 MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
 
+class Rule(NamedTuple):
+    """Sets of shingles of ``size`` words are linked when ``of * |intersection| >= link * |union|``."""
+
+    size: int
+    link: int
+    of: int
+
+    def needed(self, n: np.ndarray | int):
+        """The smallest intersection of two linked sets that have ``n`` elements together, repeats counted."""
+        return -(-self.link * n // (self.link + self.of))
+
+    def prefix_length(self, n: int) -> int:
+        return n + (-self.link * n // self.of) + 1
+
+    def linked(self, a: np.ndarray, b: np.ndarray) -> bool:
+        """Whether two sets, as ascending hashes, reach the similarity."""
+        if self.link * max(len(a), len(b)) > self.of * min(len(a), len(b)):
+            return False
+        both = len(np.intersect1d(a, b, assume_unique=True))
+        return self.of * both >= self.link * (len(a) + len(b) - both)
+
+    def sketch_bits(self, n: int) -> int:
+        """Eight bits, or a few more, for each shingle that two linked sets of this size can have apart."""
+        apart = 2 * n - 2 * self.needed(2 * n)
+        return min(MOST_BITS, max(LEAST_BITS, 1 << (8 * apart - 1).bit_length()))
+
+    def sketch(self, hashes: np.ndarray) -> bytes:
+        bits = self.sketch_bits(len(hashes))
+        odd = np.bincount((hashes & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+        return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+CONTRACT = Rule(3, 90, 100)
+
+
 class Hashes(dict):
     """Hash of each word met so far."""
 
@@ -64,7 +102,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def shingles(text: bytes, known: Hashes, size: int = SHINGLE) -> np.ndarray:
+def shingles(text: bytes, known: Hashes, size: int) -> np.ndarray:
     """Distinct hashes of the word shingles, ascending; a shorter text is one shingle, one without words has none."""
     words = text.translate(LOWER).split()
     if not words:
@@ -78,15 +116,6 @@ def shingles(text: bytes, known: Hashes, size: int = SHINGLE) -> np.ndarray:
     return np.unique(found)
 
 
-def needed(n: np.ndarray | int):
-    """The smallest intersection of two linked sets that have ``n`` elements together, repeats counted."""
-    return -(-LINK * n // (LINK + OF))
-
-
-def prefix_length(n: int) -> int:
-    return n + (-LINK * n // OF) + 1
-
-
 def buckets(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> np.uint64(64 - ORDER_BITS)).astype(np.int64)
 
@@ -96,7 +125,7 @@ def code(counts: np.ndarray) -> np.ndarray:
     return np.minimum(255, 8 * np.log2(1.0 + counts)).astype(np.uint8)
 
 
-def frequency_levels(docs: DataFrame) -> np.ndarray:
+def frequency_levels(docs: DataFrame, rule: Rule) -> np.ndarray:
     """For each counter a level, zero for those no fuller than chance would fill them.
 
     Tasks count their shingles, chunks of counters are added up by a shuffle, and ``2**ORDER_BITS`` bytes reach the driver.
@@ -108,7 +137,7 @@ def frequency_levels(docs: DataFrame) -> np.ndarray:
         for batch in stream:
             data, offsets = text_bytes(batch["text"])
             for a, b in zip(offsets, offsets[1:]):
-                np.add.at(seen, buckets(shingles(bytes(data[a:b]), known)), 1)
+                np.add.at(seen, buckets(shingles(bytes(data[a:b]), known, rule.size)), 1)
         parts = [pa.compress(p.tobytes(), "zstd", asbytes=True) for p in seen.reshape(ORDER_CHUNKS, width)]
         yield pa.RecordBatch.from_arrays([pa.array(range(ORDER_CHUNKS), pa.int32()), pa.array(parts, pa.binary())], ["chunk", "counts"])
 
@@ -134,23 +163,22 @@ def frequency_levels(docs: DataFrame) -> np.ndarray:
     return np.where(codes.ravel() <= usual, 0, codes.ravel() // 4).astype(np.uint8)
 
 
-def sketch_bits(n: int) -> int:
-    """Eight bits, or a few more, for each shingle that two linked sets of this size can have apart."""
-    apart = 2 * n - 2 * needed(2 * n)
-    return min(MOST_BITS, max(LEAST_BITS, 1 << (8 * apart - 1).bit_length()))
-
+def folded(rows: np.ndarray, size: int) -> np.ndarray:
+    """Sketches, as rows of bytes, brought to fewer bits."""
+    while rows.shape[1] > size:
+        half = rows.shape[1] // 2
+        rows = rows[:, :half] ^ rows[:, half:]
+    return rows
 
-def sketch(hashes: np.ndarray) -> bytes:
-    bits = sketch_bits(len(hashes))
-    odd = np.bincount((hashes & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
-    return np.packbits(odd.astype(np.uint8)).tobytes()
 
+SETS = "doc_id {}, mark long, n int, digest binary, front binary, hot int, prefix array<long>, sketch binary"
 
-SETS = "doc_id {}, mark long, n long, digest binary, front binary, prefix array<long>, sketch binary"
 
+def sets(docs: DataFrame, levels: np.ndarray, rule: Rule) -> DataFrame:
+    """Size, digest, prefix and sketch of the set of each row of ``docs (doc_id, mark, text)``; the text is left behind.
 
-def sets(docs: DataFrame, levels: np.ndarray) -> DataFrame:
-    """Size, digest, prefix and sketch of the set of each row of ``docs (doc_id, mark, text)``; the text is left behind."""
+    The last ``hot`` shingles of a prefix are those that are not cold.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(levels)
     known = Hashes()
 
@@ -158,45 +186,49 @@ def sets(docs: DataFrame, levels: np.ndarray) -> DataFrame:
         data, offsets = text_bytes(batch["text"])
         out = []
         for a, b in zip(offsets, offsets[1:]):
-            own = shingles(bytes(data[a:b]), known)
-            first = own[np.argsort(shared.value[buckets(own)], kind="stable")[: prefix_length(len(own))]] if len(own) else own
-            out.append((len(own), xxhash.xxh3_128_digest(own.tobytes()), xxhash.xxh3_128_digest(first.tobytes()), first.view(np.int64), sketch(own)))
-        kinds = [pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.binary()]
+            own = shingles(bytes(data[a:b]), known, rule.size)
+            level = shared.value[buckets(own)]
+            first = np.argsort(level, kind="stable")[: rule.prefix_length(len(own))] if len(own) else np.empty(0, np.int64)
+            hot, first = int((level[first] > 0).sum()), own[first]
+            out.append((len(own), xxhash.xxh3_128_digest(own.tobytes()), xxhash.xxh3_128_digest(first.tobytes()), hot, first.view(np.int64), rule.sketch(own)))
+        kinds = [pa.int32(), pa.binary(), pa.binary(), pa.int32(), pa.list_(pa.int64()), pa.binary()]
         columns = [pa.array(list(x), kind) for x, kind in zip(zip(*out), kinds)]
-        return pa.RecordBatch.from_arrays([batch["doc_id"], batch["mark"], *columns], ["doc_id", "mark", "n", "digest", "front", "prefix", "sketch"])
+        return pa.RecordBatch.from_arrays([batch["doc_id"], batch["mark"], *columns], ["doc_id", "mark", "n", "digest", "front", "hot", "prefix", "sketch"])
 
     return by_arrow(docs.select("doc_id", "mark", "text"), SETS.format(docs.schema["doc_id"].dataType.simpleString()), work)
 
 
-def linked(a: np.ndarray, b: np.ndarray) -> bool:
-    """Whether two sets, as ascending hashes, reach the similarity."""
-    if LINK * max(len(a), len(b)) > OF * min(len(a), len(b)):
-        return False
-    both = len(np.intersect1d(a, b, assume_unique=True))
-    return OF * both >= LINK * (len(a) + len(b) - both)
+def packed(docs: DataFrame) -> DataFrame:
+    """``(mark, text)`` with the text compressed, for a shuffle."""
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        data, offsets = text_bytes(batch["text"])
+        pack = zstandard.ZstdCompressor(level=3)
+        return pa.RecordBatch.from_arrays([batch["mark"], pa.array([pack.compress(bytes(data[a:b])) for a, b in zip(offsets, offsets[1:])], pa.binary())], ["mark", "text"])
+
+    return by_arrow(docs.select("mark", "text"), "mark long, text binary", work)
 
 
-def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs ``(a, b)`` of classes whose sets reach the similarity."""
+def verified(pairs: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
+    """The pairs ``(a, b)`` of classes whose sets reach the similarity; ``texts (cid, text)`` are compressed."""
     left = texts.select(F.col("cid").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("cid").alias("b"), F.col("text").alias("text_b"))
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        words, known = Hashes(), {}
+        words, known, unpack = Hashes(), {}, zstandard.ZstdDecompressor()
         for name in ("a", "b"):
-            data, offsets = text_bytes(batch[f"text_{name}"])
-            for i, a, b in zip(batch[name].to_pylist(), offsets, offsets[1:]):
+            for i, text in zip(batch[name].to_pylist(), batch[f"text_{name}"].to_pylist()):
                 if i not in known:
-                    known[i] = shingles(bytes(data[a:b]), words)
-        good = [linked(known[a], known[b]) for a, b in zip(batch["a"].to_pylist(), batch["b"].to_pylist())]
+                    known[i] = shingles(unpack.decompress(text), words, rule.size)
+        good = [rule.linked(known[a], known[b]) for a, b in zip(batch["a"].to_pylist(), batch["b"].to_pylist())]
         return batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     return by_arrow(pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b"), "a long, b long", work)
 
 
-def star_pairs(lists: DataFrame, turn: int) -> DataFrame:
+def star_pairs(lists: DataFrame, turn: int, rule: Rule) -> DataFrame:
     """Each group with a leader of its list among those of about its size; bands of sizes shift from turn to turn."""
-    band = F.floor(F.log(F.col("n").cast("double")) / float(np.log(OF / LINK)) + turn / ROUNDS)
+    band = F.floor(F.log(F.col("n").cast("double")) / float(np.log(rule.of / rule.link)) + turn / ROUNDS)
     banded = lists.select("token", band.alias("band"), "gid", "root", F.pmod("token", F.lit(LEADERS)).alias("slot"))
     order = F.struct(F.xxhash64("gid", "slot", F.lit(turn)).alias("h"), "gid")
     lead = banded.groupBy(F.col("token").alias("t"), F.col("band").alias("w")).agg(F.min(F.struct(order.alias("o"), "root")).alias("lead"))
@@ -205,24 +237,16 @@ def star_pairs(lists: DataFrame, turn: int) -> DataFrame:
     return met.where((a != b) & (F.col("root") != F.col("lead.root"))).select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).distinct()
 
 
-def folded(rows: np.ndarray, size: int) -> np.ndarray:
-    """Sketches, as bytes, brought to fewer bits."""
-    while rows.shape[1] > size:
-        half = rows.shape[1] // 2
-        rows = rows[:, :half] ^ rows[:, half:]
-    return rows
-
-
-def candidates(x: dict[str, np.ndarray], y: dict[str, np.ndarray], same: bool) -> tuple[np.ndarray, np.ndarray]:
+def candidates(x: dict[str, np.ndarray], y: dict[str, np.ndarray], same: bool, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
     """Places in ``x`` and ``y`` of the pairs of groups that may hold a link between different components."""
     lefts, rights = [], []
     for at in range(0, len(x["gid"]), 256):
         part = {k: v[at : at + 256] for k, v in x.items()}
         one, two = part["n"][:, None], y["n"][None, :]
-        need = needed(one + two)
+        need = rule.needed(one + two)
         i, j = part["pos"][:, None], y["pos"][None, :]
         most = np.minimum(i, j) + 1 + np.minimum(one - 1 - i, two - 1 - j)
-        may = (LINK * np.maximum(one, two) <= OF * np.minimum(one, two)) & (most >= need)
+        may = (rule.link * np.maximum(one, two) <= rule.of * np.minimum(one, two)) & (most >= need)
         low, high = np.minimum(part["low"][:, None], y["low"][None, :]), np.maximum(part["high"][:, None], y["high"][None, :])
         may &= low != high
         if same:
@@ -241,80 +265,90 @@ def candidates(x: dict[str, np.ndarray], y: dict[str, np.ndarray], same: bool) -
             now = own[at : at + (1 << 16)]
             apart = np.bitwise_count(rows_x[x["at"][a[now]]] ^ rows_y[y["at"][b[now]]]).sum(axis=1, dtype=np.int64)
             total = x["n"][a[now]] + y["n"][b[now]]
-            keep[now] = apart <= total - 2 * needed(total)
+            keep[now] = apart <= total - 2 * rule.needed(total)
     return a[keep], b[keep]
 
 
-def cell_pairs(cells: DataFrame, spanning: bool) -> DataFrame:
-    """``(a, b)``: pairs of groups of each cell that may hold a link; if ``spanning``, only such as join components.
+class Cell:
+    """The entries of two chunks of a list, or of one, in arrays."""
 
-    A cell arrives as a run of equal ``(token, i, j)`` and holds two chunks of a list at most.
-    """
-
-    def entries(rows: pa.RecordBatch) -> dict[str, np.ndarray]:
-        return {c: rows[c].to_numpy() for c in ("gid", "n", "pos", "low", "high", "members", "chunk")}
-
-    def of_cell(rows: pa.RecordBatch) -> tuple[list[int], list[int]]:
-        own = entries(rows)
+    def __init__(self, rows: pa.RecordBatch):
+        own = {c: rows[c].to_numpy().astype(np.int64) for c in ("gid", "n", "pos", "low", "high", "members", "chunk")}
         held = rows["sketch"].to_pylist()
         own["bytes"], own["at"] = np.array([len(s) for s in held]), np.arange(len(held))
-        i, j = rows["i"][0].as_py(), rows["j"][0].as_py()
-        sizes = np.unique(own["bytes"]).tolist()
+        sizes, wide = np.unique(own["bytes"]).tolist(), {}
         for size in sizes:
-            wide = np.zeros((len(held), size), np.uint8)
+            wide[f"sketch{size}"] = np.zeros((len(held), size), np.uint8)
             for big in sizes:
                 if big >= size:
                     these = np.flatnonzero(own["bytes"] == big)
-                    wide[these] = folded(np.frombuffer(b"".join([held[k] for k in these]), np.uint8).reshape(-1, big), size)
-            own[f"sketch{size}"] = wide
-        plain = [k for k in own if not k.startswith("sketch")]
-        wide = {k: v for k, v in own.items() if k.startswith("sketch")}
-        x = {k: own[k][own["chunk"] == i] for k in plain} | wide
-        y = x if i == j else {k: own[k][own["chunk"] == j] for k in plain} | wide
-        if not len(x["gid"]) or not len(y["gid"]):
-            return [], []
-        a, b = candidates(x, y, i == j)
-        if not spanning:
-            return x["gid"][a].tolist(), y["gid"][b].tolist()
-        root: dict[int, int] = {}
-
-        def find(k: int) -> int:
-            while root.get(k, k) != k:
-                root[k] = k = root.get(root[k], root[k])
-            return k
-
-        left, right = [], []
-        whole = (x["low"][a] == x["high"][a]) & (y["low"][b] == y["high"][b])
-        for p, q, u, v, one in zip(x["gid"][a].tolist(), y["gid"][b].tolist(), x["low"][a].tolist(), y["low"][b].tolist(), whole.tolist()):
-            if one:
-                u, v = find(u), find(v)
-                if u == v:
-                    continue
-                root[u] = v
-            left.append(p)
-            right.append(q)
-        return left, right
+                    wide[f"sketch{size}"][these] = folded(np.frombuffer(b"".join([held[k] for k in these]), np.uint8).reshape(-1, big), size)
+        i, j = rows["i"][0].as_py(), rows["j"][0].as_py()
+        self.same = i == j
+        self.x = {k: v[own["chunk"] == i] for k, v in own.items()} | wide
+        self.y = self.x if self.same else {k: v[own["chunk"] == j] for k, v in own.items()} | wide
+
+    def pairs(self, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
+        if not len(self.x["gid"]) or not len(self.y["gid"]):
+            return np.empty(0, np.int64), np.empty(0, np.int64)
+        return candidates(self.x, self.y, self.same, rule)
+
+
+def partners(cell: Cell, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
+    """The groups that have a partner, each as a pair of itself."""
+    a, b = cell.pairs(rule)
+    found = np.unique(np.append(cell.x["gid"][a], cell.y["gid"][b]))
+    return found, found
+
 
+def every_pair(cell: Cell, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
+    a, b = cell.pairs(rule)
+    return cell.x["gid"][a], cell.y["gid"][b]
+
+
+def spanning_pairs(cell: Cell, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs that join the components as far as all pairs of the cell would, if each held a link."""
+    a, b = cell.pairs(rule)
+    root: dict[int, int] = {}
+
+    def find(k: int) -> int:
+        while root.get(k, k) != k:
+            root[k] = k = root.get(root[k], root[k])
+        return k
+
+    keep = np.ones(len(a), bool)
+    whole = (cell.x["low"][a] == cell.x["high"][a]) & (cell.y["low"][b] == cell.y["high"][b])
+    for at, u, v in zip(np.flatnonzero(whole).tolist(), cell.x["low"][a[whole]].tolist(), cell.y["low"][b[whole]].tolist()):
+        u, v = find(u), find(v)
+        keep[at] = u != v
+        root[u] = v
+    return cell.x["gid"][a[keep]], cell.y["gid"][b[keep]]
+
+
+def over_cells(cells: DataFrame, rule: Rule, find: Callable[[Cell, Rule], tuple[np.ndarray, np.ndarray]]) -> DataFrame:
+    """``(a, b)``: what ``find`` gives for the cells. A cell arrives as a run of equal ``(token, i, j)``."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def work(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: list[pa.RecordBatch] = []
 
         def out(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
-            left, right = of_cell(pa.Table.from_batches(parts).combine_chunks().to_batches()[0])
-            return pa.RecordBatch.from_arrays([pa.array(np.maximum(left, right).astype(np.int64)), pa.array(np.minimum(left, right).astype(np.int64))], schema=schema)
+            a, b = find(Cell(pa.Table.from_batches(parts).combine_chunks().to_batches()[0]), rule)
+            return pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], schema=schema)
 
+        last = None
         for batch in stream:
             if not batch.num_rows:
                 continue
             keys = np.stack([batch[c].to_numpy() for c in ("token", "i", "j")])
             begins = np.flatnonzero(np.append(True, (keys[:, 1:] != keys[:, :-1]).any(axis=0))).tolist()
             for low, high in zip(begins, [*begins[1:], batch.num_rows]):
-                part = batch.slice(low, high - low)
-                if rest and any(rest[-1][c][0] != part[c][0] for c in ("token", "i", "j")):
+                now = tuple(keys[:, low].tolist())
+                if rest and last != now:
                     yield out(rest)
                     rest = []
-                rest.append(part)
+                last = now
+                rest.append(batch.slice(low, high - low))
         if rest:
             yield out(rest)
 
@@ -323,33 +357,35 @@ def cell_pairs(cells: DataFrame, spanning: bool) -> DataFrame:
     return dealt.mapInArrow(work, "a long, b long").distinct()
 
 
-class Join:
-    """The classes, groups and lists of a set of documents, and the links found so far."""
+def in_cells(lists: DataFrame) -> DataFrame:
+    """``lists`` with a row for every cell that an entry is in; entries of a list of one chunk are in one."""
+    chunks = F.ceil(F.col("entries") / CHUNK)
+    chunked = lists.withColumn("chunks", chunks).withColumn("chunk", F.pmod(F.xxhash64("gid"), F.col("chunks")))
+    each = chunked.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
+    return each.select("token", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "gid", "n", "pos", "low", "high", "members", "chunk", "sketch")
+
 
-    def __init__(self, docs: DataFrame):
-        spark = self.spark = docs.sparkSession
+def counted(lists: DataFrame) -> DataFrame:
+    """``lists`` with the number of entries of each list, without lists of one."""
+    sizes = lists.groupBy(F.col("token").alias("t")).agg(F.count("*").alias("entries")).where("entries > 1")
+    return lists.join(sizes, F.col("token") == F.col("t")).drop("t")
+
+
+class Spanning:
+    """Finds components by verified links among groups that meet in lists.
+
+    A subclass provides ``groups (gid, members, sketch)``, the ``members (gid, cid)`` of groups that have several, the
+    ``lists (token, pos, gid, n, entries)`` and the compressed ``texts (cid, text)``. A group goes by its first member.
+    """
+
+    groups: DataFrame
+    members: DataFrame
+    lists: DataFrame
+    texts: DataFrame
+
+    def __init__(self, spark, rule: Rule):
+        self.spark, self.rule = spark, rule
         self.paths: list[str] = []
-        marked = docs.select("doc_id", "text", row_hash(docs.select("doc_id", "text")).alias("mark"))
-        self.sets = self.keep(sets(marked, frequency_levels(docs)), "sets")
-        alike = self.sets.where("n > 0").groupBy("n", "digest").agg(
-            F.min("doc_id").alias("first_id"), F.count("*").alias("copies"), F.min("mark").alias("mark"),
-            F.first("front").alias("front"), F.first("prefix").alias("prefix"), F.first("sketch").alias("sketch"),
-        )
-        self.classes = self.keep(alike.withColumn("cid", F.monotonically_increasing_id()), "classes")
-        grouped = self.classes.groupBy("n", "front").agg(
-            F.min("cid").alias("gid"), F.count("*").alias("members"), F.first("prefix").alias("prefix"),
-            F.min_by("sketch", "cid").alias("sketch"),
-        )
-        self.groups = self.keep(grouped, "groups")
-        several = self.groups.where("members > 1").select("n", "front", "gid")
-        self.members = self.keep(self.classes.join(several, ["n", "front"]).select("gid", "cid"), "members")
-        postings = self.groups.select(F.posexplode("prefix").alias("pos", "token"), "gid", "n")
-        often = postings.groupBy(F.col("token").alias("t")).agg(F.count("*").alias("entries")).where("entries > 1")
-        self.lists = self.keep(postings.join(often, F.col("token") == F.col("t")).select("token", F.col("pos").cast("long").alias("pos"), "gid", "n", "entries"), "lists")
-        wanted = self.lists.select(F.col("gid").alias("cid")).union(self.members.select("cid")).distinct()
-        wanted = self.classes.join(wanted, "cid", "left_semi").union(self.classes.join(self.members.select("cid"), "cid", "left_semi")).select("cid", "mark").distinct()
-        own = marked.select(F.col("mark").alias("m"), "text").join(wanted, F.col("m") == F.col("mark")).select("cid", "text").dropDuplicates(["cid"])
-        self.texts = self.keep(own, "candidate-texts", "zstd")
         self.links = spark.createDataFrame([], "a long, b long")
         self.roots = spark.createDataFrame([], "node long, root long")
 
@@ -360,7 +396,7 @@ class Join:
 
     def add(self, pairs: DataFrame) -> int:
         """Verifies pairs of classes and brings the components up to date; how many links there are now to add."""
-        found = self.keep(verified(pairs, self.texts), "links")
+        found = self.keep(verified(pairs, self.texts, self.rule), "links")
         n = found.count()
         if n:
             self.links = self.links.union(found)
@@ -382,11 +418,7 @@ class Join:
         return placed.join(apart, F.col("token") == F.col("t"), "left_semi")
 
     def cells(self) -> DataFrame:
-        lists = self.open_lists().join(self.groups.select(F.col("gid").alias("g"), "members", "sketch"), F.col("gid") == F.col("g")).drop("g")
-        n_chunks = F.ceil(F.col("entries") / CHUNK)
-        chunked = lists.withColumn("chunks", n_chunks).withColumn("chunk", F.pmod(F.xxhash64("gid"), F.col("chunks")))
-        each = chunked.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
-        return each.select("token", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "gid", "n", "pos", "low", "high", "members", "chunk", "sketch")
+        return in_cells(self.open_lists().join(self.groups.select(F.col("gid").alias("g"), "members", "sketch"), F.col("gid") == F.col("g")).drop("g"))
 
     def expanded(self, pairs: DataFrame) -> DataFrame:
         """Pairs of groups as pairs of their members, as far as those are in different components."""
@@ -410,12 +442,57 @@ class Join:
     def run(self) -> None:
         own = self.members.where("cid <> gid").select(F.col("cid").alias("a"), F.col("gid").alias("b"))
         for turn in range(ROUNDS):
-            lists = self.open_lists().withColumn("root", F.col("low"))
-            stars = star_pairs(lists, turn)
+            stars = star_pairs(self.open_lists().withColumn("root", F.col("low")), turn, self.rule)
             self.add(stars.union(own) if turn == 0 else stars)
-        for spanning in (True, False):
-            pairs = self.expanded(self.keep(cell_pairs(self.cells(), spanning), "group-pairs"))
-            self.add(pairs if spanning else pairs.union(self.inside()))
+        for find in (spanning_pairs, every_pair):
+            pairs = self.expanded(self.keep(over_cells(self.cells(), self.rule, find), "group-pairs"))
+            self.add(pairs if find is spanning_pairs else pairs.union(self.inside()))
+
+
+class PrefixJoin(Spanning):
+    """The classes, groups and lists of a set of documents."""
+
+    def __init__(self, docs: DataFrame, rule: Rule):
+        super().__init__(docs.sparkSession, rule)
+        marked = docs.select("doc_id", "text", row_hash(docs.select("doc_id", "text")).alias("mark"))
+        self.sets = self.keep(sets(marked, frequency_levels(docs, rule), rule), "sets")
+        known = self.sets.where("n > 0")
+        meeting = F.xxhash64("n", "front")  # groups that share it are met as one
+        alike = known.groupBy("n", "digest").agg(
+            F.min("doc_id").alias("first_id"), F.count("*").alias("copies"), F.min("mark").alias("mark"),
+            F.min("front").alias("front"), F.min("sketch").alias("sketch"),
+        )
+        alike = alike.select("n", "digest", "first_id", "copies", "mark", "sketch", meeting.alias("meeting"), F.monotonically_increasing_id().alias("cid"))
+        self.classes = self.keep(alike, "classes")
+        found = self.classes.groupBy("meeting").agg(F.min("cid").alias("gid"), F.count("*").alias("members"), F.min_by("sketch", "cid").alias("sketch"))
+        groups = self.keep(found, "groups")
+        self.lists, alive = self.shared_shingles(known, groups, meeting)
+        self.groups = self.keep(groups.join(alive, "gid", "left_semi").select("gid", "members", "sketch"), "live-groups")
+        several = groups.where("members > 1").select("meeting", "gid")
+        self.members = self.keep(self.classes.join(several, "meeting").select("gid", "cid"), "members")
+        wanted = alive.select(F.col("gid").alias("cid")).union(self.members.select("cid")).distinct()
+        wanted = self.keep(self.classes.join(wanted, "cid", "left_semi").select("cid", F.col("mark").alias("m")), "wanted")
+        own = packed(marked).join(wanted, F.col("mark") == F.col("m")).select("cid", "text").dropDuplicates(["cid"])
+        self.texts = self.keep(own, "candidate-texts")
+
+    def shared_shingles(self, known: DataFrame, groups: DataFrame, meeting) -> tuple[DataFrame, DataFrame]:
+        """The lists, cut down to groups that have a partner somewhere, and those groups."""
+        fronts = known.groupBy("n", "front").agg(F.first("prefix").alias("prefix"), F.first("hot").alias("hot"))
+        each = fronts.select(meeting.alias("meeting"), "n", (F.size("prefix") - F.col("hot")).alias("cold"), F.posexplode("prefix").alias("pos", "token"))
+        by_size = Window.partitionBy("token").orderBy("n")
+        link, of = self.rule.link, self.rule.of
+        near = (of * F.lag("n").over(by_size) >= link * F.col("n")) | (link * F.lead("n").over(by_size) <= of * F.col("n"))
+        # A cold shingle is in few documents, so its list is short; hot ones stay out of the window.
+        cold = each.where("pos < cold").select("meeting", "n", "pos", "token").withColumn("near", near).where("near").drop("near")
+        both = cold.union(each.where("pos >= cold").select("meeting", "n", "pos", "token"))
+        every = self.keep(both, "postings")
+        # Any pair of members may have a link, so a group of several always has partners.
+        mini = groups.select("meeting", "gid", "members", "sketch")
+        met = counted(every.join(mini, "meeting").drop("meeting"))
+        marks = over_cells(in_cells(met.withColumns({"low": F.col("gid"), "high": F.col("gid")})), self.rule, partners)
+        alive = self.keep(marks.select(F.col("a").alias("gid")).union(groups.where("members > 1").select("gid")).distinct(), "alive")
+        lists = every.join(groups.select("meeting", "gid"), "meeting").join(alive, "gid", "left_semi").select("token", "pos", "gid", "n")
+        return self.keep(counted(lists), "lists"), alive
 
     def verdicts(self) -> DataFrame:
         rooted = self.classes.join(self.roots, F.col("cid") == F.col("node"), "left").select("n", "digest", "first_id", "copies", "root", F.coalesce("root", "cid").alias("of"))
@@ -426,12 +503,12 @@ class Join:
         )
         table = self.keep(known, "components")
         met = self.sets.select("doc_id", "n", "digest").join(table, (F.col("n") == F.col("of_n")) & (F.col("digest") == F.col("of_digest")), "left")
-        return met.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("met"), F.col("least")).otherwise(F.col("doc_id")).alias("component_id"))
+        return met.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("met"), F.col("least")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
-def similar_documents(docs: DataFrame) -> DataFrame:
+def similar_documents(docs: DataFrame, rule: Rule = CONTRACT) -> DataFrame:
     """``(doc_id, n_shingles, component_id)``, a row for each row of ``docs``."""
-    join = Join(docs.select("doc_id", "text"))
+    join = PrefixJoin(docs.select("doc_id", "text"), rule)
     join.run()
     found = join.verdicts()
     discard(docs.sparkSession, *[p for p in join.paths if "/sets-" not in p and "/components-" not in p])
