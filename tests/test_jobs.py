@@ -149,9 +149,20 @@ def test_erasure_reaches_every_table(built, ws):
     lake, _ = built
     xwalk = ws.gold("crosswalk")
     erased = xwalk.where("source_system = 'home_credit' and native_key in ('1', '13', '25')").select("customer_id")
+    keys = {(r.kind, r.key) for r in jobs._gone_keys(lake, erased).collect()}
+    before = {p: stamp for p, _, stamp in lake.files.data_files(lake.path("gold", "fact_txn"))}
     report = {r.table_name: (r.rows_before, r.rows_after) for r in jobs.erase(lake, erased, "erase-1").collect()}
     assert report["gold.fact_loan_application"][0] - report["gold.fact_loan_application"][1] == erased.count()
     gone = {r[0] for r in erased.collect()}
     for table in [*jobs.CUSTOMER_TABLES, *jobs.CUSTOMER_FACTS, "dim_customer_xwalk"]:
         assert lake.read("gold", table).where(F.col("customer_id").isin(*gone)).count() == 0
     assert lake.read("silver", "application").where("sk_id_curr in ('1', '13', '25')").count() == 0
+    for layer, table, kind, column in jobs._erasure_targets(lake):
+        named = {str(r[0]) for r in lake.read(layer, table).select(column).collect()}
+        assert not named & {k for of, k in keys if of == kind}, table
+    assert {"silver.bureau", "silver.quarantine_bureau_orphans", "silver.trans", "silver.account", "gold.fact_account_balance"} <= set(report)
+    after = {p: stamp for p, _, stamp in lake.files.data_files(lake.path("gold", "fact_txn"))}
+    hit = {p.rsplit("/", 1)[0] for p in before.keys() - after.keys()}
+    assert all(after[p] == before[p] for p in before if p.rsplit("/", 1)[0] not in hit)  # other partitions keep their files
+    again = {r.table_name: (r.rows_before, r.rows_after) for r in jobs.erase(lake, erased, "erase-2").collect()}
+    assert all(x == y for x, y in again.values())

@@ -78,3 +78,18 @@ def test_late_rows_are_counted(spark, lake):
     add("2024-01-01 00:20:00", "2024-01-01 09:00:00")
     assert jobs.late_rows(run()) == 1
     assert rows(lake.read("gold", "w").select(F.hour("window_start"), "txn_count")) == [(0, 1), (5, 1)]
+
+
+def test_redelivered_events_without_a_number_are_appended_once(spark, lake):
+    for day in ("2024-01-01", "2024-01-02"):
+        land(spark, lake, [event(1, "I", "a", "x", day)[:0] + (None, "I", "n", "x", "2024-01-01 00:00:00", day), event(2, "U", "a", "y", day)])
+        jobs.stream_promote(lake, stream(lake), "b").awaitTermination()
+    assert rows(lake.read("bronze", "b").select("pk_value", "seq")) == [("a", 2), ("n", None)]
+
+
+def test_state_table_grows(spark, lake):
+    for run, buckets in (("r1", 4), ("r2", 7), ("r3", 3)):
+        events = spark.createDataFrame([event(1, "I", str(i), run) for i in range(20)], DDL).withColumn("seq", F.lit(int(run[1])))
+        jobs.apply_changes(lake, events, "st", run, buckets=buckets)
+    assert sorted(int(r.pk_value) for r in jobs.current_state(lake, "st").collect()) == list(range(20))
+    assert {r.label for r in jobs.current_state(lake, "st").collect()} == {"r3"}

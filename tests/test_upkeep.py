@@ -149,3 +149,52 @@ def test_partitions_are_kept_without_being_told(spark, lake, how):
     assert maintenance.partition_columns(lake, "gold", "t") == ["p"]
     with pytest.raises(ValueError):
         maintenance.compact(lake, "gold", "t", run_id="r2", partition_by=["id"])
+
+
+IDS = ["001234567890", "12345678e901", "000000000000"]
+
+
+def digits_table(spark, lake):
+    """Load ids of digits only, or that read like a float; each in several files."""
+    rows_ = spark.range(300).select(F.col("id"), F.element_at(F.array(*[F.lit(i) for i in IDS]), (F.col("id") % 3 + 1).cast("int")).alias("load_id"))
+    rows_.repartition(6).write.partitionBy("load_id").parquet(lake.path("bronze", "s", "t"))
+
+
+def test_partition_values_that_look_like_numbers_survive(spark, lake):
+    digits_table(spark, lake)
+    before = sorted((r.id, r.load_id) for r in lake.read("bronze", "s", "t", text_partitions=True).collect())
+    assert {i for _, i in before} == set(IDS)
+    assert maintenance.compact(lake, "bronze", "s", "t", run_id="r1")
+    assert sorted((r.id, r.load_id) for r in lake.read("bronze", "s", "t", text_partitions=True).collect()) == before
+    assert len(lake.files.glob(lake.path("bronze", "s", "t") + "/load_id=*/part-*")) == 3
+    maintenance.cluster(lake, "bronze", "s", "t", key="id", run_id="r2")
+    assert sorted((r.id, r.load_id) for r in lake.read("bronze", "s", "t", text_partitions=True).collect()) == before
+
+
+def test_layout_keeps_the_types_of_partition_columns(spark, lake):
+    rows_ = spark.createDataFrame([("007", 1, "2024-01-01"), ("1e5", 2, "x")], "a string, b int, c string")
+    lake.write_snapshot(rows_, "gold", "t", partition_by=["a", "b"])
+    assert lake.read("gold", "t").schema.simpleString() == "struct<c:string,a:string,b:int>"
+    assert sorted(r.a for r in lake.read("gold", "t").collect()) == ["007", "1e5"]
+    lake.write_snapshot(rows_.select(F.col("c").alias("a")), "gold", "t")
+    assert sorted(r.a for r in lake.read("gold", "t").collect()) == ["2024-01-01", "x"]
+
+
+def test_clustering_by_several_keys(spark, lake):
+    """Either key alone names few of the files; skewed keys, nulls and text keys included."""
+    df = spark.range(20_000).select(
+        F.pmod(F.xxhash64("id"), F.lit(5000)).alias("a"), F.concat(F.lit("customer-"), F.lpad(F.pmod(F.hash("id"), F.lit(3000)).cast("string"), 6, "0")).alias("b"),
+        F.when(F.col("id") % 3 > 0, F.col("id")).alias("c"), F.repeat(F.lit("x"), 20).alias("pad"),
+    )
+    lake.write_snapshot(df.repartition(3), "gold", "t")
+    size = sum(n for _, n in maintenance.file_stats(lake, "gold", "t").values())
+    maintenance.cluster_multi(lake, "gold", "t", keys=["a", "b"], run_id="r1", target_bytes=size // 64)
+    assert rows(lake.read("gold", "t")) == rows(df)
+    spans = lake.read("gold", "t").groupBy(F.input_file_name().alias("f")).agg(F.min("a").alias("a0"), F.max("a").alias("a1"), F.min("b").alias("b0"), F.max("b").alias("b1")).collect()
+    assert len(spans) > 40
+    for value in (17, 2500, 4999):
+        assert sum(s.a0 <= value <= s.a1 for s in spans) < len(spans) / 3
+    for value in ("customer-000007", "customer-001500", "customer-002990"):
+        assert sum(s.b0 <= value <= s.b1 for s in spans) < len(spans) / 3
+    maintenance.cluster_multi(lake, "gold", "t", keys=["c", "a"], run_id="r2", target_bytes=size // 8)
+    assert rows(lake.read("gold", "t")) == rows(df)

@@ -1,10 +1,11 @@
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from conftest import rows
 from tributary.lake import Lake
-from tributary.operators import upsert
+from tributary.operators import buckets, upsert
 
 DDL = "k string, v string, updated_at string"
 
@@ -97,3 +98,83 @@ def test_equals_dict_replay(spark, lake, batches):
         upsert.upsert(table, batch(spark, [(k, str(v), f"t{i}") for k, v in data.items()]), "t", ["k"], f"r{i}", buckets=2)
         state.update({k: str(v) for k, v in data.items()})
     assert rows(upsert.read_upserted(table, "t").select("k", "v")) == sorted(state.items(), key=repr)
+
+
+def test_a_larger_table_splits_single_buckets(spark, lake):
+    def keys():
+        return sorted(r.k for r in upsert.read_upserted(lake, "t").collect())
+
+    upsert.upsert(lake, batch(spark, [(str(i), "1", "t1") for i in range(20)]), "t", ["k"], "r1", buckets=4)
+    before = set(lake.files.glob(lake.path("silver", "t") + "/bucket=*/part-*"))
+    buckets.bucket_count(lake, "t", ["k"], 7)
+    after = set(lake.files.glob(lake.path("silver", "t") + "/bucket=*/part-*"))
+    assert {f.rsplit("bucket=", 1)[1][0] for f in before & after} == {"3"}  # 0, 1 and 2 hand over to 4, 5 and 6
+    upsert.upsert(lake, batch(spark, [(str(i), "2", "t2") for i in range(10, 22)]), "t", ["k"], "r2", buckets=7)
+    assert keys() == sorted(str(i) for i in range(22))
+    upsert.upsert(lake, batch(spark, [(str(i), "3", "t3") for i in range(22)]), "t", ["k"], "r3", buckets=2)  # never shrinks
+    assert keys() == sorted(str(i) for i in range(22)) and lake.layout("silver", "t")["buckets"] == 7
+    got = buckets.with_bucket(lake.read("silver", "t").withColumnRenamed("bucket", "b"), ["k"], 7)
+    assert got.where("b <> bucket").count() == 0
+
+
+@given(st.integers(1, 40), st.integers(0, 40))
+def test_split_buckets_are_those_whose_addresses_change(now, more):
+    def at(h, n):
+        full = 1 << (n - 1).bit_length()
+        return h % full if h % full < n else h % full - full // 2
+
+    moved = {at(h, now) for h in range(4096) if at(h, now) != at(h, now + more)}
+    assert moved == set(buckets.split_buckets(now, now + more))
+    assert all(at(h, now + more) >= now for h in range(4096) if at(h, now) != at(h, now + more))
+
+
+def test_growth_that_died_is_finished(spark, lake, monkeypatch):
+    upsert.upsert(lake, batch(spark, [(str(i), "1", "t1") for i in range(40)]), "t", ["k"], "r1", buckets=4)
+    real = lake.files.delete
+    monkeypatch.setattr(lake, "overwrite_partitions", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("killed")))
+    with pytest.raises(RuntimeError):
+        buckets.bucket_count(lake, "t", ["k"], 6)
+    monkeypatch.undo()
+    assert buckets.bucket_count(lake, "t", ["k"], 5) == 6 and lake.files.delete == real
+    assert sorted(int(r.k) for r in upsert.read_upserted(lake, "t").collect()) == list(range(40))
+
+
+def test_a_swap_that_died_does_not_outlive_growth(spark, lake, monkeypatch):
+    upsert.upsert(lake, batch(spark, [(str(i), "1", "t1") for i in range(20)]), "t", ["k"], "r1", buckets=2)
+    monkeypatch.setattr(lake, "overwrite_partitions", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("killed")))
+    with pytest.raises(RuntimeError):
+        upsert.upsert(lake, batch(spark, [("3", "2", "t2")]), "t", ["k"], "r2", buckets=2)
+    monkeypatch.undo()
+    upsert.upsert(lake, batch(spark, [("4", "3", "t3")]), "t", ["k"], "r3", buckets=5)
+    upsert.upsert(lake, batch(spark, [("3", "2", "t2")]), "t", ["k"], "r2", buckets=2)
+    got = {r.k: r.v for r in upsert.read_upserted(lake, "t").collect()}
+    assert len(got) == 20 == upsert.read_upserted(lake, "t").count() and (got["3"], got["4"]) == ("2", "3")
+
+
+def test_table_of_unknown_buckets_is_dealt_anew(spark, lake):
+    rows_ = batch(spark, [(str(i), "1", "t1") for i in range(20)]).withColumn("bucket", F.pmod(F.xxhash64("k"), F.lit(3)).cast("int"))
+    rows_.write.partitionBy("bucket").parquet(lake.path("silver", "t"))
+    upsert.upsert(lake, batch(spark, [("3", "2", "t2")]), "t", ["k"], "r1", buckets=5)
+    assert upsert.read_upserted(lake, "t").count() == 20
+
+
+def test_runs_without_rows_or_rejects(spark, lake):
+    """Rows of files that all fail a filter are only found to be none at run time."""
+    lake.write_snapshot(batch(spark, [(str(i), "1", "t") for i in range(20)]).withColumn("verdict", F.lit(None).cast("string")), "bronze", "rows")
+    stored = lake.read("bronze", "rows")
+    nothing = stored.where("v = '2'")
+    assert upsert.quarantine(lake, stored.where("verdict is not null"), "rule", "r1", verdict="verdict") == 0
+    assert upsert.upsert(lake, nothing.drop("verdict"), "t", ["k"], "r1", buckets=2) == 0
+    assert upsert.upsert(lake, stored.drop("verdict"), "t", ["k"], "r2", buckets=2) == 0
+    assert upsert.upsert(lake, nothing.drop("verdict"), "t", ["k"], "r3", buckets=2) == 0
+    assert upsert.read_upserted(lake, "t").count() == 20
+    assert upsert.split_write(lake, nothing, "split", "r1", verdict="verdict") == {"clean": 0, "quarantined": 0}
+    assert upsert.split_write(lake, stored, "split", "r1", verdict="verdict") == {"clean": 20, "quarantined": 0}
+
+
+def test_a_repeated_run_without_rejects_leaves_none(spark, lake):
+    bad = batch(spark, [("a", "1", "t")]).withColumn("verdict", F.lit("bad"))
+    for run_id in ("2024-01-01T00:00", "123", "0123"):
+        assert upsert.quarantine(lake, bad, "rule", run_id, verdict="verdict") == 1
+    assert upsert.quarantine(lake, bad.where("k = 'b'"), "rule", "2024-01-01T00:00", verdict="verdict") == 0
+    assert sorted(r.run_id for r in lake.read("silver", "quarantine_rule").collect()) == ["0123", "123"]

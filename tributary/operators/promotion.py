@@ -244,7 +244,7 @@ def fresh_changes(lake: Lake, events: DataFrame, loads: DataFrame, source: str,
         return only_new_changes(events, None, order=("dt", "load_id"))
     ids = loads.select("load_id")
     span = events.agg(F.min("seq").alias("low"), F.max("seq").alias("high"))
-    known = lake.read("bronze", source, table).join(ids, "load_id", "left_anti")
+    known = lake.read("bronze", source, table, text_partitions=True).join(ids, "load_id", "left_anti")
     known = known.where(F.col("seq").isNull() | F.col("seq").between(span.select("low").scalar(), span.select("high").scalar()))
     return only_new_changes(events, known, order=("dt", "load_id"))
 

@@ -16,9 +16,11 @@ from pyspark.sql.types import StructType
 
 from ..functions.columns import MONEY, mask_last4
 from ..lake import Lake
-from ..operators import conform, identity, promotion, quality, upsert
+from ..operators import conform, fileindex, identity, increments, promotion, quality, upsert
+from ..operators.buckets import BUCKET, with_bucket
 from ..operators.control import read_state, record_state, write_once
 from ..schemas import CONTRACTS
+from ..operators.scale import skew_safe_join
 from ..sources import landing
 from . import marts, star
 
@@ -63,6 +65,13 @@ NATIVE_TABLES = {
 }
 
 
+# Tables that name a customer by a transaction of theirs, or by an account.
+KEYED_TABLES = {
+    "card_txn": ("paysim txn", "txn_id"), "trans": ("berka txn", "trans_id"), "account": ("account", "account_id"),
+    "campaign_response": ("customer", "customer_id"),
+}
+
+
 class Feed(NamedTuple):
     """How one table of a source arrives. Tables of a source with the same ``file_set`` are promoted together per date."""
 
@@ -153,12 +162,27 @@ def _text_keys(df: DataFrame) -> DataFrame:
 
 
 def _crm(lake: Lake, table: str, names: dict[str, str]) -> DataFrame:
+    return _crm_names(_bronze(lake, "salesforce", table), names)
+
+
+def _crm_names(raw: DataFrame, names: dict[str, str]) -> DataFrame:
     """Renamed CRM object; its modification stamp, when delivered, decides which copy is latest."""
-    raw = _bronze(lake, "salesforce", table)
     wanted = {**names, **({MODIFIED: "updated_at"} if MODIFIED in raw.columns else {})}
     return conform.project(raw, wanted)
 
 
+def _conform_transactions(raw: DataFrame) -> DataFrame:
+    return raw.withColumns(
+        {
+            "date": F.col("date").try_cast("timestamp_ntz"),
+            "amount": F.col("amount").try_cast(MONEY),
+            "balance": F.col("balance").try_cast(MONEY),
+            "partner_account": mask_last4(F.col("partner_account")),
+            "currency": F.lit("CZK"),
+        }
+    )
+
+
 def _records(lake: Lake, table: str, record: str, native: str) -> DataFrame:
     """Record id to native key; redelivered copies of a record collapse to one row."""
     raw = _bronze(lake, "salesforce", table)
@@ -181,15 +205,7 @@ def silver_crm(lake: Lake, run_id: str, buckets: int = 64) -> dict[str, int]:
         [(contacts, "contact_ref", "contact_id", "client_id"), (accounts, "account_ref", "record_id", "account_id")],
     )
     cases = conform.resolve_surrogates(_crm(lake, "case", CASE), [(contacts, "contact_ref", "contact_id", "client_id")])
-    trans = _crm(lake, "transaction", TRANSACTION).withColumns(
-        {
-            "date": F.col("date").try_cast("timestamp_ntz"),
-            "amount": F.col("amount").try_cast(MONEY),
-            "balance": F.col("balance").try_cast(MONEY),
-            "partner_account": mask_last4(F.col("partner_account")),
-            "currency": F.lit("CZK"),
-        }
-    )
+    trans = _conform_transactions(_crm(lake, "transaction", TRANSACTION))
     put(_crm(lake, "account", ACCOUNT), "account", "account_id")
     put(_crm(lake, "district", DISTRICT), "district", "district_id")
     put(links, "disp", "disp_id")
@@ -216,6 +232,7 @@ def silver_sales(lake: Lake, run_id: str, buckets: int = 64) -> dict[str, int]:
         tagged = lake.read("staging", "tagged", table, run_id)
         upsert.upsert(lake, conform.clean(tagged), table, list(keys), run_id, buckets)
         rejected[table] = upsert.quarantine(lake, tagged.where(F.col(conform.VERDICT).isNotNull()), f"{table}_orphans", run_id)
+        lake.unstage("tagged", table, run_id)
     return rejected
 
 
@@ -253,7 +270,7 @@ def silver_core_banking(lake: Lake, run_id: str, buckets: int = 64) -> None:
 
 
 def _silver(lake: Lake, table: str) -> DataFrame:
-    return lake.read("silver", table).drop(upsert.BUCKET)
+    return lake.read("silver", table).drop(BUCKET)
 
 
 def currency_gate(lake: Lake) -> None:
@@ -289,14 +306,31 @@ def gold_dimensions(lake: Lake, xwalk: DataFrame, fx: DataFrame, first_day: str,
     lake.write_snapshot(star.bridge_customer_account(_silver(lake, "disp"), xwalk), "gold", "bridge_customer_account")
 
 
-def gold_facts(lake: Lake) -> None:
+# The feeds of the transaction fact: Bronze table, Silver table, its key, and the source system of its rows in the fact.
+TXN_FEEDS = {
+    ("mssql", "paysim_transactions"): ("card_txn", "txn_id", "paysim"),
+    ("salesforce", "transaction"): ("trans", "trans_id", "berka"),
+}
+PERIOD = ("txn_year", "txn_month")
+
+
+def transaction_facts(lake: Lake) -> None:
+    """Transactions and fraud from all of Silver. Periods that no longer exist are gone afterwards; all loads are taken."""
     xwalk, fx = lake.read("gold", "dim_customer_xwalk"), lake.read("gold", "dim_fx_rate")
+    taken = {feed: increments.all_loads(lake, *feed) for feed in TXN_FEEDS}
     raw_cards = _bronze(lake, "mssql", "paysim_transactions")
-    period = ["txn_year", "txn_month"]
     txns = star.fact_txn(_silver(lake, "card_txn"), raw_cards, _silver(lake, "trans"), _silver(lake, "disp"), xwalk, fx)
-    lake.overwrite_partitions(txns, "gold", "fact_txn", partition_by=period)
-    fraud = star.fact_card_fraud(_silver(lake, "card_txn"), raw_cards, xwalk, fx)
-    lake.overwrite_partitions(fraud, "gold", "fact_card_fraud", partition_by=period)
+    lake.write_snapshot(txns, "gold", "fact_txn", partition_by=PERIOD)
+    lake.write_snapshot(star.fraud_of_transactions(lake.read("gold", "fact_txn")), "gold", "fact_card_fraud", partition_by=PERIOD)
+    for feed, loads in taken.items():
+        known = set(increments.new_loads(lake, "fact_txn", *feed))
+        increments.take(lake, "fact_txn", *feed, [x for x in loads if x in known], "full")
+
+
+def gold_facts(lake: Lake) -> None:
+    """All facts, built anew."""
+    transaction_facts(lake)
+    xwalk, fx = lake.read("gold", "dim_customer_xwalk"), lake.read("gold", "dim_fx_rate")
     lake.write_snapshot(star.fact_loan_application(_silver(lake, "application"), xwalk), "gold", "fact_loan_application")
     previous = star.fact_previous_application(_silver(lake, "previous_application"), xwalk)
     lake.write_snapshot(previous, "gold", "fact_previous_application")
@@ -308,6 +342,112 @@ def gold_facts(lake: Lake) -> None:
     lake.write_snapshot(behavior, "gold", "fact_repayment_behavior")
 
 
+def follow_transactions(lake: Lake, run_id: str, buckets: int = 64) -> dict[str, int]:
+    """New loads of both transaction feeds into Silver, then into the transaction and fraud facts; loads and periods.
+
+    Of Bronze only the new loads are read, of Silver only the buckets of their keys, and of the facts only the periods
+    in which a changed transaction stood or stands. Customers come from the crosswalk as it is; ``relink_facts`` follows a
+    changed one. Without facts yet, everything is built.
+    """
+    loads = {feed: increments.new_loads(lake, "fact_txn", *feed) for feed in TXN_FEEDS}
+    pending = {feed: found for feed, found in loads.items() if found}
+    if not pending:
+        return {"loads": 0, "periods": 0}
+    raw = {feed: increments.rows_of(lake, *feed, found).drop("dt", "load_id") for feed, found in pending.items()}
+    changed, current = [], {}
+    for feed, rows in raw.items():
+        table, key, system = TXN_FEEDS[feed]
+        conformed = conform.conform_card_txn(rows) if system == "paysim" else _conform_transactions(_crm_names(rows, TRANSACTION))
+        upsert.upsert(lake, conformed, table, [key], run_id, buckets)
+        ids = conformed.select(key).where(F.col(key).isNotNull()).distinct()
+        keys = with_bucket(ids, [key], lake.layout("silver", table)["buckets"])
+        touched = F.broadcast(keys.select(BUCKET).distinct())  # at most a row for each bucket
+        current[table] = lake.read("silver", table).join(touched, BUCKET, "left_semi").join(keys, [BUCKET, key], "left_semi").drop(BUCKET)
+        changed.append(ids.select(F.lit(system).alias("source_system"), F.col(key).alias("txn_id")))
+    if not lake.exists("gold", "fact_txn"):
+        transaction_facts(lake)
+        return {"loads": sum(map(len, pending.values())), "periods": lake.read("gold", "fact_txn").select(*PERIOD).distinct().count()}
+    # A feed without new loads takes part with no rows; its files are not read.
+    cards = current.get("card_txn", _silver(lake, "card_txn").where("false"))
+    trans = current.get("trans", _silver(lake, "trans").where("false"))
+    bronze = raw.get(("mssql", "paysim_transactions"), _bronze(lake, "mssql", "paysim_transactions").where("false"))
+    fresh = star.fact_txn(cards, bronze, trans, _silver(lake, "disp"), lake.read("gold", "dim_customer_xwalk"), lake.read("gold", "dim_fx_rate"))
+    lake.write_snapshot(fresh, "staging", "fresh", "fact_txn", run_id)
+    fresh = lake.read("staging", "fresh", "fact_txn", run_id)
+    keys = reduce(DataFrame.unionByName, changed)
+    periods = increments.follow(lake, "fact_txn", ["source_system", "txn_id"], keys, fresh, PERIOD, run_id)
+    frauds = keys.where("source_system = 'paysim'").select("txn_id")
+    increments.follow(lake, "fact_card_fraud", ["txn_id"], frauds, star.fraud_of_transactions(fresh), PERIOD, run_id)
+    for feed, found in pending.items():
+        increments.take(lake, "fact_txn", *feed, found, run_id)
+    lake.unstage("fresh", "fact_txn", run_id)
+    return {"loads": sum(map(len, pending.values())), "periods": periods}
+
+
+def follow_crosswalk(lake: Lake, xwalk: DataFrame, run_id: str) -> dict[str, int]:
+    """IDN-10: a newer crosswalk takes the place of the old one, and fact rows it can link now are linked.
+
+    Only keys that the old crosswalk did not have are looked up, and only files that may hold an unresolved row of theirs
+    are written. Rows that have a customer keep it. Returns the rows linked by fact.
+    """
+    old = lake.read("gold", "dim_customer_xwalk").select("source_system", "native_key")
+    added = lake.stage(lambda: xwalk.join(old, ["source_system", "native_key"], "left_anti"), "relink", run_id, "added")
+    linked = relink_facts(lake, added, run_id)
+    lake.write_snapshot(lake.stage(lambda: xwalk, "relink", run_id, "xwalk"), "gold", "dim_customer_xwalk", partition_by=["source_system"])
+    lake.unstage("relink", run_id, "added")
+    lake.unstage("relink", run_id, "xwalk")
+    return linked
+
+
+def relink_facts(lake: Lake, added: DataFrame, run_id: str) -> dict[str, int]:
+    """IDN-10: links rows without a customer, or of the unknown member, through the given crosswalk rows."""
+    cards = _bronze(lake, "mssql", "paysim_transactions").groupBy("txn_id").agg(F.max("nameOrig").alias("native_key"))
+    owners = identity.primary_owner(_silver(lake, "disp")).withColumnRenamed("client_id", "native_key")
+    of = {name: identity.source_slice(added, name) for name in ("paysim", "berka")}
+    txns = _silver(lake, "trans").select(F.col("trans_id").alias("txn_id"), "account_id").join(owners.join(of["berka"], "native_key"), "account_id")
+    cases = _silver(lake, "crm_case").select("case_id", F.col("client_id").alias("native_key")).join(of["berka"], "native_key")
+    paid = cards.join(of["paysim"], "native_key").select(F.concat(F.lit("paysim|"), "txn_id").alias("key"), "customer_id")
+    both = paid.unionByName(txns.select(F.concat(F.lit("berka|"), "txn_id").alias("key"), "customer_id"))
+    own = F.col("txn_id")
+    facts = {
+        "fact_txn": (F.concat("source_system", F.lit("|"), own), both),
+        "fact_card_fraud": (F.concat(F.lit("paysim|"), own), paid),
+        "fact_crm_case": (F.col("case_id"), cases.select(F.col("case_id").alias("key"), "customer_id")),
+    }
+    linked = {}
+    for table, (key, lookup) in facts.items():
+        if lake.exists("gold", table):
+            linked[table] = _relink(lake, table, key, lookup, run_id)
+    return linked
+
+
+def _relink(lake: Lake, table: str, key: Column, lookup: DataFrame, run_id: str) -> int:
+    plan = ("relink", run_id, table)
+    unresolved = F.coalesce(F.col("customer_id") == identity.UNKNOWN_MEMBER, F.lit(True))
+    names = lookup.select(F.col("key").alias("_key"), F.col("customer_id").alias("_customer"))
+
+    def open_rows() -> DataFrame:
+        """The rows that can be linked now; a fact has few without a customer, so they are found by column first."""
+        column = "case_id" if table == "fact_crm_case" else "txn_id"
+        rows = lake.read("gold", table).where(unresolved).select(F.col(column).alias("id"), key.alias("_key"))
+        return rows.join(names, "_key").select("id", "_key", "_customer")
+
+    found = lake.stage(open_rows, *plan, "found")
+
+    def kept(rows: DataFrame) -> DataFrame:
+        by_key = found.select(F.col("_key").alias("_found"), "_customer").distinct()
+        met = skew_safe_join(rows.withColumn("_key", key), by_key, "_key", "_found")
+        now = F.when(unresolved & F.col("_customer").isNotNull(), F.col("_customer")).otherwise(F.col("customer_id"))
+        return met.withColumn("customer_id", now).select(*rows.columns)
+
+    column = "case_id" if table == "fact_crm_case" else "txn_id"
+    hit = [] if lake.is_staged(*plan, "rows") else fileindex.files_with(lake, "gold", table, key=column, values=found.select("id"))
+    fileindex.rewrite_files(lake, "gold", table, files=hit, keep=kept, plan=(*plan, "rows"))
+    n = found.count()
+    lake.unstage(*plan)
+    return n
+
+
 def gold_marts(lake: Lake, as_of: str) -> None:
     """All marts from the Gold tables; the segment thresholds are those of the first run."""
     gold = {
@@ -338,40 +478,67 @@ def gold_marts(lake: Lake, as_of: str) -> None:
         lake.write_snapshot(mart, "gold", name)
 
 
+def _erasure_targets(lake: Lake) -> list[tuple[str, str, str, str]]:
+    """``(layer, table, kind of key, column)`` of the tables that name customers, in the order they are cleaned."""
+    silver = {**KEYED_TABLES, **NATIVE_TABLES}
+    for path in lake.files.glob(lake.path("silver", "quarantine_*")):
+        table = path.rstrip("/").rsplit("/", 1)[1]
+        names = lake.read("silver", table).columns if lake.exists("silver", table) else []
+        found = [k for k in (*NATIVE_TABLES.values(), ("customer", "customer_id")) if k[1] in names]
+        silver |= {table: k for k in found[:1]}
+    gold = {"fact_account_balance": ("account", "account_id")}
+    gold |= {t: ("customer", "customer_id") for t in [*CUSTOMER_TABLES, *CUSTOMER_FACTS, "dim_customer_xwalk"]}
+    return [(layer, t, *k) for layer, tables in (("silver", silver), ("gold", gold)) for t, k in tables.items()]
+
+
 def erase(lake: Lake, erased: DataFrame, run_id: str) -> DataFrame:
     """IDN-11: remove customers from every Silver and Gold table that names them; counts per table.
 
-    The crosswalk goes last, since the native keys come from it: a run that dies is
-    repeated under the same run id. Bronze keeps its verbatim copies until the source's own retention removes them.
+    A table names a customer by id, by a native key, by a transaction of theirs or by an account whose holders all leave.
+    Only files that may hold such a key are read and written, as the key index tells. The crosswalk goes last, since native
+    keys come from it, and the keys are written before anything is removed: a run that dies is repeated under the same run
+    id. Bronze keeps its verbatim copies until the source's own retention removes them.
     """
-    xwalk = lake.read("gold", "dim_customer_xwalk")
-    targets = [("gold", t, "customer_id", None, ()) for t in CUSTOMER_TABLES]
-    targets += [("gold", t, "customer_id", None, ("txn_year", "txn_month")) for t in CUSTOMER_FACTS]
-    targets += [("silver", t, key, source, (upsert.BUCKET,)) for t, (source, key) in NATIVE_TABLES.items()]
-    targets += [("silver", "campaign_response", "customer_id", None, ()), ("gold", "dim_customer_xwalk", "customer_id", None, ("source_system",))]
+    gone = lake.stage(lambda: _gone_keys(lake, erased), "erase", run_id, "keys")
     report: list[tuple[str, int | None, int]] = []
-    for layer, table, key, source, partition_by in targets:
+    for layer, table, kind, key in _erasure_targets(lake):
         plan = ("erase", run_id, layer, table)
         if not lake.exists(layer, table) and not lake.is_staged(*plan):
             continue
-        gone = erased.select("customer_id")
-        if source is not None:
-            keys = identity.source_slice(xwalk, source)
-            gone = keys.join(gone.distinct(), "customer_id", "left_semi").select(F.col("native_key").alias("customer_id"))
-
-        def kept() -> DataFrame:
-            before = lake.read(layer, table)
-            renamed = before.withColumnRenamed(key, "customer_id") if key != "customer_id" else before
-            return identity.erase_customers(renamed, gone).select(*renamed.columns).toDF(*before.columns)
-
-        rows_before = lake.read(layer, table).count() if not lake.is_staged(*plan) else None
-        staged = lake.stage(kept, *plan)
-        report.append((f"{layer}.{table}", rows_before, staged.count()))
-        lake.write_snapshot(staged, layer, table, partition_by=partition_by)
-        lake.unstage(*plan)
+        keys = gone.where(F.col("kind") == kind).select(F.col("key").alias("customer_id"))
+
+        def kept(rows: DataFrame) -> DataFrame:
+            renamed = rows.withColumnRenamed(key, "customer_id") if key != "customer_id" else rows
+            return identity.erase_customers(renamed, keys).select(*renamed.columns).toDF(*rows.columns)
+
+        before = None if lake.is_staged(*plan) else upsert.rows_in(lake, layer, table)
+        hit = [] if lake.is_staged(*plan) else fileindex.files_with(lake, layer, table, key=key, values=keys)
+        fileindex.rewrite_files(lake, layer, table, files=hit, keep=kept, plan=plan)
+        report.append((f"{layer}.{table}", before, upsert.rows_in(lake, layer, table)))
+    lake.unstage("erase", run_id, "keys")
     return lake.spark.createDataFrame(report, "table_name string, rows_before bigint, rows_after bigint")
 
 
+def _gone_keys(lake: Lake, erased: DataFrame) -> DataFrame:
+    """``(kind, key)``: all keys under which the erased customers appear."""
+    customers = erased.select("customer_id").where("customer_id is not null").distinct()
+    found = [customers.select(F.lit("customer").alias("kind"), F.col("customer_id").alias("key"))]
+    xwalk = lake.read("gold", "dim_customer_xwalk").join(customers, "customer_id", "left_semi")
+    found.append(xwalk.select(F.col("source_system").alias("kind"), F.col("native_key").alias("key")))
+    if lake.exists("gold", "fact_txn"):
+        txns = lake.read("gold", "fact_txn").join(customers, "customer_id", "left_semi")
+        found.append(txns.select(F.concat("source_system", F.lit(" txn")).alias("kind"), F.col("txn_id").alias("key")))
+    if lake.exists("gold", "bridge_customer_account"):
+        found.append(accounts_left(lake.read("gold", "bridge_customer_account"), customers).select(F.lit("account").alias("kind"), F.col("account_id").alias("key")))
+    return reduce(DataFrame.unionByName, found).distinct()
+
+
+def accounts_left(bridge: DataFrame, customers: DataFrame) -> DataFrame:
+    """The accounts whose holders are all among ``customers``; a holder who is not known keeps an account."""
+    marked = bridge.join(customers.select(F.col("customer_id").alias("_gone")), F.col("customer_id") == F.col("_gone"), "left")
+    return marked.groupBy("account_id").agg(F.count_if(F.col("_gone").isNull()).alias("stay")).where("stay = 0").select("account_id")
+
+
 def health(lake: Lake, pairs: list[tuple[str, str, str]], run_id: str) -> None:
     """Append one ledger row per ``(source, bronze table, silver table)``; a missing table is unreconciled."""
     counts = None

@@ -425,13 +425,24 @@ CHECKS = {
     "unknown_member": f"SELECT customer_id, count(*) AS cases FROM ({_OLD_CASES}) GROUP BY customer_id",
     "relink_unknown": "SELECT case_id, client_id, coalesce(customer_id, '-1') AS customer_id FROM crm_case LEFT JOIN core_x USING (client_id)",
     "erase_customers": """
-        WITH gone AS (SELECT customer_id FROM fact_loan WHERE target = 1),
-        tables AS (SELECT 'crosswalk' AS table_name, customer_id FROM xwalk UNION ALL SELECT 'fact_txn', customer_id FROM fact_txn
+        WITH gone AS (SELECT DISTINCT customer_id FROM fact_loan WHERE target = 1),
+        left_accounts AS (SELECT account_id FROM bridge LEFT JOIN gone USING (customer_id)
+                          GROUP BY account_id HAVING count(*) FILTER (gone.customer_id IS NULL) = 0),
+        tables AS (SELECT 'dim_customer_xwalk' AS table_name, customer_id FROM xwalk UNION ALL SELECT 'dim_customer', customer_id FROM customers
+                   UNION ALL SELECT 'fact_txn', customer_id FROM fact_txn UNION ALL SELECT 'fact_card_fraud', customer_id FROM fact_card_fraud
                    UNION ALL SELECT 'fact_loan_application', customer_id FROM fact_loan
-                   UNION ALL SELECT 'bridge', customer_id FROM bridge)
+                   UNION ALL SELECT 'fact_previous_application', customer_id FROM previous_application LEFT JOIN loan_x USING (sk_id_curr)
+                   UNION ALL SELECT 'fact_crm_case', customer_id FROM fact_crm_case UNION ALL SELECT 'dim_campaign_response', customer_id FROM campaign
+                   UNION ALL SELECT 'fact_repayment_behavior', customer_id FROM repayment
+                   UNION ALL SELECT 'bridge_customer_account', customer_id FROM bridge)
         SELECT table_name, count(*) AS rows_before,
                count(*) FILTER (customer_id IS NULL OR customer_id NOT IN (SELECT customer_id FROM gone)) AS rows_after,
-               CAST(0 AS BIGINT) AS rows_of_erased FROM tables GROUP BY table_name""",
+               CAST(0 AS BIGINT) AS rows_of_erased FROM tables GROUP BY table_name
+        UNION ALL
+        SELECT 'fact_account_balance', count(*), count(*) FILTER (account_id NOT IN (SELECT account_id FROM left_accounts)), 0 FROM balances""",
+    "relink_facts": """
+        SELECT source_system || '|' || txn_id AS row_id, coalesce(customer_id, '-1') AS customer_id FROM fact_txn
+        UNION ALL SELECT 'case|' || case_id, coalesce(customer_id, '-1') FROM fact_crm_case""",
     # ------------------------------------------------------------ dimensions and facts
     "dim_date": """
         SELECT CAST(d AS DATE) AS date_key, CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER) AS month,
@@ -627,6 +638,10 @@ CHECKS = {
     # ------------------------------------------------------------ maintenance
     "compact_table": "SELECT *, true AS rewritten, false AS rewritten_again FROM content",
     "cluster_table": "SELECT * FROM content",
+    "cluster_table_multi": "SELECT * FROM content",
+    "compact_bronze": """
+        SELECT dt, lpad(CAST(CAST(substr(dt, 9, 2) AS INTEGER) AS VARCHAR), 8, '0') || 'e001' AS load_id, count(*) AS row_count,
+               CAST(sum(seq) AS BIGINT) AS seq_sum FROM change_log GROUP BY dt""",
     "expire_landing": """
         SELECT DISTINCT dt FROM change_log WHERE dt >= '2024-01-24' OR dt IN (SELECT dt FROM damaged)""",
     # ------------------------------------------------------------ preparation
@@ -687,6 +702,11 @@ def _needed(sql: str) -> list[str]:
 GOLD = {name: CHECKS["build_crosswalk" if name == "dim_customer_xwalk" else name] for name in SERVING} | {
     "dim_fx_rate": "SELECT currency_code, rate_to_myr, rate_as_of, 'rate' AS note FROM fx"
 }
+CHECKS["seed_fx_rates"] = CHECKS["dim_fx_rate"]
+CHECKS["incremental_facts"] = CHECKS["fact_txn"]
+CHECKS["stream_windows_with_late"] = """
+    SELECT date_trunc('hour', txn_ts) AS window_start, CAST(count(*) AS BIGINT) AS txn_count, count(*) FILTER (is_fraud) AS fraud_count
+    FROM card_bronze GROUP BY 1"""
 CHECKS["serving_views_all"] = " UNION ALL ".join(
     f"SELECT '{name}' AS table_name, '{c}' AS column_name, count(*) AS row_count, count({c}) AS non_null FROM ({GOLD[name]})"
     for name, view in SERVING.items() for c in view.names

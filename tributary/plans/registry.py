@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import as_double, decode_birth_number, mask_last4, stable_row_id
 from ..operators import conform, control, identity, maintenance, prepare, promotion, quality, upsert
-from ..schemas import CONTRACTS, HEALTH, SERVING, conform_to, schema, schema_drift
+from ..schemas import CONTRACTS, FX_RATE, HEALTH, SERVING, conform_to, schema, schema_drift
 from ..sources import files, landing, pulls
 from ..streaming import jobs
 from . import jobs as stages
@@ -639,22 +639,87 @@ def relink_unknown(ws):
 
 @query
 def erase_customers(ws):
-    """Customers who defaulted and asked to be forgotten disappear from every registered table."""
+    """Customers who defaulted and asked to be forgotten disappear from every Gold table that names them.
+
+    Account balances go where all holders of the account go. Tables are written, and only files with a hit are rewritten.
+    """
     lake = ws.scratch("erase")
-    erased = ws.gold("fact_loan_application").where("target = 1").select("customer_id")
+    erased = ws.gold("fact_loan_application").where("target = 1").select("customer_id").distinct()
+    tables = {n: t for n, t in gold_tables(ws).items() if "customer_id" in t.columns or n == "fact_account_balance"}
+    for name, table in tables.items():
+        lake.write_snapshot(table, "gold", name, partition_by=stages.PERIOD if name in stages.CUSTOMER_FACTS else ())
+    accounts = stages.accounts_left(lake.read("gold", "bridge_customer_account"), erased)
+    lake.write_snapshot(accounts, "staging", "accounts")
+    stages.erase(lake, erased, "run-1")
     report = None
-    for name in ("crosswalk", "fact_txn", "fact_loan_application", "bridge"):
-        table = ws.gold(name)
-        lake.write_snapshot(identity.erase_customers(table, erased), "gold", name)
+    for name, table in tables.items():
+        key, gone = ("account_id", lake.read("staging", "accounts")) if name == "fact_account_balance" else ("customer_id", erased)
         kept = lake.read("gold", name)
         row = table.agg(F.count("*").alias("rows_before")).withColumns({
             "table_name": F.lit(name), "rows_after": kept.agg(F.count("*")).scalar(),
-            "rows_of_erased": kept.join(erased.distinct(), "customer_id", "left_semi").agg(F.count("*")).scalar(),
+            "rows_of_erased": kept.join(gone, key, "left_semi").agg(F.count("*")).scalar(),
         })
         report = row if report is None else report.unionByName(row)
     return report
 
 
+def _crm_transactions(ws):
+    """The account transactions in the shape in which the CRM delivers them."""
+    t, text = ws.entities.trans_bronze(), lambda c: F.col(c).cast("string")
+    return t.select(
+        F.col("trans_id").alias("berka_trans_id__c"), F.col("account_id").alias("berka_account_id__c"), text("trans_date").alias("trans_date__c"),
+        F.col("trans_type").alias("trans_type__c"), F.lit("x").alias("operation__c"), text("amount").alias("amount__c"),
+        text("balance").alias("balance__c"), F.lit(None).cast("string").alias("k_symbol__c"), F.lit("AB").alias("bank__c"),
+        F.col("partner_account").alias("partner_account__c"),
+    )
+
+
+def _load(lake, rows, source, table, dt, load_id):
+    tagged = rows.withColumns({"dt": F.lit(dt), "load_id": F.lit(load_id)})
+    lake.overwrite_partitions(tagged, "bronze", source, table, partition_by=["dt", "load_id"])
+
+
+@query
+def incremental_facts(ws):
+    """GLD-06: the transaction fact after three loads. The last one corrects amounts and moves rows out of a wrong month."""
+    lake = ws.scratch("increments")
+    lake.write_snapshot(ws.entities.disp(), "silver", "disp")
+    lake.write_snapshot(ws.gold("crosswalk"), "gold", "dim_customer_xwalk", partition_by=["source_system"])
+    lake.write_snapshot(ws.fx, "gold", "dim_fx_rate")
+    cards, accounts = ws.entities.card_bronze(), _crm_transactions(ws)
+    wrong, early = F.col("txn_id").cast("bigint") % 7 == 0, F.col("txn_ts") < F.lit("2024-01-15").cast("timestamp_ntz")
+    stale = cards.where(wrong & early).withColumns({"amount": F.col("amount") + 1, "txn_ts": F.col("txn_ts") - F.expr("interval 90 days")})
+    old = F.col("trans_date__c") < "1998"
+    steps = [
+        [("paysim_transactions", stale.unionByName(cards.where(~wrong & early))), ("transaction", accounts.where(old))],
+        [("paysim_transactions", cards.where(~early)), ("transaction", accounts.where(~old))],
+        [("paysim_transactions", cards.where(wrong & early))],
+    ]
+    for day, parts in enumerate(steps, 1):
+        for table, rows in parts:
+            _load(lake, rows, "salesforce" if table == "transaction" else "mssql", table, f"2024-02-0{day}", f"00000000000{day}")
+        stages.follow_transactions(lake, f"run-{day}", buckets=8)
+    return conform_to(lake.read("gold", "fact_txn"), SERVING["fact_txn"])
+
+
+@query
+def relink_facts(ws):
+    """IDN-10: facts built on an older crosswalk point at the unknown member, then a newer crosswalk arrives."""
+    lake = ws.scratch("relink")
+    cards, trans, disp = ws.card_txn(), ws.trans(), ws.entities.disp()
+    for name, table in {"disp": disp, "trans": trans, "crm_case": ws.entities.crm_case()}.items():
+        lake.write_snapshot(table, "silver", name)
+    _load(lake, ws.entities.card_bronze(), "mssql", "paysim_transactions", "2024-02-01", "000000000001")
+    lake.write_snapshot(_partial_xwalk(ws), "gold", "dim_customer_xwalk", partition_by=["source_system"])
+    older = lake.read("gold", "dim_customer_xwalk")
+    txns = star.fact_txn(cards, ws.entities.card_bronze(), trans, disp, older, ws.fx)
+    lake.write_snapshot(identity.unknown_member(txns), "gold", "fact_txn", partition_by=stages.PERIOD)
+    lake.write_snapshot(identity.unknown_member(star.fact_crm_case(ws.entities.crm_case(), older)), "gold", "fact_crm_case")
+    stages.follow_crosswalk(lake, ws.gold("crosswalk"), "run-1")
+    txns = lake.read("gold", "fact_txn").select(F.concat("source_system", F.lit("|"), "txn_id").alias("row_id"), "customer_id")
+    return txns.unionByName(lake.read("gold", "fact_crm_case").select(F.concat(F.lit("case|"), "case_id").alias("row_id"), "customer_id"))
+
+
 # ---------------------------------------------------------------- dimensions and facts
 
 @query
@@ -667,13 +732,27 @@ def dim_date(ws):
 @query
 def dim_fx_rate(ws):
     """The rate table with how many monetary rows carry each currency."""
+    return _rates_in_use(ws, ws.fx)
+
+
+@query
+def seed_fx_rates(ws):
+    """SRC-11: the same from a seed file, with a header and an empty field where a currency has no rate."""
+    lake = ws.scratch("seed")
+    path = lake.path("staging", "seed", "fx_rates")
+    ws.fx.coalesce(1).write.option("header", True).option("emptyValue", "").csv(path)
+    chosen = files.prefer_full(ws.spark, path + "_full", path)
+    return _rates_in_use(ws, files.read_seed_csv(ws.spark, chosen, FX_RATE))
+
+
+def _rates_in_use(ws, fx):
     e = ws.entities
     tags = None
     for df in (e.card_bronze(), ws.trans(), e.application(), e.campaign_keyless()):
         part = df.groupBy("currency").agg(F.count("*").alias("n"))
         tags = part if tags is None else tags.unionByName(part)
     used = tags.groupBy(F.col("currency").alias("currency_code")).agg(F.sum("n").alias("tagged_rows"))
-    rates = ws.fx.select("currency_code", F.col("rate_to_myr").cast("double").alias("rate_to_myr"), "rate_as_of")
+    rates = fx.select("currency_code", F.col("rate_to_myr").cast("double").alias("rate_to_myr"), "rate_as_of")
     return rates.join(used, "currency_code", "left").fillna(0, ["tagged_rows"])
 
 
@@ -1064,6 +1143,26 @@ def cluster_table(ws):
     return _content(lake.read("gold", "fact_txn"))
 
 
+@query
+def cluster_table_multi(ws):
+    """Clustered by customer and amount at once."""
+    lake = _small_files(ws, "cluster_multi")
+    maintenance.cluster_multi(lake, "gold", "fact_txn", keys=["customer_id", "amount"], run_id="run-1", target_bytes=1024 * 1024)
+    return _content(lake.read("gold", "fact_txn"))
+
+
+@query
+def compact_bronze(ws):
+    """Loads in many small files become one file each and keep their ids, also those that read like numbers."""
+    lake = ws.scratch("compact_bronze")
+    log = ws.entities.change_log().withColumn("dt", F.date_format("changed_at", "yyyy-MM-dd"))
+    ids = F.concat(F.lpad(F.dayofmonth("changed_at").cast("string"), 8, "0"), F.lit("e001"))
+    lake.write_snapshot(log.withColumn("load_id", ids).repartition(4, "seq"), "bronze", "campaign", "changes", partition_by=["dt", "load_id"])
+    maintenance.compact(lake, "bronze", "campaign", "changes", run_id="run-1")
+    kept = lake.read("bronze", "campaign", "changes")
+    return kept.groupBy("dt", "load_id").agg(F.count("*").alias("row_count"), F.sum("seq").alias("seq_sum"))
+
+
 @query
 def expire_landing(ws):
     """Old promoted days leave the landing zone; days that failed promotion stay."""
@@ -1179,3 +1278,22 @@ def stream_fraud_window(ws):
     stream = stream.withColumn("updated_at", F.col("updated_at").cast("timestamp"))
     jobs.stream_fraud_window(lake, stream, "fraud_window", "updated_at", "1 hour").awaitTermination()
     return lake.read("gold", "fraud_window").withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+
+
+@query
+def stream_windows_with_late(ws):
+    """STR-04: cards arrive in files, newest day first; windows and late rows together hold every row."""
+    lake = ws.scratch("stream_late")
+    cards = ws.card_txn().select(F.col("updated_at").cast("timestamp").alias("updated_at"), "is_fraud")
+    day = F.to_date("updated_at")
+    lake.append(cards.where(day >= "2024-01-20").coalesce(1), "silver", "card_txn")
+    lake.append(cards.where(day < "2024-01-10").coalesce(1), "silver", "card_txn")
+    lake.append(cards.where((day >= "2024-01-10") & (day < "2024-01-20")).coalesce(1), "silver", "card_txn")
+    stream = ws.spark.readStream.schema("updated_at timestamp, is_fraud boolean").option("maxFilesPerTrigger", 1).parquet(lake.path("silver", "card_txn"))
+    jobs.stream_windows_with_late(lake, stream, "w", "updated_at", "1 hour").awaitTermination()
+    counted = jobs.window_counts(lake, "w").select("window_start", "txn_count", "fraud_count")
+    late = jobs.late_table(lake, "w").groupBy(F.date_trunc("hour", "updated_at").alias("window_start")).agg(
+        F.count("*").alias("txn_count"), F.count_if("is_fraud").alias("fraud_count")
+    )
+    whole = counted.unionByName(late).groupBy("window_start").agg(F.sum("txn_count").alias("txn_count"), F.sum("fraud_count").alias("fraud_count"))
+    return whole.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))

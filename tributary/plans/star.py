@@ -108,6 +108,13 @@ def fact_card_fraud(card: DataFrame, card_bronze: DataFrame, xwalk: DataFrame, f
     )
 
 
+def fraud_of_transactions(txns: DataFrame) -> DataFrame:
+    """GLD-07 from the transaction fact, which has resolved the customers of all cards already."""
+    return txns.where("source_system = 'paysim' and is_fraud").select(
+        "txn_id", "customer_id", "txn_ts", "txn_type", "amount", "currency", "amount_myr", "txn_year", "txn_month"
+    )
+
+
 def fact_loan_application(application: DataFrame, xwalk: DataFrame, **skew) -> DataFrame:
     """GLD-08."""
     return resolve_identity(application, xwalk, "home_credit", "sk_id_curr", **skew).select(

@@ -121,7 +121,7 @@ class Workspace:
         return star.fact_txn(self.card_txn(), e.card_bronze(), self.trans(), e.disp(), self.gold("crosswalk"), self.fx)
 
     def build_fact_card_fraud(self) -> DataFrame:
-        return star.fact_card_fraud(self.card_txn(), self.entities.card_bronze(), self.gold("crosswalk"), self.fx)
+        return star.fraud_of_transactions(self.gold("fact_txn"))
 
     def build_fact_loan_application(self) -> DataFrame:
         return star.fact_loan_application(self.entities.application(), self.gold("crosswalk"))

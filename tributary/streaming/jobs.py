@@ -8,10 +8,10 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from ..lake import Lake
+from ..operators.buckets import BUCKET, bucket_count, with_bucket
 from ..operators.conform import last_changes
 from ..operators.promotion import only_new_changes
 from ..operators.scale import latest_per_key
-from ..operators.upsert import BUCKET, with_bucket
 
 
 def landing_stream(lake: Lake, source: str, table: str, declared: StructType, files_per_trigger: int = 1000) -> DataFrame:
@@ -46,7 +46,8 @@ def stream_promote(lake: Lake, stream: DataFrame, table: str) -> StreamingQuery:
         if lake.exists("bronze", table):
             span = batch.agg(F.struct(F.min("seq").alias("low"), F.max("seq").alias("high"))).scalar()
             earlier = lake.read("bronze", table).where(F.col("batch_id") < batch_id)
-            bronze = earlier.where(F.col("seq").between(span["low"], span["high"]))
+            # An event without a sequence number can come again at any time.
+            bronze = earlier.where(F.col("seq").isNull() | F.col("seq").between(span["low"], span["high"]))
         fresh = only_new_changes(batch, bronze)
         lake.overwrite_partitions(fresh.withColumn("batch_id", F.lit(batch_id)), "bronze", table, partition_by=["batch_id"])
 
@@ -69,19 +70,19 @@ def apply_changes(lake: Lake, events: DataFrame, table: str, run_id: str, bucket
     """Fold change events into a latest-state table; an older event never replaces a newer one.
 
     Deletes stay as tombstones, so a late update cannot bring a deleted key back. Folding
-    the same events again changes nothing.
+    the same events again changes nothing. The table has ``buckets`` key buckets or more.
     """
-    changes = with_bucket(last_changes(events), ["pk_value"], buckets)
+    n = bucket_count(lake, table, ["pk_value"], buckets)
+    latest = with_bucket(lake.stage(lambda: last_changes(events), "state", table, run_id, "changes"), ["pk_value"], n)
 
     def merged() -> DataFrame:
-        latest = lake.stage(lambda: changes, "state", table, run_id, "changes")
-        if not lake.exists("silver", table):
-            return latest
         touched = F.broadcast(latest.select(BUCKET).distinct())  # at most `buckets` rows
         current = lake.read("silver", table).join(touched, BUCKET, "left_semi")
         return latest_per_key(current.unionByName(latest), [BUCKET, "pk_value"], [F.col("seq").desc()])
 
-    lake.overwrite_partitions(lake.stage(merged, "state", table, run_id, "merged"), "silver", table, partition_by=[BUCKET])
+    if lake.exists("silver", table) or lake.is_staged("state", table, run_id, "merged"):
+        latest = lake.stage(merged, "state", table, run_id, "merged")
+    lake.overwrite_partitions(latest, "silver", table, partition_by=[BUCKET])
     lake.unstage("state", table, run_id)
 
 
@@ -119,6 +120,72 @@ def stream_fraud_window(lake: Lake, stream: DataFrame, table: str, event_time: s
     )
 
 
+def stream_windows_with_late(
+    lake: Lake, stream: DataFrame, table: str, event_time: str, width: str, delay: str = "5 minutes"
+) -> StreamingQuery:
+    """STR-04 with late rows as data: fraud per window, and every row that came too late in ``<table>_late``.
+
+    The mark is the newest event time of all earlier batches less ``delay``. A window counts the rows that are not behind
+    the mark when they arrive; those behind it go to the late table, so every row with an event time is in one of both.
+    Windows that the mark has not passed keep their counts in a table of their own until it does. Each batch owns a
+    partition in every table and overwrites it, so a replayed batch lands on itself.
+    """
+    names = {kind: f"{table}_{kind}" for kind in ("late", "open", "marks")}
+
+    def read(layer: str, name: str, batch_id: int) -> DataFrame | None:
+        return lake.read(layer, name).where(F.col("batch_id") < batch_id) if lake.exists(layer, name) else None
+
+    def each_batch(batch: DataFrame, batch_id: int) -> None:
+        marks = read("control", names["marks"], batch_id)
+        before = None if marks is None else marks.agg(F.max("newest")).first()[0]  # one value for each batch
+        mark = F.lit(before).cast("timestamp") - F.expr(f"interval {delay}")
+        late = F.coalesce(F.col(event_time) < mark, F.lit(False))
+        own = lake.stage(lambda: batch.withColumn("_late", late), "windows", table, str(batch_id))
+        newest = own.agg(F.max(event_time).alias("newest")).withColumn("batch_id", F.lit(batch_id)).where("newest is not null")
+        lake.overwrite_partitions(own.where("_late").drop("_late").withColumn("batch_id", F.lit(batch_id)), "silver", names["late"], partition_by=["batch_id"])
+        fresh = own.where(~F.col("_late") & F.col(event_time).isNotNull()).groupBy(F.window(event_time, width).alias("w")).agg(
+            F.count("*").alias("txn_count"), F.count_if("is_fraud").alias("fraud_count")
+        ).select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "txn_count", "fraud_count")
+        pending = read("control", names["open"], batch_id)
+        # Of earlier batches only the newest holds what is still open.
+        if pending is not None:
+            fresh = fresh.unionByName(pending.where(F.col("batch_id") == pending.agg(F.max("batch_id")).scalar()).drop("batch_id"))
+        counts = fresh.groupBy("window_start", "window_end").agg(F.sum("txn_count").alias("txn_count"), F.sum("fraud_count").alias("fraud_count"))
+        # A row is late only when it lies behind the mark, so a window is closed only by a mark past its end.
+        latest = F.greatest(F.lit(before).cast("timestamp"), newest.agg(F.max("newest")).scalar()) - F.expr(f"interval {delay}")
+        counts = counts.withColumns({"closed": F.coalesce(F.col("window_end") <= latest, F.lit(False)), "batch_id": F.lit(batch_id)})
+        counts = lake.stage(lambda: counts, "windows", table, f"{batch_id}-counts")
+        # A batch without rows leaves a marker row, else the windows of the batch before would count as open again.
+        still = counts.where(~F.col("closed")).drop("closed")
+        lake.overwrite_partitions(counts.where("closed").drop("closed", "window_end"), "gold", table, partition_by=["batch_id"])
+        lake.overwrite_partitions(still.unionByName(_no_window(lake, batch_id)), "control", names["open"], partition_by=["batch_id"])
+        lake.overwrite_partitions(newest, "control", names["marks"], partition_by=["batch_id"])
+        lake.unstage("windows", table, str(batch_id))
+        lake.unstage("windows", table, f"{batch_id}-counts")
+
+    return _run(stream, lake, f"windows_{table}", each_batch)
+
+
+def window_counts(lake: Lake, table: str) -> DataFrame:
+    """Closed windows, and those the newest batch left open, with ``closed``."""
+    done = lake.read("gold", table).select("window_start", "txn_count", "fraud_count", F.lit(True).alias("closed"))
+    pending = lake.read("control", f"{table}_open")
+    newest = pending.where((F.col("batch_id") == pending.agg(F.max("batch_id")).scalar()) & (F.col("txn_count") > 0))
+    return done.unionByName(newest.select("window_start", "txn_count", "fraud_count", F.lit(False).alias("closed")))
+
+
+def late_table(lake: Lake, table: str) -> DataFrame:
+    """The rows that came behind the mark, with the batch they came in."""
+    return lake.read("silver", f"{table}_late")
+
+
+def _no_window(lake: Lake, batch_id: int) -> DataFrame:
+    """The row that says a batch was here; it adds nothing to any window."""
+    return lake.spark.sql(
+        f"select timestamp'1970-01-01' as window_start, timestamp'9999-01-01' as window_end, 0L as txn_count, 0L as fraud_count, {batch_id} as batch_id"
+    )
+
+
 def late_rows(query: StreamingQuery) -> int:
     """How many rows a finished or running query left out because they came after the watermark."""
     return sum(
