@@ -27,6 +27,7 @@ QUERIES = [
     "default_rate_by_segment", "active_high_risk", "cross_sell_ranked", "dormancy", "daily_flows", "spending_distribution",
     "repayment_signal", "hot_cold_union", "topk_customers", "dedup_latest", "orphan_rejects", "cdc_latest_state",
     "cdc_baseline_overlay", "cdc_exactly_once", "birth_number_decode", "upsert_composite_key", "promote_landing",
+    "incremental_facts", "relink_facts", "erase_customers", "compact_bronze", "cluster_table_multi", "stream_windows_with_late",
     "dq_unique", "dq_null_rate", "dq_grain", "hash_sample", "capped_group_sample",
 ]
 

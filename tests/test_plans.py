@@ -86,3 +86,17 @@ def test_no_hidden_row_limits():
 
     limited = [k for k, fn in registry.QUERIES.items() if ".limit(" in inspect.getsource(fn)]
     assert limited == []
+
+
+def test_no_row_limits_in_the_library():
+    """Only the top-k report cuts rows; everything else reads whole tables."""
+    import pathlib
+
+    import tributary
+
+    root = pathlib.Path(tributary.__file__).parent
+    found = {
+        f"{path.relative_to(root)}" for path in root.rglob("*.py") if "llm" not in path.parts
+        for line in path.read_text().splitlines() if ".limit(" in line or ".sample(" in line or ".head(" in line or ".take(" in line and "increments.take(" not in line
+    }
+    assert found == {"plans/marts.py"}
