@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -141,6 +143,7 @@ def stream_windows_with_late(
         mark = F.lit(before).cast("timestamp") - F.expr(f"interval {delay}")
         late = F.coalesce(F.col(event_time) < mark, F.lit(False))
         own = lake.stage(lambda: batch.withColumn("_late", late), "windows", table, str(batch_id))
+        lake.note_layout("silver", names["late"], columns=batch.schema.json())
         newest = own.agg(F.max(event_time).alias("newest")).withColumn("batch_id", F.lit(batch_id)).where("newest is not null")
         lake.overwrite_partitions(own.where("_late").drop("_late").withColumn("batch_id", F.lit(batch_id)), "silver", names["late"], partition_by=["batch_id"])
         fresh = own.where(~F.col("_late") & F.col(event_time).isNotNull()).groupBy(F.window(event_time, width).alias("w")).agg(
@@ -166,9 +169,13 @@ def stream_windows_with_late(
     return _run(stream, lake, f"windows_{table}", each_batch)
 
 
+WINDOWS = "window_start timestamp, txn_count bigint, fraud_count bigint, batch_id int"
+
+
 def window_counts(lake: Lake, table: str) -> DataFrame:
     """Closed windows, and those the newest batch left open, with ``closed``."""
-    done = lake.read("gold", table).select("window_start", "txn_count", "fraud_count", F.lit(True).alias("closed"))
+    done = lake.read("gold", table) if lake.exists("gold", table) else lake.spark.createDataFrame([], WINDOWS)
+    done = done.select("window_start", "txn_count", "fraud_count", F.lit(True).alias("closed"))
     pending = lake.read("control", f"{table}_open")
     newest = pending.where((F.col("batch_id") == pending.agg(F.max("batch_id")).scalar()) & (F.col("txn_count") > 0))
     return done.unionByName(newest.select("window_start", "txn_count", "fraud_count", F.lit(False).alias("closed")))
@@ -176,7 +183,10 @@ def window_counts(lake: Lake, table: str) -> DataFrame:
 
 def late_table(lake: Lake, table: str) -> DataFrame:
     """The rows that came behind the mark, with the batch they came in."""
-    return lake.read("silver", f"{table}_late")
+    if lake.exists("silver", f"{table}_late"):
+        return lake.read("silver", f"{table}_late")
+    columns = StructType.fromJson(json.loads(lake.layout("silver", f"{table}_late")["columns"]))
+    return lake.spark.createDataFrame([], StructType([*columns.fields]).add("batch_id", "integer"))
 
 
 def _no_window(lake: Lake, batch_id: int) -> DataFrame:
