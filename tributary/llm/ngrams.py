@@ -47,6 +47,7 @@ MEMO_WORDS = 1 << 20
 LEADERS = 4  # for each list and band of sizes, by the shingle
 ROUNDS = 2
 CHUNK = 1024
+SHORT = 32  # entries of lists that are compared many at a time
 LEAST_BITS, MOST_BITS = 256, 1 << 16
 MINI = LEAST_BITS // 8  # bytes of the sketch that finds partners at first
 MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
@@ -113,7 +114,8 @@ def shingles(text: bytes, known: Hashes, size: int) -> np.ndarray:
     found = np.full(n, size, np.uint64) * MIX[0]
     for i in range(size):
         found = mixed(found * MIX[2] + ids[i : i + n])
-    return np.unique(found)
+    found.sort()
+    return found[np.append(True, found[1:] != found[:-1])]
 
 
 def buckets(hashes: np.ndarray) -> np.ndarray:
@@ -237,78 +239,83 @@ def star_pairs(lists: DataFrame, turn: int, rule: Rule) -> DataFrame:
     return met.where((a != b) & (F.col("root") != F.col("lead.root"))).select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).distinct()
 
 
-def candidates(x: dict[str, np.ndarray], y: dict[str, np.ndarray], same: bool, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
-    """Places in ``x`` and ``y`` of the pairs of groups that may hold a link between different components."""
-    lefts, rights = [], []
-    for at in range(0, len(x["gid"]), 256):
-        part = {k: v[at : at + 256] for k, v in x.items()}
-        one, two = part["n"][:, None], y["n"][None, :]
-        need = rule.needed(one + two)
-        i, j = part["pos"][:, None], y["pos"][None, :]
-        most = np.minimum(i, j) + 1 + np.minimum(one - 1 - i, two - 1 - j)
-        may = (rule.link * np.maximum(one, two) <= rule.of * np.minimum(one, two)) & (most >= need)
-        low, high = np.minimum(part["low"][:, None], y["low"][None, :]), np.maximum(part["high"][:, None], y["high"][None, :])
-        may &= low != high
-        if same:
-            may &= part["gid"][:, None] < y["gid"][None, :]
-        a, b = np.nonzero(may)
-        lefts.append(a + at)
-        rights.append(b)
-    a, b = np.concatenate(lefts), np.concatenate(rights)
-    keep = np.ones(len(a), bool)
-    single = (x["members"][a] == 1) & (y["members"][b] == 1)
-    sizes = np.minimum(x["bytes"][a], y["bytes"][b])
-    for size in np.unique(sizes[single]).tolist():
-        own = np.flatnonzero(single & (sizes == size))
-        rows_x, rows_y = x[f"sketch{size}"], y[f"sketch{size}"]
-        for at in range(0, len(own), 1 << 16):
-            now = own[at : at + (1 << 16)]
-            apart = np.bitwise_count(rows_x[x["at"][a[now]]] ^ rows_y[y["at"][b[now]]]).sum(axis=1, dtype=np.int64)
-            total = x["n"][a[now]] + y["n"][b[now]]
-            keep[now] = apart <= total - 2 * rule.needed(total)
-    return a[keep], b[keep]
-
-
-class Cell:
-    """The entries of two chunks of a list, or of one, in arrays."""
-
-    def __init__(self, rows: pa.RecordBatch):
-        own = {c: rows[c].to_numpy().astype(np.int64) for c in ("gid", "n", "pos", "low", "high", "members", "chunk")}
+class Entries:
+    """Entries of lists in arrays, with their sketches in every size that a comparison may need."""
+
+    def __init__(self, rows: pa.Table):
+        for name in ("gid", "n", "pos", "low", "high", "members"):
+            setattr(self, name, rows[name].to_numpy().astype(np.int64))
         held = rows["sketch"].to_pylist()
-        own["bytes"], own["at"] = np.array([len(s) for s in held]), np.arange(len(held))
-        sizes, wide = np.unique(own["bytes"]).tolist(), {}
+        self.bytes = np.array([len(s) for s in held])
+        sizes, self.sketches = np.unique(self.bytes).tolist(), {}
         for size in sizes:
-            wide[f"sketch{size}"] = np.zeros((len(held), size), np.uint8)
+            self.sketches[size] = np.zeros((len(held), size), np.uint8)
             for big in sizes:
                 if big >= size:
-                    these = np.flatnonzero(own["bytes"] == big)
-                    wide[f"sketch{size}"][these] = folded(np.frombuffer(b"".join([held[k] for k in these]), np.uint8).reshape(-1, big), size)
-        i, j = rows["i"][0].as_py(), rows["j"][0].as_py()
-        self.same = i == j
-        self.x = {k: v[own["chunk"] == i] for k, v in own.items()} | wide
-        self.y = self.x if self.same else {k: v[own["chunk"] == j] for k, v in own.items()} | wide
+                    these = np.flatnonzero(self.bytes == big)
+                    self.sketches[size][these] = folded(np.frombuffer(b"".join([held[k] for k in these]), np.uint8).reshape(-1, big), size)
+
+    def filtered(self, a: np.ndarray, b: np.ndarray, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
+        """Of pairs of places those whose groups may hold a link between different components."""
+        one, two = self.n[a], self.n[b]
+        need = rule.needed(one + two)
+        most = np.minimum(self.pos[a], self.pos[b]) + 1 + np.minimum(one - 1 - self.pos[a], two - 1 - self.pos[b])
+        may = (rule.link * np.maximum(one, two) <= rule.of * np.minimum(one, two)) & (most >= need)
+        may &= np.minimum(self.low[a], self.low[b]) != np.maximum(self.high[a], self.high[b])
+        a, b, apart = a[may], b[may], (one + two - 2 * need)[may]
+        keep = np.ones(len(a), bool)
+        single = (self.members[a] == 1) & (self.members[b] == 1)
+        sizes = np.minimum(self.bytes[a], self.bytes[b])
+        for size, table in self.sketches.items():
+            own = np.flatnonzero(single & (sizes == size))
+            for at in range(0, len(own), 1 << 16):
+                now = own[at : at + (1 << 16)]
+                bits = np.bitwise_count((table[a[now]] ^ table[b[now]]).view(np.uint64)).sum(axis=1, dtype=np.int64)
+                keep[now] = bits <= apart[now]
+        return a[keep], b[keep]
+
+
+def pairs_of_runs(entries: Entries, run: np.ndarray, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
+    """The filtered pairs within each run of short lists, all runs at once."""
+    lefts, rights = [], []
+    for step in range(1, SHORT):
+        a = np.flatnonzero(run[:-step] == run[step:])
+        if not len(a):
+            break
+        a, b = entries.filtered(a, a + step, rule)
+        lefts.append(a)
+        rights.append(b)
+    none = np.empty(0, np.int64)
+    return np.concatenate([none, *lefts]), np.concatenate([none, *rights])
+
 
-    def pairs(self, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
-        if not len(self.x["gid"]) or not len(self.y["gid"]):
-            return np.empty(0, np.int64), np.empty(0, np.int64)
-        return candidates(self.x, self.y, self.same, rule)
+def pairs_of_cell(entries: Entries, x: np.ndarray, y: np.ndarray, same: bool, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
+    """The filtered pairs of two chunks, or of one."""
+    none = np.empty(0, np.int64)
+    lefts, rights = [none], [none]
+    for at in range(0, len(x), 128):
+        part = x[at : at + 128]
+        a, b = np.repeat(part, len(y)), np.tile(y, len(part))
+        if same:
+            a, b = a[a < b], b[a < b]
+        a, b = entries.filtered(a, b, rule)
+        lefts.append(a)
+        rights.append(b)
+    return np.concatenate(lefts), np.concatenate(rights)
 
 
-def partners(cell: Cell, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
+def partners(entries: Entries, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The groups that have a partner, each as a pair of itself."""
-    a, b = cell.pairs(rule)
-    found = np.unique(np.append(cell.x["gid"][a], cell.y["gid"][b]))
+    found = np.unique(np.append(entries.gid[a], entries.gid[b]))
     return found, found
 
 
-def every_pair(cell: Cell, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
-    a, b = cell.pairs(rule)
-    return cell.x["gid"][a], cell.y["gid"][b]
+def every_pair(entries: Entries, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return entries.gid[a], entries.gid[b]
 
 
-def spanning_pairs(cell: Cell, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs that join the components as far as all pairs of the cell would, if each held a link."""
-    a, b = cell.pairs(rule)
+def spanning_pairs(entries: Entries, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs that join the components as far as all of the pairs would, if each held a link."""
     root: dict[int, int] = {}
 
     def find(k: int) -> int:
@@ -317,40 +324,60 @@ def spanning_pairs(cell: Cell, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
         return k
 
     keep = np.ones(len(a), bool)
-    whole = (cell.x["low"][a] == cell.x["high"][a]) & (cell.y["low"][b] == cell.y["high"][b])
-    for at, u, v in zip(np.flatnonzero(whole).tolist(), cell.x["low"][a[whole]].tolist(), cell.y["low"][b[whole]].tolist()):
+    whole = np.flatnonzero((entries.low[a] == entries.high[a]) & (entries.low[b] == entries.high[b]))
+    for at, u, v in zip(whole.tolist(), entries.low[a[whole]].tolist(), entries.low[b[whole]].tolist()):
         u, v = find(u), find(v)
         keep[at] = u != v
         root[u] = v
-    return cell.x["gid"][a[keep]], cell.y["gid"][b[keep]]
+    return entries.gid[a[keep]], entries.gid[b[keep]]
 
 
-def over_cells(cells: DataFrame, rule: Rule, find: Callable[[Cell, Rule], tuple[np.ndarray, np.ndarray]]) -> DataFrame:
-    """``(a, b)``: what ``find`` gives for the cells. A cell arrives as a run of equal ``(token, i, j)``."""
+Find = Callable[[Entries, np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
+
+
+def over_cells(cells: DataFrame, rule: Rule, find: Find) -> DataFrame:
+    """``(a, b)``: what ``find`` gives for the filtered pairs of the cells. A cell arrives as a run of equal ``(token, i, j)``."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
+    def out(rows: pa.Table) -> pa.RecordBatch:
+        """For whole cells."""
+        entries = Entries(rows)
+        keys = np.stack([rows[c].to_numpy() for c in ("token", "i", "j")])
+        begins = np.flatnonzero(np.append(True, (keys[:, 1:] != keys[:, :-1]).any(axis=0)))
+        sizes = np.diff(np.append(begins, rows.num_rows))
+        short = (sizes <= SHORT) & (keys[1, begins] == keys[2, begins])
+        run = np.repeat(np.where(short, np.arange(len(begins)), -1), sizes)
+        # Entries of long lists are runs of their own here.
+        a, b = pairs_of_runs(entries, np.where(run >= 0, run, -1 - np.arange(len(run))), rule)
+        lefts, rights = [a], [b]
+        chunk = rows["chunk"].to_numpy()
+        for low, size in zip(begins[~short].tolist(), sizes[~short].tolist()):
+            places = np.arange(low, low + size)
+            x, y = places[chunk[places] == keys[1, low]], places[chunk[places] == keys[2, low]]
+            a, b = pairs_of_cell(entries, x, y, keys[1, low] == keys[2, low], rule)
+            lefts.append(a)
+            rights.append(b)
+        a, b = find(entries, np.concatenate(lefts), np.concatenate(rights))
+        return pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], schema=schema)
+
     def work(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: list[pa.RecordBatch] = []
-
-        def out(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
-            a, b = find(Cell(pa.Table.from_batches(parts).combine_chunks().to_batches()[0]), rule)
-            return pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], schema=schema)
-
-        last = None
         for batch in stream:
             if not batch.num_rows:
                 continue
-            keys = np.stack([batch[c].to_numpy() for c in ("token", "i", "j")])
-            begins = np.flatnonzero(np.append(True, (keys[:, 1:] != keys[:, :-1]).any(axis=0))).tolist()
-            for low, high in zip(begins, [*begins[1:], batch.num_rows]):
-                now = tuple(keys[:, low].tolist())
-                if rest and last != now:
-                    yield out(rest)
-                    rest = []
-                last = now
-                rest.append(batch.slice(low, high - low))
+            last = tuple(batch[c][batch.num_rows - 1].as_py() for c in ("token", "i", "j"))
+            same = np.logical_and.reduce([batch[c].to_numpy() == v for c, v in zip(("token", "i", "j"), last)])
+            cut = batch.num_rows - int(same.sum())
+            # The last cell may go on in the next batch.
+            if cut:
+                yield out(pa.Table.from_batches([*rest, batch.slice(0, cut)]))
+                rest = []
+            elif rest and any(rest[-1][c][0].as_py() != v for c, v in zip(("token", "i", "j"), last)):
+                yield out(pa.Table.from_batches(rest))
+                rest = []
+            rest.append(batch.slice(cut))
         if rest:
-            yield out(rest)
+            yield out(pa.Table.from_batches(rest))
 
     bound_batches(cells.sparkSession)
     dealt = cells.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
