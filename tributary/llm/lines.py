@@ -5,24 +5,31 @@ least ``MIN_CHARS`` characters is cut into three segments. If two lines are with
 the shorter lies unchanged in the longer, close to where it was: for every length and segment, only the few starting
 points are probed at which the edits before and after it can still add up to two. Index and probe rows meet in an
 equi-join on a hash of (length, segment number, substring). A 64-bit parity sketch of the characters, of which an edit
-changes two bits at most, drops other meetings inside the join; the rest is verified by a banded bit-parallel automaton.
-Linked lines form classes; a class keeps its first line.
+changes two bits at most, drops other meetings; the rest is verified by a banded bit-parallel automaton. Linked lines form
+classes; a class keeps its first line.
+
+Classes need a spanning set of links, not all of them. Each line is first verified against one line of every key it
+meets. Only keys that then still hold several classes are compared further, in cells of bounded size: they yield a set of
+pairs that would join their classes, and, once those are verified, every pair of what is still apart.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_arrow, discard, free_names, text_or_empty, written
+from .common import bound_batches, by_arrow, discard, free_names, text_or_empty, written
 from .components import components
 
 EDITS = 2
 MIN_CHARS = 30
 SKETCH_MIX = np.uint64(0x9E3779B97F4A7C15)
 PLACES = 1 << 20
+CHUNK = 1024
 BLANKS = " \t\r\x0b\x0c"
 
 
@@ -85,30 +92,140 @@ def segment(length: Column, number: Column, edits: int) -> tuple[Column, Column]
     return number * short + extra, short + F.when(number >= parts - length % parts, 1).otherwise(0)
 
 
-def keyed(lines: DataFrame, places: list[tuple[int, int, int]], edits: int) -> DataFrame:
-    """``(key, id, sketch)`` for each ``(shorter by, segment, shift)`` that fits the line."""
+def keyed(lines: DataFrame, places: list[tuple[int, int, int]], edits: int, own: bool = False) -> DataFrame:
+    """``(key, id, sketch)`` for each ``(shorter by, segment, shift)`` that fits the line.
+
+    If ``own``, also ``indexed``: whether the key is one under which the line itself is indexed.
+    """
     entries = ", ".join(f"named_struct('d', {d}, 'i', {i}, 'o', {o})" for d, i, o in places)
     each = lines.select("id", "sketch", "line", F.length("line").alias("n"), F.expr(f"inline(array({entries}))"))
     length = F.col("n") - F.col("d")
     begin, size = segment(length, F.col("i"), edits)
     at = begin + F.col("o")
     fits = (at >= 0) & (at + size <= F.col("n")) & (length >= MIN_CHARS)
-    return each.where(fits).select(F.xxhash64(length, F.col("i"), F.substring(F.col("line"), at + 1, size)).alias("key"), "id", "sketch")
+    return each.where(fits).select(F.xxhash64(length, F.col("i"), F.substring(F.col("line"), at + 1, size)).alias("key"), "id", "sketch", *([((F.col("d") == 0) & (F.col("o") == 0)).alias("indexed")] if own else []))
+
 
+def meetings(lines: DataFrame, edits: int = EDITS) -> DataFrame:
+    """``(key, id, sketch, indexed, lead, lead_sketch, several)``: lines that probe a key under which another line is indexed.
 
-def candidates(lines: DataFrame, edits: int = EDITS) -> DataFrame:
-    """``(a, b)``: ids of distinct lines that share a segment in place and differ little in their sketches."""
+    ``lead`` is the first indexed line of a key, ``several`` says that there are more, ``indexed`` that this one is.
+    """
     index = keyed(lines, [(0, i, 0) for i in range(edits + 1)], edits)
+    leads = index.groupBy(F.col("key").alias("index_key")).agg(F.min(F.struct("id", "sketch")).alias("lead"), F.max("id").alias("last"))
     probes = [
         (d, i, o)
         for d in range(edits + 1)
         for i in range(edits + 1)
         for o in range(max(-i, d - (edits - i)), min(i, d + edits - i) + 1)
     ]
-    probe = keyed(lines, probes, edits).select(F.col("key").alias("probe_key"), F.col("id").alias("probe_id"), F.col("sketch").alias("probe_sketch"))
-    near = F.bit_count(F.col("sketch").bitwiseXOR(F.col("probe_sketch"))) <= 2 * edits
-    met = index.join(probe, (F.col("key") == F.col("probe_key")) & (F.col("id") != F.col("probe_id")) & near)
-    return met.select(F.greatest("id", "probe_id").alias("a"), F.least("id", "probe_id").alias("b")).distinct()
+    probe = keyed(lines, probes, edits, own=True)
+    several = F.col("last") != F.col("lead.id")
+    met = probe.join(leads, (F.col("key") == F.col("index_key")) & ((F.col("id") != F.col("lead.id")) | several))
+    return met.select("key", "id", "sketch", "indexed", F.col("lead.id").alias("lead"), F.col("lead.sketch").alias("lead_sketch"), several.alias("several"))
+
+
+def pairs_with_leads(met: DataFrame, edits: int) -> DataFrame:
+    near = F.bit_count(F.col("sketch").bitwiseXOR(F.col("lead_sketch"))) <= 2 * edits
+    found = met.where((F.col("id") != F.col("lead")) & near)
+    return found.select(F.greatest("id", "lead").alias("a"), F.least("id", "lead").alias("b")).distinct()
+
+
+def cells(met: DataFrame, roots: DataFrame) -> DataFrame:
+    """The lines of keys that hold several classes, dealt into cells of at most ``CHUNK`` indexed and ``CHUNK`` probing lines."""
+    wide = met.where("several").select("key", "id", "sketch", "indexed").join(roots, F.col("id") == F.col("node"), "left")
+    wide = wide.select("key", "id", "sketch", "indexed", F.coalesce("root", "id").alias("root"))
+    sizes = wide.groupBy(F.col("key").alias("k")).agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n"), F.count_if("indexed").alias("x"))
+    still = wide.join(sizes.where("low < high"), F.col("key") == F.col("k"))
+    rows, columns = F.ceil(F.col("x") / CHUNK), F.ceil(F.col("n") / CHUNK)
+    here = F.xxhash64("id")
+    index = still.where("indexed").select("key", F.pmod(here, rows).alias("i"), F.explode(F.sequence(F.lit(0).cast("long"), columns - 1)).alias("j"), "id", "sketch", "root", F.lit(True).alias("indexed"))
+    probe = still.select("key", F.explode(F.sequence(F.lit(0).cast("long"), rows - 1)).alias("i"), F.pmod(here, columns).alias("j"), "id", "sketch", "root", F.lit(False).alias("indexed"))
+    return index.union(probe)
+
+
+def pairs_of_cell(rows: dict[str, np.ndarray], spanning: bool, edits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of a cell in different classes and near in their sketches; if ``spanning``, as many as join the classes."""
+    x, y = np.flatnonzero(rows["indexed"]), np.flatnonzero(~rows["indexed"])
+    lefts, rights = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    for at in range(0, len(x), 256):
+        part = x[at : at + 256]
+        near = np.bitwise_count(rows["sketch"][part][:, None] ^ rows["sketch"][y][None, :]) <= 2 * edits
+        a, b = np.nonzero(near & (rows["root"][part][:, None] != rows["root"][y][None, :]))
+        lefts.append(part[a])
+        rights.append(y[b])
+    a, b = np.concatenate(lefts), np.concatenate(rights)
+    if spanning:
+        root: dict[int, int] = {}
+
+        def find(k: int) -> int:
+            while root.get(k, k) != k:
+                root[k] = k = root.get(root[k], root[k])
+            return k
+
+        keep = np.zeros(len(a), bool)
+        for i, (u, v) in enumerate(zip(rows["root"][a].tolist(), rows["root"][b].tolist())):
+            u, v = find(u), find(v)
+            keep[i] = u != v
+            root[u] = v
+        a, b = a[keep], b[keep]
+    return rows["id"][a], rows["id"][b]
+
+
+def pairs_apart(met: DataFrame, roots: DataFrame, spanning: bool, edits: int) -> DataFrame:
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def work(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest: list[pa.RecordBatch] = []
+        last = None
+
+        def out(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+            whole = pa.Table.from_batches(parts)
+            a, b = pairs_of_cell({c: whole[c].to_numpy() for c in ("id", "sketch", "root", "indexed")}, spanning, edits)
+            return pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], schema=schema)
+
+        for batch in stream:
+            if not batch.num_rows:
+                continue
+            keys = np.stack([batch[c].to_numpy() for c in ("key", "i", "j")])
+            begins = np.flatnonzero(np.append(True, (keys[:, 1:] != keys[:, :-1]).any(axis=0))).tolist()
+            for low, high in zip(begins, [*begins[1:], batch.num_rows]):
+                now = tuple(keys[:, low].tolist())
+                if rest and last != now:
+                    yield out(rest)
+                    rest = []
+                last = now
+                rest.append(batch.slice(low, high - low))
+        if rest:
+            yield out(rest)
+
+    bound_batches(met.sparkSession)
+    dealt = cells(met, roots).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    return dealt.mapInArrow(work, "a long, b long").distinct()
+
+
+def linked_lines(lines: DataFrame, edits: int = EDITS) -> tuple[DataFrame, list[str]]:
+    """``(node, root)`` of the lines that are linked with others, and the paths it lives in."""
+    spark = lines.sparkSession
+    met, met_path = written(meetings(lines.where("sketch is not null"), edits), "meetings")
+    links = spark.createDataFrame([], "a long, b long")
+    roots = spark.createDataFrame([], "node long, root long")
+    paths = [met_path]
+    for find in (pairs_with_leads(met, edits), True, False):
+        pairs = pairs_apart(met, roots, find, edits) if isinstance(find, bool) else find
+        found, found_path = written(verified(written_pairs(pairs, paths), lines, edits), "links")
+        paths.append(found_path)
+        if not found.isEmpty():
+            links = links.union(found)
+            roots, roots_path = components(links)
+            paths.append(roots_path)
+    return roots, paths
+
+
+def written_pairs(pairs: DataFrame, paths: list[str]) -> DataFrame:
+    table, path = written(pairs, "pairs")
+    paths.append(path)
+    return table
 
 
 def place_of(key: Column) -> Column:
@@ -176,11 +293,10 @@ def line_classes(found: DataFrame, docs: DataFrame, edits: int = EDITS) -> DataF
     line, in the order of doc_id (null last), row and number. Lines shorter than ``MIN_CHARS`` are copies only if equal.
     """
     lines = distinct_lines(docs, found)
-    pairs, pairs_path = written(candidates(lines.where("sketch is not null"), edits), "pairs")
-    roots, _ = components(verified(pairs, lines, edits))
-    discard(docs.sparkSession, pairs_path)
+    roots, paths = linked_lines(lines, edits)
     known = lines.select("digest", "id").join(roots, F.col("id") == F.col("node"), "left").select("digest", F.coalesce("root", "id").alias("class"))
     placed, _ = written(found.join(known, "digest", "left").drop("digest"), "placed")
+    discard(docs.sparkSession, *paths)
     order = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("d"), F.col("row").alias("r"), F.col("no").alias("l"))
     # Written, so that the join is free to split a hot class.
     first, _ = written(placed.where("class is not null").groupBy(F.col("class").alias("of")).agg(F.min(order).alias("first")), "first")
