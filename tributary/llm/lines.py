@@ -126,8 +126,10 @@ def meetings(lines: DataFrame, edits: int = EDITS) -> DataFrame:
 
 
 def pairs_with_leads(met: DataFrame, edits: int) -> DataFrame:
+    """A line with the lead of each key that indexes no other, and with one lead of its other keys, which are cells later."""
     near = F.bit_count(F.col("sketch").bitwiseXOR(F.col("lead_sketch"))) <= 2 * edits
-    found = met.where((F.col("id") != F.col("lead")) & near)
+    close = met.where((F.col("id") != F.col("lead")) & near)
+    found = close.where("not several").select("id", "lead").union(close.where("several").groupBy("id").agg(F.min("lead").alias("lead")))
     return found.select(F.greatest("id", "lead").alias("a"), F.least("id", "lead").alias("b")).distinct()
 
 
