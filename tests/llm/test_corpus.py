@@ -3,6 +3,8 @@
 import hashlib
 import io
 import random
+import re
+import time
 import zlib
 
 import numpy as np
@@ -240,6 +242,55 @@ def test_quality_learns_only_from_what_it_may_see(spark):
     assert quality.score(empty_docs(spark), net).count() == 0
 
 
+def test_quality_learns_from_whole_texts_and_one_row_of_an_id(spark):
+    # What tells the labels apart stands at the end of texts of many chunks only.
+    rnd = random.Random(4)
+    texts = [words(rnd, 1500, 300) + (" zq zq zq zq" if i % 2 else " kv kv kv kv") for i in range(240)]
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(240)], "doc_id long, quality int, toxic int")
+    docs = hard_docs(spark, texts)
+    net = quality.fit(docs, labels.where("doc_id < 160"), updates=250)
+    scored = {r.doc_id: r.score for r in quality.score(docs, net).where("doc_id >= 160 and doc_id < 240").collect()}
+    assert sum((s >= 0.5) == (i % 2 == 1) for i, s in scored.items()) / len(scored) > 0.9
+    # Many repeats of one id do not crowd out the other label.
+    first = spark.range(160).orderBy(F.xxhash64(F.lit(7), "id")).first().id
+    crowded = docs.where("doc_id < 160").union(docs.where(F.col("doc_id") == first).select("*", F.explode(F.sequence(F.lit(1), F.lit(400)))).drop("col"))
+    assert quality.fit(crowded, labels, max_rows=100, updates=2).weights is not None
+    # A bound on the bytes leaves whole texts of both labels, or nothing to learn from.
+    assert quality.fit(docs, labels, max_bytes=200_000, updates=2).weights is not None
+    assert quality.fit(docs, labels, max_bytes=10, updates=2).weights is None
+
+
+def test_forward_pass_matches_naive_loops():
+    rnd = np.random.default_rng(5)
+    texts = [b"", b"short", bytes(rnd.integers(0, 256, 1500, dtype=np.uint8)), bytes(rnd.integers(97, 123, 700, dtype=np.uint8))]
+    lengths = np.array([len(t) for t in texts])
+    data, begins = np.frombuffer(b"".join(texts), np.uint8), np.cumsum(lengths) - lengths
+    each = [b + quality.chunk_starts(n) for b, n in zip(begins, lengths)]
+    sizes = np.array([len(e) for e in each])
+    first, labels = np.cumsum(sizes) - sizes, np.array([0, 1, 1, 0], np.float32)
+    args = (data, np.concatenate(each), np.repeat(begins + lengths, sizes), first, labels, np.ones(4, np.float32))
+    w = quality.train(*args, updates=3)
+
+    def naive(w, text):
+        hidden = []
+        for start in quality.chunk_starts(len(text)):
+            part = text[start : start + quality.CHUNK + quality.WIDTH - 1].ljust(quality.CHUNK + quality.WIDTH - 1, b"\0")
+            pooled = [max(
+                sum(float(w["embedding"][part[p + j]] @ w["filters"][j, :, k]) for j in range(quality.WIDTH)) for p in range(quality.CHUNK)
+            ) for k in range(quality.FILTERS)]
+            seen = np.array([max(x + b, 0) for x, b in zip(pooled, w["bias"])] + [min(len(text) - start, quality.CHUNK) / quality.CHUNK])
+            hidden.append(np.maximum(seen @ w["hidden"] + w["hidden_bias"], 0))
+        both = np.concatenate([np.mean(hidden, axis=0), np.max(hidden, axis=0)])
+        return 1 / (1 + np.exp(-(both @ w["out"] + w["out_bias"][0])))
+
+    import pyarrow as pa
+
+    # The column is UTF-8; bytes go in as they are.
+    column = pa.Array.from_buffers(pa.string(), 4, [None, pa.py_buffer(np.append(begins, lengths.sum()).astype(np.int32).tobytes()), pa.py_buffer(b"".join(texts))])
+    got = quality.score_texts(quality.Network(w), column)
+    assert np.allclose(got, [naive(w, t) for t in texts], atol=1e-5)
+
+
 def test_chunks_cover_every_byte():
     for n in (0, 1, 511, 512, 513, 992, 993, 5000):
         starts = quality.chunk_starts(n)
@@ -308,6 +359,26 @@ def test_parts_of_a_text_encode_as_the_whole():
         assert next(encoder.texts([text])) == np.array(plain.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
 
+def test_other_tokenizers_get_whole_texts():
+    from tokenizers import Tokenizer
+
+    with open("/opt/tokenizers/byte_bpe_50k.json", encoding="utf-8") as file:
+        definition = file.read()
+    encoder, plain = tokens.Encoder(definition), Tokenizer.from_str(definition)
+    assert not encoder.by_parts and tokens.by_parts(queries.word_tokenizer())
+    for text in ("", "Hello  World", "a b\n\nc", " x", LONG):
+        assert next(encoder.texts([text])) == np.array(plain.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
+def test_token_files_are_read_by_as_many_tasks(spark, tmp_path):
+    docs = spark.range(400).selectExpr("id as doc_id", "concat('text ', id) as text").repartition(8)
+    manifest = tokens.write_tokens(docs, queries.word_tokenizer(), f"file://{tmp_path}")
+    copies = manifest.select("*", F.explode(F.sequence(F.lit(0), F.lit(5))).alias("copy")).withColumn("part", F.col("part") * 10 + F.col("copy"))
+    read = tokens.read_tokens(copies)
+    assert read.select(F.spark_partition_id()).distinct().count() > 1
+    assert read.count() == 6 * 400
+
+
 @pytest.mark.parametrize("name", ["endoftext", "startoftext"])
 def test_added_tokens_encode_alike_in_any_order(name):
     from tokenizers import Tokenizer
@@ -422,13 +493,19 @@ def test_chats_round_trip(spark):
     ("<span style='visibility:hidden'>a<i style='visibility:visible'>b</i></span>c", "bc"),
     ("<pre>  k\n   l</pre>m", "  k\n   l\n\nm"), ("a < b > c", "a < b > c"), ("<p>x</b></i></div>y", "xy"),
     ("<details><summary>s</summary>gone</details>", "s"), ("a<b", "a<b"), ("<dl><dt>t<dd>d</dl>", "t\n  d"),
+    ('<ol start="--5"><li>a<li value="\u00b2">b<li value="-3">c<li>d</ol>', "1. a\n2. b\n-3. c\n-2. d"), (f"<ol start={'9' * 5000}><li>a</ol>", "1. a"),
+    ("<table><td colspan='\u00b2'>a<td rowspan=x>b</table>", "a  b"), ("<table><td rowspan=2>A<td>b<tr><td>c</table>", "A  b\n   c"),
+    ("<table><tbody><td rowspan=0>A<td>b<tr><td>c<tbody><tr><td>d<td>e</table>", "A  b\n   c\nd  e"),
+    ("<table><td colspan=1000>a<td>b<tr><td>c</table>", "a  b\nc"), ("x<!-->y<!-- z", "xy"), ("<a title='>'>q</a> <a x", "q <a x"), ("<p title=\"it's\">r", "r"),
+    ("<div>" * 149 + "<div style='display:none'>HIDDEN</div>" + "<b hidden>H</b>s", "s"),
 ])
 def test_pages_render_as_they_show(page, text):
     assert html.visible_text(page) == text
 
 
 def test_pages_keep_all_words(spark):
-    assert html.visible_text("<div>" * 20_000 + "deep") == "deep"
+    for tag in ("div", "b", "blockquote", "ul><li", "table><td", "pre"):
+        assert html.visible_text(f"<{tag}>" * 20_000 + "deep<i hidden>no").strip(" -") == "deep"
     pages = spark.createDataFrame([(1, "u", "<title> a  b </title><p>x", "t"), (None, None, None, None), (1, "u", "<p>" + LONG, "t")], "page_id long, url string, html string, text string")
     got = html.extract_pages(pages)
     assert got.columns == ["page_id", "url", "title", "text"]
@@ -436,6 +513,67 @@ def test_pages_keep_all_words(spark):
     assert html.extract_pages(pages.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("piece", ["<a ", "<!", "<a<a", "<a \"", "<a '\"", "</a ", "<title", "<p><b>", "<td rowspan=2>", "<li><p></u>", "&", "<a x=y ;:"])
+def test_broken_pages_take_time_in_proportion(piece):
+    def seconds(page):
+        started = time.process_time()
+        html.title_of(page)
+        html.visible_text(page)
+        return time.process_time() - started
+
+    for end in ("", "\">\"", "'>", ">"):
+        assert seconds(piece * 40_000 + end) < 5, end
+
+
+def naive_page(rnd, depth):
+    """A random well-formed page, and the words it shows in order."""
+    if depth == 0 or rnd.random() < 0.25:
+        word = f"w{rnd.randrange(1000)}"
+        return f" {word} ", [word]
+    inner = [naive_page(rnd, depth - 1) for _ in range(rnd.randint(1, 4))]
+    text, seen = "".join(i[0] for i in inner), [w for i in inner for w in i[1]]
+    kind = rnd.randrange(7)
+    if kind == 0:
+        return f"<div {rnd.choice(['hidden', 'style=display:none'])}>{text}</div>", []
+    if kind == 1:
+        return f"<{(tag := rnd.choice(['script', 'noscript', 'template']))}>w</{tag}>", []
+    if kind == 2:
+        return "<table>" + "".join(f"<tr><td>{i[0]}</td></tr>" for i in inner) + "</table>", seen
+    if kind == 3:
+        return "<ul>" + "".join(f"<li>{i[0]}</li>" for i in inner) + "</ul>", seen
+    tag = rnd.choice(["div", "section", "span", "b", "blockquote"])
+    return f"<{tag} class='a > b'>{text}</{tag}>", seen
+
+
+def test_pages_show_the_words_of_a_naive_rendering():
+    rnd = random.Random(12)
+    for _ in range(400):
+        page, seen = naive_page(rnd, 6)
+        assert [w for w in html.visible_text(page).split() if w != "-"] == seen
+
+
+def test_table_cells_stand_in_their_columns():
+    rnd = random.Random(13)
+    for _ in range(200):
+        rows, wide = rnd.randint(1, 6), rnd.randint(1, 5)
+        taken, cells, places = {}, [], {}
+        for r in range(rows):
+            line = []
+            for c in range(wide):
+                if (r, c) in taken:
+                    continue
+                tall, name = rnd.randint(1, rows - r), f"c{r}x{c}" + "y" * rnd.randint(0, 5)
+                taken.update({(r + i, c): name for i in range(tall)})
+                places[name] = (r, c)
+                line.append(f"<td rowspan={tall}>{name}")
+            cells.append("<tr>" + "".join(line))
+        lines = html.visible_text("<table>" + "".join(cells) + "</table>").split("\n")
+        found = {word: i for line in lines for word, i in zip(line.split(), [m.start() for m in re.finditer(r"\S+", line)])}
+        starts = [{i for name, i in found.items() if places[name][1] == c} for c in range(wide)]
+        assert found.keys() == places.keys() and all(len(s) == 1 for s in starts)
+        assert [min(s) for s in starts] == sorted(min(s) for s in starts)
+
+
 # ---- lines
 
 def distance(a, b):

@@ -86,6 +86,16 @@ def by_arrow(df: DataFrame, schema: StructType | str, work: Callable[[pa.RecordB
     return df.mapInArrow(batches, schema)
 
 
+def input_bytes(df: DataFrame) -> int:
+    """The bytes of the tables that ``df`` is made from, as Spark knows them before it reads any; 0 if it does not.
+
+    Estimates of whole plans multiply the sides of joins, so only the leaves are added up.
+    """
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    total = sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
+    return total if total < 1 << 60 else 0
+
+
 def text_bytes(column: pa.Array) -> tuple[memoryview, list[int]]:
     """The UTF-8 bytes of a string column and the offset of each row in them; a null row is empty."""
     column = column.fill_null("")

@@ -13,16 +13,16 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import by_arrow, free_names, text_bytes
+from .common import by_arrow, free_names, text_bytes, text_or_empty
 
 CHUNK, STRIDE, WIDTH = 512, 480, 6
 FILTERS, EMBEDDING, HIDDEN = 16, 8, 16
 BLOCK = 512
 UPDATES = 500
-MAX_TRAIN_ROWS, MAX_TRAIN_CHUNKS = 4000, 8
+MAX_TRAIN_ROWS, MAX_TRAIN_BYTES = 4000, 32 * 1024 * 1024
 THRESHOLD = 0.7
 
 
@@ -64,6 +64,13 @@ def convolve(chunks: np.ndarray, pairs: list[np.ndarray]) -> np.ndarray:
     return answer
 
 
+def strongest(chunks: np.ndarray, pairs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Where each filter answers most strongly in each chunk, and that answer."""
+    answer = convolve(chunks, pairs)
+    where = answer.argmax(axis=1)
+    return where, np.take_along_axis(answer, where[:, None, :], axis=1)[:, 0]
+
+
 def fill(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """The share of each chunk that holds text."""
     return (np.minimum(ends - starts, CHUNK) / CHUNK).astype(np.float32)[:, None]
@@ -83,8 +90,11 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def train(chunks, filled, first, labels, weights, updates: int = UPDATES, batch: int = 64, rate: float = 4e-3, seed: int = 11) -> dict:
-    """Adam on the weighted log loss, as many updates for any input. ``first`` is each document's first chunk."""
+def train(data, starts, ends, first, labels, weights, updates: int = UPDATES, batch: int = 64, rate: float = 4e-3, seed: int = 11) -> dict:
+    """Adam on the weighted log loss, as many updates for any input.
+
+    Chunks begin at ``starts`` in ``data``, their documents end at ``ends``; ``first`` is each document's first chunk.
+    """
     rng = np.random.default_rng(seed)
     draw = lambda *shape: (rng.standard_normal(shape) / np.sqrt(shape[-2])).astype(np.float32)
     w = {
@@ -93,7 +103,7 @@ def train(chunks, filled, first, labels, weights, updates: int = UPDATES, batch:
         "out": draw(2 * HIDDEN, 1)[:, 0], "out_bias": np.zeros(1, np.float32),
     }
     m, v, step = {k: np.zeros_like(x) for k, x in w.items()}, {k: np.zeros_like(x) for k, x in w.items()}, 0
-    last = np.append(first[1:], len(chunks))
+    last = np.append(first[1:], len(starts))
     while step < updates:
         order = rng.permutation(len(first))
         for at in range(0, len(order), batch):
@@ -101,11 +111,11 @@ def train(chunks, filled, first, labels, weights, updates: int = UPDATES, batch:
             rows = np.concatenate([np.arange(first[d], last[d]) for d in docs])
             sizes = last[docs] - first[docs]
             own_first, of = np.cumsum(sizes) - sizes, np.repeat(np.arange(len(docs)), sizes)
-            x = chunks[rows]
-            answer = convolve(x, pair_tables(filter_tables(w)))
-            where = answer.argmax(axis=1)
-            pooled = np.take_along_axis(answer, where[:, None, :], axis=1)[:, 0]
-            seen, hidden, count, most, logit = head(w, pooled, filled[rows], own_first)
+            x = chunk_matrix(data, starts[rows], ends[rows])
+            pairs, cells = pair_tables(filter_tables(w)), range(0, len(x), BLOCK)
+            best = [strongest(x[i : i + BLOCK], pairs) for i in cells]
+            where, pooled = (np.concatenate(parts) for parts in zip(*best))
+            seen, hidden, count, most, logit = head(w, pooled, fill(starts[rows], ends[rows]), own_first)
             d_logit = ((sigmoid(logit) - labels[docs]) * weights[docs] / len(docs)).astype(np.float32)
             mean = np.add.reduceat(hidden, own_first, axis=0) / count
             g = {"out": np.concatenate([mean, most], axis=1).T @ d_logit, "out_bias": d_logit.sum(keepdims=True)}
@@ -139,12 +149,14 @@ def labelled(labels: DataFrame) -> DataFrame:
     )
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN_ROWS, max_chunks: int = MAX_TRAIN_CHUNKS, updates: int = UPDATES) -> Network:
-    """Learn from at most ``max_rows`` labelled rows, as many of either label, and ``max_chunks`` chunks of each.
+def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN_ROWS, max_bytes: int = MAX_TRAIN_BYTES, updates: int = UPDATES) -> Network:
+    """Learn from at most ``max_rows`` labelled documents, as many of either label, and at most ``max_bytes`` of text.
 
-    The rows are those with the smallest hash of their id; the chunks are spread evenly over the whole text. Rows
-    count by how frequent their label is among all of ``labels``, so scores are probabilities for the whole table.
-    Without labels every score is 1; with one label only, every score is that label.
+    The documents are those with the smallest hash of their id, one row for an id that repeats (that with the smallest
+    hash of its text), each with all chunks of its whole text; of either label as many as fit half the bytes, passing
+    over single texts that are larger than that. Rows count by how frequent their label is among all of ``labels``, so
+    scores are probabilities for the whole table. Without labels every score is 1; with one label only, or with documents
+    of one label only, every score is the label (for the latter the more frequent one).
     """
     known = labelled(labels)
     share = {r["_label"]: r["n"] for r in known.groupBy("_label").agg(F.count("*").alias("n")).collect()}
@@ -155,34 +167,27 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN_ROWS, max_
     for label in (0, 1):
         some = known.where(F.col("_label") == label).orderBy(F.xxhash64(F.lit(7), "_id"), "_id").limit(half)
         picked = some if picked is None else picked.union(some)
-
-    def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
-        out = []
-        data, offsets = text_bytes(batch["text"])
-        data = np.frombuffer(data, np.uint8)
-        for a, b in zip(offsets, offsets[1:]):
-            starts = chunk_starts(b - a)
-            starts = a + starts[np.unique(np.linspace(0, len(starts) - 1, min(max_chunks, len(starts))).round().astype(int))]
-            ends = np.full(len(starts), b)
-            out.append((chunk_matrix(data, starts, ends).tobytes(), fill(starts, ends).tobytes()))
-        return pa.RecordBatch.from_arrays(
-            [batch["_id"], batch["_label"].cast(pa.int32()), pa.array([x for x, _ in out], pa.binary()), pa.array([x for _, x in out], pa.binary())],
-            ["id", "label", "chunks", "filled"],
-        )
-
-    # At most max_rows ids, so they fit any broadcast; the texts do not move.
-    texts = docs.select(F.col("doc_id").alias("_doc"), "text").join(F.broadcast(picked), F.col("_doc") == F.col("_id"))
-    sample = by_arrow(texts.select("_id", "_label", "text"), "id long, label int, chunks binary, filled binary", cut)
-    # A doc_id that repeats can bring more rows than labels; the bound holds for them too.
-    rows = sample.orderBy(F.xxhash64(F.lit(7), "id"), "id", F.xxhash64("chunks")).limit(2 * half).collect()
-    if len({r["label"] for r in rows}) < 2:
+    # At most max_rows ids, so they fit any broadcast; the texts do not move before that.
+    texts = docs.select(F.col("doc_id").alias("_doc"), text_or_empty().alias("_text")).join(F.broadcast(picked), F.col("_doc") == F.col("_id"))
+    fitting = texts.where(F.octet_length("_text") <= max_bytes // 2)
+    one = fitting.groupBy("_id", "_label").agg(F.min_by("_text", F.struct(F.xxhash64("_text"), F.octet_length("_text"))).alias("_text"))
+    so_far = Window.partitionBy("_label").orderBy(F.xxhash64(F.lit(7), "_id"), "_id").rowsBetween(Window.unboundedPreceding, 0)
+    sample = one.withColumn("_bytes", F.sum(F.octet_length("_text")).over(so_far)).where(F.col("_bytes") <= max_bytes // 2)
+    rows = sample.select("_id", "_label", F.encode("_text", "utf-8").alias("_text")).collect()
+    rows.sort(key=lambda r: (r["_label"], r["_id"]))
+    if len({r["_label"] for r in rows}) < 2:
         return Network(None, float(max(share, key=share.get)))
-    y = np.array([r["label"] for r in rows], np.float32)
+    y = np.array([r["_label"] for r in rows], np.float32)
     per_class = {c: share[c] / sum(share.values()) / (y == c).mean() for c in (0, 1)}
-    chunks = [np.frombuffer(r["chunks"], np.uint8).reshape(-1, CHUNK + WIDTH - 1) for r in rows]
-    sizes = np.array([len(c) for c in chunks])
-    filled = np.concatenate([np.frombuffer(r["filled"], np.float32) for r in rows])[:, None]
-    return Network(train(np.concatenate(chunks), filled, np.cumsum(sizes) - sizes, y, np.where(y == 1, per_class[1], per_class[0]), updates))
+    lengths = np.array([len(r["_text"]) for r in rows])
+    data = np.frombuffer(b"".join(r["_text"] for r in rows), np.uint8)
+    begins = np.cumsum(lengths) - lengths
+    of_each = [a + chunk_starts(n) for a, n in zip(begins, lengths)]
+    sizes = np.array([len(c) for c in of_each])
+    starts, ends = np.concatenate(of_each), np.repeat(begins + lengths, sizes)
+    return Network(train(
+        data, starts, ends, np.cumsum(sizes) - sizes, y, np.where(y == 1, per_class[1], per_class[0]), updates,
+    ))
 
 
 def score_texts(net: Network, column: pa.Array) -> np.ndarray:

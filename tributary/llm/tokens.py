@@ -13,6 +13,7 @@ names of their own by every task attempt; only those named in the manifest, whic
 
 from __future__ import annotations
 
+import json
 import struct
 import uuid
 import zlib
@@ -28,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bound_batches, scratch, text_or_empty, written
+from .common import bound_batches, input_bytes, scratch, text_or_empty, written
 
 END_ID = 1
 FRAME_BYTES = 256 * 1024
@@ -38,6 +39,22 @@ SEEK_MAGIC, SKIPPABLE_SEEK, SKIPPABLE_INDEX = 0x8F92EAB1, 0x184D2A5E, 0x184D2A5D
 HAS_CHECKSUMS = 0x80
 FOOTER, FOOTER_SIZE = "<IBI", 9
 PUNCTUATION = "!#$%&()*+,-./:;?@[]^_`{|}~"
+FILE_BYTES = 256 * 1024 * 1024
+# The steps before the model under which a text's ids are those of its parts between blanks.
+NORMALIZER = {
+    "type": "Sequence",
+    "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}],
+}
+PRE_TOKENIZER = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {
+            "type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+            "behavior": "Removed", "invert": True,
+        },
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
 
 
 def byte_letters() -> dict[int, str]:
@@ -47,10 +64,23 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b if b in shown else 256 + hidden.index(b)) for b in range(256)}
 
 
+def by_parts(definition: str) -> bool:
+    """Whether this tokenizer treats the parts of a text between blanks one by one, as ``Encoder`` may then do too."""
+    rules = json.loads(definition)
+    model = rules["model"]
+    return (
+        rules.get("normalizer") == NORMALIZER and rules.get("pre_tokenizer") == PRE_TOKENIZER
+        and not any(rules.get(k) for k in ("truncation", "padding"))
+        and model.get("type") == "BPE" and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "byte_fallback"))
+        and all(t["content"].startswith("<|") and not any(c.isspace() for c in t["content"]) for t in rules["added_tokens"])
+        and not any(t[k] for t in rules["added_tokens"] for k in ("lstrip", "rstrip", "single_word", "normalized"))
+    )
+
+
 class Encoder:
     """Token ids of whole texts, as little-endian unsigned 32-bit bytes.
 
-    The tokenizer drops white space and never merges across it, so a text's ids are those of its parts between blanks
+    A tokenizer whose steps are not those of ``by_parts`` gets every text whole. Else the tokenizer drops white space and never merges across it, so a text's ids are those of its parts between blanks
     and line feeds, one after the other. Ids of short parts are remembered, up to ``MEMO_WORDS`` of them. Words of Latin
     letters only are one piece to the tokenizer whatever its rules do elsewhere; they go to its model directly.
     """
@@ -59,6 +89,10 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
+        self.by_parts = by_parts(definition)
+        if not self.by_parts:
+            self.tokenizer.no_truncation()
+            self.tokenizer.no_padding()
         self.model = self.tokenizer.model
         self.letters = byte_letters()
         self.memo: dict[str, bytes] = {"": b""}
@@ -103,6 +137,9 @@ class Encoder:
         return found
 
     def texts(self, texts: list[str]) -> Iterator[bytes]:
+        if not self.by_parts:
+            yield from (self.whole([text])[text] for text in texts)
+            return
         for text in texts:
             if len(self.memo) > MEMO_WORDS:
                 self.memo.clear()
@@ -248,7 +285,10 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str | None = None, end
         yield pa.RecordBatch.from_pylist([{"part": part, "path": f"{folder}/{name}", "n_docs": n_docs, "n_ids": n_ids}])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"), F.xxhash64("text").alias("tie"))
-    ordered = rows.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "text")
+    # Files of bounded size: more partitions than the session asks for when the table is larger than they should hold.
+    files = -(-input_bytes(docs) // FILE_BYTES)
+    width = [files] if files > int(spark.conf.get("spark.sql.shuffle.partitions")) else []
+    ordered = rows.repartitionByRange(*width, "doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "text")
     manifest, _ = written(ordered.mapInArrow(work, "part long, path string, n_docs long, n_ids long"), "manifest")
     # One row for each file: the running sum is over files, not documents.
     before = Window.partitionBy(F.lit(0)).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
@@ -256,7 +296,10 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str | None = None, end
 
 
 def read_tokens(manifest: DataFrame) -> DataFrame:
-    """``(doc_id, start, n_tokens, ids_crc32)`` of every document in the files of a manifest, read from the files."""
+    """``(doc_id, start, n_tokens, ids_crc32)`` of every document in the files of a manifest, read from the files.
+
+    As many tasks as files: the manifest is tiny, the files are not, and its own size would put all of them in one task.
+    """
 
     def work(stream: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for files in stream:
@@ -267,5 +310,5 @@ def read_tokens(manifest: DataFrame) -> DataFrame:
                 out = pd.DataFrame(found, columns=["doc_id", "start", "n_tokens", "ids_crc32"])
                 yield out.astype({"doc_id": "Int64"})
 
-    spread = manifest.select("path", "start").repartition("path")
+    spread = manifest.select("part", "path", "start").repartitionByRange(max(1, manifest.count()), "part")
     return spread.mapInPandas(work, "doc_id long, start long, n_tokens long, ids_crc32 long")
