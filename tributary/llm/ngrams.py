@@ -43,7 +43,7 @@ from .components import components
 from .simhash import LOWER
 
 ORDER_BITS, ORDER_CHUNKS = 22, 64
-MEMO_WORDS = 1 << 20
+MEMO_WORDS = 1 << 17  # some 20 MB in a worker
 LEADERS = 4  # for each list and band of sizes, by the shingle
 ROUNDS = 2
 CHUNK = 1024
