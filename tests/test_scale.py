@@ -52,6 +52,19 @@ def test_hot_key_spreads_over_tasks(spark):
     assert per_task < 4000 / 2
 
 
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_even_keys_are_joined_as_they_are(spark, how):
+    left = spark.range(600).select(F.when(F.col("id") % 60 > 0, (F.col("id") % 60).cast("string")).alias("k"), F.col("id").alias("v"))
+    right = spark.range(40).select(F.col("id").cast("string").alias("rk"), F.lit(1).alias("w"))
+    want = rows(left.join(right, F.col("k") == F.col("rk"), how).drop("rk"))
+    for limit, salted in ((10, False), (9, True)):  # ten rows a key, and ten without one
+        joined = scale.skew_safe_join(left, right, "k", "rk", how, rows_per_task=limit, small_bytes=0, broadcast_bytes=0, count_first=True)
+        assert ("approx_top_k" in plan(joined)) == salted
+        assert rows(joined) == want
+    blank = left.withColumn("k", F.when(F.col("v") > 100, F.col("k")))
+    assert "approx_top_k" in plan(scale.skew_safe_join(blank, right, "k", "rk", how, rows_per_task=20, small_bytes=0, broadcast_bytes=0, count_first=True))
+
+
 def test_sizes_decide_the_kind_of_join(spark):
     left = spark.range(10).select(F.col("id").cast("string").alias("k"))
     right = spark.range(10).select(F.col("id").cast("string").alias("rk"), F.lit(1).alias("w"))

@@ -40,6 +40,13 @@ def hot_keys(df: DataFrame, key: str, rows_per_task: int) -> DataFrame:
     )
 
 
+def is_even(df: DataFrame, key: str, rows_per_task: int) -> bool:
+    """True when neither a key nor NULL holds more than ``rows_per_task`` rows; one pass, one row to the driver."""
+    most = F.expr(f"approx_top_k(`{key}`, 1, {TRACKED_KEYS}) filter (where `{key}` is not null)")
+    found = df.agg(most.alias("top"), F.count_if(F.col(key).isNull()).alias("blank")).first()
+    return found.blank <= rows_per_task and all(t["count"] <= rows_per_task for t in found.top or [])
+
+
 def skew_safe_join(
     left: DataFrame,
     right: DataFrame,
@@ -50,14 +57,18 @@ def skew_safe_join(
     small_bytes: int = ONE_TASK_BYTES,
     broadcast_bytes: int = BROADCAST_BYTES,
     weights: tuple[DataFrame, str] | None = None,
+    *,
+    count_first: bool = False,
 ) -> DataFrame:
     """Equi-join in which one left key, or NULL, may hold a large share of all rows.
 
     A right side whose size is known to be small is broadcast, so the left side does not
-    move at all. A left side that a single task can take is joined as it is. Else hot
-    keys are salted in proportion to their size and their right rows repeated once per
-    salt; NULL keys never match and are spread by row hash. Salting changes where rows
-    meet, never which rows meet. The right key column is dropped.
+    move at all. A left side that a single task can take is joined as it is. So is, with
+    ``count_first``, one whose keys turn out even when a job counts them: what groups by
+    the key afterwards finds its rows in place. Else hot keys are salted in proportion to
+    their size and their right rows repeated once per salt; NULL keys never match and are
+    spread by row hash. Salting changes where rows meet, never which rows meet. The right
+    key column is dropped.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"unsupported join type {how!r}")
@@ -67,6 +78,9 @@ def skew_safe_join(
     if estimated_bytes(left) <= small_bytes:
         return left.join(keyed, F.col(left_key) == F.col("_right_key"), how).drop("_right_key")
     measured, key = weights or (left, left_key)
+    # Weights may know nothing of NULLs that arose on the way; an inner join drops them.
+    if count_first and (weights is None or how == "inner") and is_even(measured.select(key), key, rows_per_task):
+        return left.join(keyed, F.col(left_key) == F.col("_right_key"), how).drop("_right_key")
     kind = left.schema[left_key].dataType
     hot = hot_keys(measured.select(F.col(key).cast(kind).alias("_key")), "_key", rows_per_task)
     spread = F.xxhash64(*[F.col(c) for c in left.columns])

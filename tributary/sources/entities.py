@@ -132,20 +132,31 @@ class Entities:
             "cast(datediff(o_orderdate, date'2002-01-01') as bigint) as days_decision",
         )
 
-    def _lines(self, columns: list[str]) -> DataFrame:
-        lines = self.table("lineitem")
-        orders = self.table("orders").select("o_orderkey", "o_custkey", "o_orderdate")
-        return skew_safe_join(lines, orders, "l_orderkey", "o_orderkey", "inner").selectExpr(*columns)
-
-    def installments_bronze(self) -> DataFrame:
+    def loans(self) -> DataFrame:
+        """What all lines of a loan share: ``(loan, sk_id_curr, o_orderdate)``."""
+        return self.table("orders").selectExpr("cast(o_orderkey as string) as loan", "cast(o_custkey as string) as sk_id_curr", "o_orderdate")
+
+    def _lines(self, columns: list[str], loans: DataFrame | None, flag: str | None = None) -> DataFrame:
+        """Lines with their loan, met on the text key, so that versions of a line need not move again to be compared.
+
+        What ``loans`` has beyond its own three columns comes along.
+        """
+        lines = self.table("lineitem") if flag is None else self.table("lineitem").where(F.col("l_returnflag") == flag)
+        known = self.loans()
+        extra = [] if loans is None else [c for c in loans.columns if c not in known.columns]
+        keyed = lines.withColumn("sk_id_prev", F.col("l_orderkey").cast("string"))
+        loans = known if loans is None else loans
+        met = skew_safe_join(keyed, loans, "sk_id_prev", "loan", "inner", weights=(lines, "l_orderkey"), count_first=True)
+        return met.selectExpr("sk_id_prev", *columns, *extra)
+
+    def installments_bronze(self, loans: DataFrame | None = None) -> DataFrame:
         """Instalments with redelivered versions of one key; ``updated_at`` orders them."""
         unpaid = "l_returnflag = 'N' and l_linestatus = 'O' and l_quantity < 10"
         price = f"cast(l_extendedprice as {MONEY})"
         return self._lines([
-            "cast(l_orderkey as string) as sk_id_prev",
             "1 as num_instalment_version",
             "l_linenumber as num_instalment_number",
-            "cast(o_custkey as string) as sk_id_curr",
+            "sk_id_curr",
             "datediff(o_orderdate, date'2002-01-01') + 60 as days_instalment",
             f"if({unpaid}, null, datediff(l_shipdate, date'2002-01-01')) as days_entry_payment",
             f"{price} as amt_instalment",
@@ -153,30 +164,27 @@ class Entities:
             "l_shipdate as updated_at",
             "l_partkey as line_part",
             "l_suppkey as line_supp",
-        ])
+        ], loans)
 
-    def _balances(self, flag: str, extra: list[str], grace: int) -> DataFrame:
-        joined = self.table("lineitem").where(F.col("l_returnflag") == flag)
-        orders = self.table("orders").select("o_orderkey", "o_custkey", "o_orderdate")
-        return skew_safe_join(joined, orders, "l_orderkey", "o_orderkey", "inner").selectExpr(
-            "cast(l_orderkey as string) as sk_id_prev",
+    def _balances(self, flag: str, extra: list[str], grace: int, loans: DataFrame | None) -> DataFrame:
+        return self._lines([
             "-l_linenumber as months_balance",
-            "cast(o_custkey as string) as sk_id_curr",
+            "sk_id_curr",
             f"greatest(0, datediff(l_shipdate, o_orderdate) - {grace}) as sk_dpd",
             *extra,
             "l_shipdate as updated_at",
             "l_partkey as line_part",
             "l_suppkey as line_supp",
-        )
+        ], loans, flag)
 
-    def card_balance_bronze(self) -> DataFrame:
+    def card_balance_bronze(self, loans: DataFrame | None = None) -> DataFrame:
         return self._balances("R", [
             f"cast(cast(l_extendedprice as {MONEY}) * (cast(l_discount as decimal(4,2)) - 0.02BD) as {MONEY}) as amt_balance",
             f"cast(if(l_quantity < 5, 0, l_quantity * 1000) as {MONEY}) as amt_credit_limit_actual",
-        ], 60)
+        ], 60, loans)
 
-    def pos_balance_bronze(self) -> DataFrame:
-        return self._balances("A", [], 90)
+    def pos_balance_bronze(self, loans: DataFrame | None = None) -> DataFrame:
+        return self._balances("A", [], 90, loans)
 
     # -- campaign system: no customer key of its own --
     def campaign_keyless(self) -> DataFrame:
