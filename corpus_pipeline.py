@@ -26,7 +26,10 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document, the smallest doc_id, of each group of near copies: five-word shingles, similarity 0.8."""
+    """Keeps one document, the smallest doc_id, of each group of near copies: five-word shingles, similarity 0.8.
+
+    Copies are found by ball hashing of fingerprints, then by min-hashes what that cannot reach, and verified on both texts.
+    """
     return minhash.keep_one(docs)
 
 

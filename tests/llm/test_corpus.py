@@ -145,6 +145,25 @@ def test_pipeline_near_dedup_matches_all_pairs(spark):
     assert minhash.keep_one(empty_docs(spark)).count() == 0
 
 
+def test_pipeline_near_dedup_meets_by_fingerprints(spark):
+    """Ball hashing alone connects whatever is within three bits, with at most one pair for each text."""
+    rnd = random.Random(12)
+    texts = [f"{base} {rnd.randrange(40)}" for base in (words(rnd, 400, 5000) for _ in range(20)) for _ in range(6)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("mark", F.xxhash64("text"))
+    join = minhash.KeyJoin(docs, minhash.with_keys(docs, minhash.STAGE), minhash.STAGE)
+    bits = {r.gid: r.bits & simhash.ALL_BITS for r in join.nodes.collect()}
+    want = {simhash.fingerprint(" ".join(t.lower().split()).encode(), 5) for t in texts}
+    assert set(bits.values()) == want
+    ids = sorted(bits)
+    pairs = [(r.a, r.b) for r in join.near.collect()]
+    close = [(ids[i], ids[j]) for i in range(len(ids)) for j in range(i) if (bits[ids[i]] ^ bits[ids[j]]).bit_count() <= 3]
+    assert pairs and set(pairs) <= set(close) and len(pairs) < len(ids)
+    at = {g: i for i, g in enumerate(ids)}
+    assert union([(at[a], at[b]) for a, b in pairs], len(ids)) == union([(at[a], at[b]) for a, b in close], len(ids))
+    join.run()
+    assert join.links.count() >= len(pairs) > 20
+
+
 # ---- exact dedup
 
 @pytest.mark.parametrize("digest", [exact.sha256_hex, lambda t: F.substring(F.sha2(t, 256), 1, 1)], ids=["sha256", "colliding"])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -73,6 +74,14 @@ def free_names(df: DataFrame, *wanted: str) -> list[str]:
     return found
 
 
+def give_back() -> None:
+    """Returns what a Python worker no longer uses: it lives on after its task and would hold it through later stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def by_arrow(df: DataFrame, schema: StructType | str, work: Callable[[pa.RecordBatch], pa.RecordBatch]) -> DataFrame:
     """Each Arrow batch of ``df`` through ``work``, without a shuffle."""
 
@@ -82,6 +91,7 @@ def by_arrow(df: DataFrame, schema: StructType | str, work: Callable[[pa.RecordB
         for batch in stream:
             if batch.num_rows:
                 yield work(batch)
+        give_back()
 
     return df.mapInArrow(batches, schema)
 

@@ -38,7 +38,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bound_batches, by_arrow, discard, row_hash, text_bytes, written
+from .common import bound_batches, by_arrow, discard, give_back, row_hash, text_bytes, written
 from .components import components
 from .simhash import LOWER
 
@@ -378,6 +378,7 @@ def over_cells(cells: DataFrame, rule: Rule, find: Find) -> DataFrame:
             rest.append(batch.slice(cut))
         if rest:
             yield out(pa.Table.from_batches(rest))
+        give_back()
 
     bound_batches(cells.sparkSession)
     dealt = cells.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")

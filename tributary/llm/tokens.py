@@ -29,11 +29,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bound_batches, input_bytes, scratch, text_or_empty, written
+from .common import bound_batches, give_back, input_bytes, scratch, text_or_empty, written
 
 END_ID = 1
 FRAME_BYTES = 256 * 1024
-MEMO_WORDS, MEMO_LETTERS = 400_000, 48
+MEMO_WORDS, MEMO_LETTERS = 200_000, 48  # some 50 MB in a worker
 # Fixed values of the seekable format.
 SEEK_MAGIC, SKIPPABLE_SEEK, SKIPPABLE_INDEX = 0x8F92EAB1, 0x184D2A5E, 0x184D2A5D
 HAS_CHECKSUMS = 0x80
@@ -283,6 +283,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str | None = None, end
         with store.open_output_stream(f"{base}/{name}", compression=None) as sink:
             n_docs, n_ids = write_file(sink, documents(), encoder.width(), frame_bytes)
         yield pa.RecordBatch.from_pylist([{"part": part, "path": f"{folder}/{name}", "n_docs": n_docs, "n_ids": n_ids}])
+        give_back()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"), F.xxhash64("text").alias("tie"))
     # Files of bounded size: more partitions than the session asks for when the table is larger than they should hold.
