@@ -8,6 +8,7 @@ import time
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import regex
 from pyspark.sql import functions as F
@@ -648,6 +649,30 @@ def test_line_copies_match_brute_force(spark):
     assert kept[500] is None and kept[0] == "\n".join(x for k, x in enumerate(texts[0].split("\n")) if str(k) not in want[0][2].split(","))
 
 
+def test_lines_that_only_look_alike_give_no_pairs(spark):
+    """Lines of the same characters pass the sketch; a cell gives verified links, not the square of its lines."""
+    rnd = random.Random(11)
+    words = [f"w{i:02d}" for i in range(20)]
+    texts = ["a common beginning of a line, as long as the rest " + "".join(rnd.sample(words, 20)) for _ in range(150)]
+    docs = spark.createDataFrame([*enumerate([*texts, texts[0] + "x"])], "doc_id long, text string")
+    assert sum(r.n_copies for r in lines.line_report(docs).collect()) == 1
+    held = [*texts[:100], *texts[:100]]
+    rows = pa.table({
+        "id": range(200), "root": range(200), "sketch": lines.sketches(held), "indexed": [True] * 100 + [False] * 100, "line": held,
+    })
+    a, b = lines.links_of_cell(rows, 2)
+    assert sorted(zip(b.tolist(), a.tolist())) == [(i, i + 100) for i in range(100)]
+
+
+def test_sketches_are_parities():
+    rnd = random.Random(12)
+    for line, found in zip(held := ["".join(rnd.choice("ab\u00e9\U0001f600z") for _ in range(rnd.randint(1, 60))) for _ in range(50)], lines.sketches(held)):
+        want = 0
+        for c in line:
+            want ^= 1 << (ord(c) * int(lines.SKETCH_MIX) % (1 << 64) >> 58)
+        assert int(found) % (1 << 64) == want
+
+
 def test_lines_of_hard_rows(spark):
     docs = hard_docs(spark, ["one\ntwo", "one"])
     assert sum(r.n_copies for r in lines.line_report(docs).collect()) == 5

@@ -9,20 +9,21 @@ changes two bits at most, drops other meetings; the rest is verified by a banded
 classes; a class keeps its first line.
 
 Classes need a spanning set of links, not all of them. Each line is first verified against one line of every key it
-meets. Only keys that then still hold several classes are compared further, in cells of bounded size: they yield a set of
-pairs that would join their classes, and, once those are verified, every pair of what is still apart.
+meets. Only keys that then still hold several classes are compared further, in cells of bounded size. A first pass over
+sketches finds the lines with a partner in another class; a second one brings the texts of those and verifies inside the
+cells, so that a cell gives fewer links than it has lines, whatever the number of pairs that look alike.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches, by_arrow, discard, free_names, text_or_empty, written
+from .common import bound_batches, by_arrow, discard, free_names, give_back, text_or_empty, written
 from .components import components
 
 EDITS = 2
@@ -30,6 +31,7 @@ MIN_CHARS = 30
 SKETCH_MIX = np.uint64(0x9E3779B97F4A7C15)
 PLACES = 1 << 20
 CHUNK = 1024
+CELL_CHARS = 4 * 1024 * 1024  # of either side of a cell
 BLANKS = " \t\r\x0b\x0c"
 
 
@@ -37,10 +39,11 @@ def clean_line(line: Column) -> Column:
     return F.btrim(line, F.lit(BLANKS))
 
 
-def sketch(line: str) -> int:
-    """Bit b is set when characters of kind b occur an odd number of times."""
-    kinds = (np.frombuffer(line.encode("utf-32-le"), "<u4").astype(np.uint64) * SKETCH_MIX) >> np.uint64(58)
-    return int(np.packbits(np.bincount(kinds.astype(np.int64), minlength=64) & 1, bitorder="little").view(np.int64)[0])
+def sketches(lines: list[str]) -> np.ndarray:
+    """One number for each line, none of them empty: bit b is set when characters of kind b occur an odd number of times."""
+    sizes = np.fromiter(map(len, lines), np.int64, len(lines))
+    kinds = (np.frombuffer("".join(lines).encode("utf-32-le"), "<u4").astype(np.uint64) * SKETCH_MIX) >> np.uint64(58)
+    return np.bitwise_xor.reduceat(np.uint64(1) << kinds, np.cumsum(sizes) - sizes).view(np.int64)
 
 
 def within(a: str, b: str, edits: int = EDITS) -> bool:
@@ -133,59 +136,70 @@ def pairs_with_leads(met: DataFrame, edits: int) -> DataFrame:
     return found.select(F.greatest("id", "lead").alias("a"), F.least("id", "lead").alias("b")).distinct()
 
 
-def cells(met: DataFrame, roots: DataFrame) -> DataFrame:
-    """The lines of keys that hold several classes, dealt into cells of at most ``CHUNK`` indexed and ``CHUNK`` probing lines."""
+def several_classes(met: DataFrame, roots: DataFrame) -> DataFrame:
+    """``(key, id, sketch, indexed, root)``: the lines of keys that hold several classes."""
     wide = met.where("several").select("key", "id", "sketch", "indexed").join(roots, F.col("id") == F.col("node"), "left")
     wide = wide.select("key", "id", "sketch", "indexed", F.coalesce("root", "id").alias("root"))
-    sizes = wide.groupBy(F.col("key").alias("k")).agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n"), F.count_if("indexed").alias("x"))
-    still = wide.join(sizes.where("low < high"), F.col("key") == F.col("k"))
-    rows, columns = F.ceil(F.col("x") / CHUNK), F.ceil(F.col("n") / CHUNK)
+    spans = wide.groupBy(F.col("key").alias("k")).agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    return wide.join(spans.where("low < high").select("k"), F.col("key") == F.col("k")).drop("k")
+
+
+def cells(wide: DataFrame) -> DataFrame:
+    """``wide`` dealt into cells of at most ``CHUNK`` indexed and ``CHUNK`` probing lines; of fewer if it has long texts."""
+    length = F.max(F.length("line")) if "line" in wide.columns else F.max(F.lit(1))
+    sizes = wide.groupBy(F.col("key").alias("k")).agg(F.count("*").alias("n"), F.count_if("indexed").alias("x"), length.alias("length"))
+    met = wide.join(sizes.where("x > 0"), F.col("key") == F.col("k"))
+    chunk = F.least(F.lit(CHUNK), F.greatest(F.lit(1), F.floor(F.lit(CELL_CHARS) / F.col("length"))))
+    rows, columns = F.ceil(F.col("x") / chunk), F.ceil(F.col("n") / chunk)
     here = F.xxhash64("id")
-    index = still.where("indexed").select("key", F.pmod(here, rows).alias("i"), F.explode(F.sequence(F.lit(0).cast("long"), columns - 1)).alias("j"), "id", "sketch", "root", F.lit(True).alias("indexed"))
-    probe = still.select("key", F.explode(F.sequence(F.lit(0).cast("long"), rows - 1)).alias("i"), F.pmod(here, columns).alias("j"), "id", "sketch", "root", F.lit(False).alias("indexed"))
+    rest = [c for c in wide.columns if c not in ("key", "indexed")]
+    index = met.where("indexed").select("key", F.pmod(here, rows).alias("i"), F.explode(F.sequence(F.lit(0).cast("long"), columns - 1)).alias("j"), *rest, F.lit(True).alias("indexed"))
+    probe = met.select("key", F.explode(F.sequence(F.lit(0).cast("long"), rows - 1)).alias("i"), F.pmod(here, columns).alias("j"), *rest, F.lit(False).alias("indexed"))
     return index.union(probe)
 
 
-def pairs_of_cell(rows: dict[str, np.ndarray], spanning: bool, edits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of a cell in different classes and near in their sketches; if ``spanning``, as many as join the classes."""
-    x, y = np.flatnonzero(rows["indexed"]), np.flatnonzero(~rows["indexed"])
-    lefts, rights = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+def near_of(rows: pa.Table, edits: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Indexed lines of a cell, some at a time, its probing lines, and which of them are near in their sketches."""
+    indexed, sketch = rows["indexed"].to_numpy(), rows["sketch"].to_numpy()
+    x, y = np.flatnonzero(indexed), np.flatnonzero(~indexed)
     for at in range(0, len(x), 256):
         part = x[at : at + 256]
-        near = np.bitwise_count(rows["sketch"][part][:, None] ^ rows["sketch"][y][None, :]) <= 2 * edits
-        a, b = np.nonzero(near & (rows["root"][part][:, None] != rows["root"][y][None, :]))
-        lefts.append(part[a])
-        rights.append(y[b])
-    a, b = np.concatenate(lefts), np.concatenate(rights)
-    if spanning:
-        root: dict[int, int] = {}
-
-        def find(k: int) -> int:
-            while root.get(k, k) != k:
-                root[k] = k = root.get(root[k], root[k])
-            return k
-
-        keep = np.zeros(len(a), bool)
-        for i, (u, v) in enumerate(zip(rows["root"][a].tolist(), rows["root"][b].tolist())):
-            u, v = find(u), find(v)
-            keep[i] = u != v
-            root[u] = v
-        a, b = a[keep], b[keep]
-    return rows["id"][a], rows["id"][b]
-
-
-def pairs_apart(met: DataFrame, roots: DataFrame, spanning: bool, edits: int) -> DataFrame:
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+        yield part, y, np.bitwise_count(sketch[part][:, None] ^ sketch[y][None, :]) <= 2 * edits
+
+
+def partners(rows: pa.Table, edits: int) -> list[np.ndarray]:
+    """The lines of a cell that are near one of another class."""
+    root, some = rows["root"].to_numpy(), np.zeros(rows.num_rows, bool)
+    for part, y, near in near_of(rows, edits):
+        near &= root[part][:, None] != root[y][None, :]
+        some[part] |= near.any(axis=1)
+        some[y] |= near.any(axis=0)
+    return [np.unique(rows["id"].to_numpy()[some])]
+
+
+def links_of_cell(rows: pa.Table, edits: int) -> list[np.ndarray]:
+    """Verified links that join the classes of a cell as far as all of its links would: fewer than it has lines."""
+    ids, root, text = rows["id"].to_numpy(), rows["root"].to_numpy().copy(), rows["line"].to_pylist()
+    found: list[tuple[int, int]] = []
+    for part, y, near in near_of(rows, edits):
+        for here, k in zip(near, part.tolist()):
+            for m in y[here & (root[y] != root[k])].tolist():
+                if root[m] != root[k] and within(text[k], text[m], edits):
+                    found.append((k, m))
+                    root[root == root[m]] = root[k]
+    a, b = ids[np.array([k for k, _ in found], np.int64)], ids[np.array([m for _, m in found], np.int64)]
+    return [np.maximum(a, b), np.minimum(a, b)]
+
+
+def over_cells(dealt: DataFrame, find: Callable[[pa.Table, int], list[np.ndarray]], names: list[str], edits: int) -> DataFrame:
+    """What ``find`` gives for each cell. A cell arrives as a run of equal ``(key, i, j)``."""
+
+    def out(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in find(pa.Table.from_batches(parts), edits)], names)
 
     def work(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: list[pa.RecordBatch] = []
         last = None
-
-        def out(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
-            whole = pa.Table.from_batches(parts)
-            a, b = pairs_of_cell({c: whole[c].to_numpy() for c in ("id", "sketch", "root", "indexed")}, spanning, edits)
-            return pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], schema=schema)
-
         for batch in stream:
             if not batch.num_rows:
                 continue
@@ -200,34 +214,39 @@ def pairs_apart(met: DataFrame, roots: DataFrame, spanning: bool, edits: int) ->
                 rest.append(batch.slice(low, high - low))
         if rest:
             yield out(rest)
+        give_back()
 
-    bound_batches(met.sparkSession)
-    dealt = cells(met, roots).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    return dealt.mapInArrow(work, "a long, b long").distinct()
+    bound_batches(dealt.sparkSession)
+    ordered = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    return ordered.mapInArrow(work, ", ".join(f"{n} long" for n in names)).distinct()
 
 
 def linked_lines(lines: DataFrame, edits: int = EDITS) -> tuple[DataFrame, list[str]]:
     """``(node, root)`` of the lines that are linked with others, and the paths it lives in."""
     spark = lines.sparkSession
-    met, met_path = written(meetings(lines.where("sketch is not null"), edits), "meetings")
-    links = spark.createDataFrame([], "a long, b long")
-    roots = spark.createDataFrame([], "node long, root long")
-    paths = [met_path]
-    for find in (pairs_with_leads(met, edits), True, False):
-        pairs = pairs_apart(met, roots, find, edits) if isinstance(find, bool) else find
-        found, found_path = written(verified(written_pairs(pairs, paths), lines, edits), "links")
-        paths.append(found_path)
-        if not found.isEmpty():
-            links = links.union(found)
-            roots, roots_path = components(links)
-            paths.append(roots_path)
-    return roots, paths
+    paths: list[str] = []
 
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        table, path = written(df, name)
+        paths.append(path)
+        return table
 
-def written_pairs(pairs: DataFrame, paths: list[str]) -> DataFrame:
-    table, path = written(pairs, "pairs")
-    paths.append(path)
-    return table
+    met = keep(meetings(lines.where("sketch is not null"), edits), "meetings")
+    links = keep(verified(keep(pairs_with_leads(met, edits), "pairs"), lines, edits), "links")
+    roots = spark.createDataFrame([], "node long, root long")
+    if not links.isEmpty():
+        roots, path = components(links)
+        paths.append(path)
+    wide = keep(several_classes(met, roots), "wide")
+    alive = keep(over_cells(cells(wide), partners, ["id"], edits), "alive")
+    if alive.isEmpty():
+        return roots, paths
+    texts = keep(lines_of(alive, lines), "alive-lines")
+    more = keep(over_cells(cells(wide.join(texts, "id")), links_of_cell, ["a", "b"], edits), "links")
+    if not more.isEmpty():
+        roots, path = components(links.union(more))
+        paths.append(path)
+    return roots, paths
 
 
 def place_of(key: Column) -> Column:
@@ -239,12 +258,17 @@ def places(keys: Column, df: DataFrame) -> DataFrame:
     return df.select(place_of(keys).alias("place")).distinct()
 
 
-def verified(pairs: DataFrame, lines: DataFrame, edits: int = EDITS) -> DataFrame:
-    """The pairs whose lines are within ``edits``. Lines in no place of a paired id stay where they are."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+def lines_of(ids: DataFrame, lines: DataFrame) -> DataFrame:
+    """``(id, line)`` of distinct ids. Lines in no place of an id stay where they are."""
     # At most PLACES numbers, so they fit any broadcast.
     near = lines.select("id", "line", place_of(F.col("id")).alias("place")).join(F.broadcast(places(F.col("id"), ids)), "place", "left_semi")
-    some, _ = written(near.join(ids, "id").select("id", "line"), "pair-lines")
+    return near.join(ids, "id").select("id", "line")
+
+
+def verified(pairs: DataFrame, lines: DataFrame, edits: int = EDITS) -> DataFrame:
+    """The pairs whose lines are within ``edits``."""
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    some, _ = written(lines_of(ids, lines), "pair-lines")
     left = some.select(F.col("id").alias("a"), F.col("line").alias("line_a"))
     right = some.select(F.col("id").alias("b"), F.col("line").alias("line_b"))
 
@@ -281,8 +305,13 @@ def distinct_lines(docs: DataFrame, found: DataFrame) -> DataFrame:
     unique = each.join(taken, "place", "left_anti").select("line").union(each.join(taken, "place", "left_semi").select("line").distinct())
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        marks = [sketch(x) if len(x) >= MIN_CHARS else None for x in batch["line"].to_pylist()]
-        return batch.append_column("sketch", pa.array(marks, pa.int64()))
+        held = batch["line"].to_pylist()
+        long = [i for i, x in enumerate(held) if len(x) >= MIN_CHARS]
+        marks, none = np.zeros(len(held), np.int64), np.ones(len(held), bool)
+        for at in range(0, len(long), CHUNK):
+            now = long[at : at + CHUNK]
+            marks[now], none[now] = sketches([held[i] for i in now]), False
+        return batch.append_column("sketch", pa.array(marks, mask=none))
 
     sketched = by_arrow(unique, "line string, sketch long", work)
     return written(sketched.select(F.monotonically_increasing_id().alias("id"), digest(F.col("line")).alias("digest"), "line", "sketch"), "lines", "zstd")[0]
