@@ -3,9 +3,11 @@
 import math
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -228,3 +230,27 @@ def test_queries_match_sql(spark, key):
 
     folder = "/root/testdata/sf0.001"
     assert parity.differences(queries.QUERIES[key](spark, folder), parity.connect(folder), oracles.STATEMENTS[key]) == []
+
+
+def test_pairs_of_a_cell_are_never_held_all_at_once():
+    """A list of copies has a million pairs in a cell; what is wanted of them is taken as they come."""
+    n, sketch = 1024, ngrams.Rule(5, 80, 100).sketch(np.arange(600, dtype=np.uint64))
+    own = {"gid": np.arange(n), "n": np.full(n, 600), "pos": np.zeros(n, np.int64), "low": np.arange(n), "high": np.arange(n), "members": np.ones(n, np.int64)}
+    rows = pa.table({**own, "sketch": pa.array([sketch] * n, pa.binary())})
+    entries, rule, places = ngrams.Entries(rows), ngrams.Rule(5, 80, 100), np.arange(n)
+    for find, want in ((ngrams.spanning_pairs, n - 1), (ngrams.partners, n)):
+        tracemalloc.start()
+        a, _ = ngrams.pairs_of_cell(entries, places, places, True, rule, find)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert len(a) == want and peak < 48 << 20
+    assert len(ngrams.pairs_of_cell(entries, places, places, True, rule, ngrams.every_pair)[0]) == n * (n - 1) // 2
+
+
+def test_sketches_move_with_the_cells_only(spark, monkeypatch):
+    """Lists are counted without sketches: the rows that a list's size is joined to are small."""
+    seen, counted = [], ngrams.counted
+    monkeypatch.setattr(ngrams, "counted", lambda lists: (seen.append(set(lists.columns)), counted(lists))[1])
+    docs = spark.createDataFrame([(i, "a b c d e f g h i j k " + str(i // 2)) for i in range(8)], "doc_id long, text string")
+    assert ngrams.similar_documents(docs).count() == 8
+    assert seen and all("sketch" not in c for c in seen)

@@ -49,7 +49,7 @@ ROUNDS = 2
 CHUNK = 1024
 SHORT = 32  # entries of lists that are compared many at a time
 LEAST_BITS, MOST_BITS = 256, 1 << 16
-MINI = LEAST_BITS // 8  # bytes of the sketch that finds partners at first
+SKETCH_BYTES = 1 << 22  # of sketches that are compared at once
 MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
 
@@ -268,13 +268,18 @@ class Entries:
         sizes = np.minimum(self.bytes[a], self.bytes[b])
         for size, table in self.sketches.items():
             own = np.flatnonzero(single & (sizes == size))
-            for at in range(0, len(own), 1 << 16):
-                now = own[at : at + (1 << 16)]
+            step = max(1, SKETCH_BYTES // size)
+            for at in range(0, len(own), step):
+                now = own[at : at + step]
                 bits = np.bitwise_count((table[a[now]] ^ table[b[now]]).view(np.uint64)).sum(axis=1, dtype=np.int64)
                 keep[now] = bits <= apart[now]
         return a[keep], b[keep]
 
 
+#: Leaves those of pairs of places that are wanted; what it gives for parts of the pairs, it can be given again.
+Find = Callable[[Entries, np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
+
+
 def pairs_of_runs(entries: Entries, run: np.ndarray, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
     """The filtered pairs within each run of short lists, all runs at once."""
     lefts, rights = [], []
@@ -289,8 +294,8 @@ def pairs_of_runs(entries: Entries, run: np.ndarray, rule: Rule) -> tuple[np.nda
     return np.concatenate([none, *lefts]), np.concatenate([none, *rights])
 
 
-def pairs_of_cell(entries: Entries, x: np.ndarray, y: np.ndarray, same: bool, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
-    """The filtered pairs of two chunks, or of one."""
+def pairs_of_cell(entries: Entries, x: np.ndarray, y: np.ndarray, same: bool, rule: Rule, find: Find) -> tuple[np.ndarray, np.ndarray]:
+    """What ``find`` leaves of the filtered pairs of two chunks, or of one; they are never held all at once."""
     none = np.empty(0, np.int64)
     lefts, rights = [none], [none]
     for at in range(0, len(x), 128):
@@ -298,20 +303,21 @@ def pairs_of_cell(entries: Entries, x: np.ndarray, y: np.ndarray, same: bool, ru
         a, b = np.repeat(part, len(y)), np.tile(y, len(part))
         if same:
             a, b = a[a < b], b[a < b]
-        a, b = entries.filtered(a, b, rule)
+        a, b = find(entries, *entries.filtered(a, b, rule))
         lefts.append(a)
         rights.append(b)
-    return np.concatenate(lefts), np.concatenate(rights)
+    return find(entries, np.concatenate(lefts), np.concatenate(rights))
 
 
 def partners(entries: Entries, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The groups that have a partner, each as a pair of itself."""
-    found = np.unique(np.append(entries.gid[a], entries.gid[b]))
+    found = np.append(a, b)
+    found = found[np.unique(entries.gid[found], return_index=True)[1]]
     return found, found
 
 
 def every_pair(entries: Entries, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return entries.gid[a], entries.gid[b]
+    return a, b
 
 
 def spanning_pairs(entries: Entries, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -329,10 +335,7 @@ def spanning_pairs(entries: Entries, a: np.ndarray, b: np.ndarray) -> tuple[np.n
         u, v = find(u), find(v)
         keep[at] = u != v
         root[u] = v
-    return entries.gid[a[keep]], entries.gid[b[keep]]
-
-
-Find = Callable[[Entries, np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
+    return a[keep], b[keep]
 
 
 def over_cells(cells: DataFrame, rule: Rule, find: Find) -> DataFrame:
@@ -354,10 +357,10 @@ def over_cells(cells: DataFrame, rule: Rule, find: Find) -> DataFrame:
         for low, size in zip(begins[~short].tolist(), sizes[~short].tolist()):
             places = np.arange(low, low + size)
             x, y = places[chunk[places] == keys[1, low]], places[chunk[places] == keys[2, low]]
-            a, b = pairs_of_cell(entries, x, y, keys[1, low] == keys[2, low], rule)
+            a, b = pairs_of_cell(entries, x, y, keys[1, low] == keys[2, low], rule, find)
             lefts.append(a)
             rights.append(b)
-        a, b = find(entries, np.concatenate(lefts), np.concatenate(rights))
+        a, b = (entries.gid[c] for c in find(entries, np.concatenate(lefts), np.concatenate(rights)))
         return pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], schema=schema)
 
     def work(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -516,7 +519,8 @@ class PrefixJoin(Spanning):
         every = self.keep(both, "postings")
         # Any pair of members may have a link, so a group of several always has partners.
         mini = groups.select("meeting", "gid", "members", "sketch")
-        met = counted(every.join(mini, "meeting").drop("meeting"))
+        # Lists are counted before sketches come along, so these move once, with the cells.
+        met = counted(every).join(mini, "meeting").drop("meeting")
         marks = over_cells(in_cells(met.withColumns({"low": F.col("gid"), "high": F.col("gid")})), self.rule, partners)
         alive = self.keep(marks.select(F.col("a").alias("gid")).union(groups.where("members > 1").select("gid")).distinct(), "alive")
         lists = every.join(groups.select("meeting", "gid"), "meeting").join(alive, "gid", "left_semi").select("token", "pos", "gid", "n")
