@@ -20,7 +20,6 @@ import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 import zstandard
@@ -302,14 +301,17 @@ def read_tokens(manifest: DataFrame) -> DataFrame:
     As many tasks as files: the manifest is tiny, the files are not, and its own size would put all of them in one task.
     """
 
-    def work(stream: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    names = ["doc_id", "start", "n_tokens", "ids_crc32"]
+
+    def work(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for files in stream:
-            for path, start in zip(files["path"], files["start"]):
+            for path, start in zip(files["path"].to_pylist(), files["start"].to_pylist()):
                 store, place = open_store(path)
                 with store.open_input_file(place) as source:
                     found = [(doc_id, start + before, len(ids), zlib.crc32(ids.astype("<u4").tobytes())) for doc_id, before, ids in read_file(source)]
-                out = pd.DataFrame(found, columns=["doc_id", "start", "n_tokens", "ids_crc32"])
-                yield out.astype({"doc_id": "Int64"})
+                if found:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], names)
+        give_back()
 
     spread = manifest.select("part", "path", "start").repartitionByRange(max(1, manifest.count()), "part")
-    return spread.mapInPandas(work, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return spread.mapInArrow(work, "doc_id long, start long, n_tokens long, ids_crc32 long")
