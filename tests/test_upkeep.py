@@ -198,3 +198,16 @@ def test_clustering_by_several_keys(spark, lake):
         assert sum(s.b0 <= value <= s.b1 for s in spans) < len(spans) / 3
     maintenance.cluster_multi(lake, "gold", "t", keys=["c", "a"], run_id="r2", target_bytes=size // 8)
     assert rows(lake.read("gold", "t")) == rows(df)
+
+
+def test_range_ranks_take_a_few_comparisons_a_row(spark):
+    cuts = [-3.0, -3.0, 0.0, 0.5, 0.5, 0.5, 7.0]
+    values = [-9.0, -3.0, -1.0, 0.0, 0.5, 0.6, 7.0, 8.0, None]
+    for n in (0, 1, 4, 7):  # a sketch may give fewer cuts
+        df = spark.createDataFrame([(v, cuts[:n]) for v in values], "v double, c array<double>")
+        got = df.select("v", maintenance._below(F.col("c"), F.col("v"), 3).alias("n")).collect()
+        assert {(r.v, r.n) for r in got if r.v is not None} == {(v, sum(c < v for c in cuts[:n])) for v in values if v is not None}
+    rows_ = spark.range(500).select(F.concat(F.lit("k"), "id").alias("a"), F.col("id").alias("b"))
+    plan = maintenance.interleaved(rows_, ["a", "b"], "z")._jdf.queryExecution().optimizedPlan().toString()
+    per_row = plan[: plan.index("Range (")]
+    assert "filter(" not in per_row.split("scalar-subquery", 1)[0] and "aggregate(" in per_row

@@ -138,6 +138,12 @@ def _common_prefix(low: Column, high: Column) -> Column:
     return F.substr(low, F.lit(1), F.coalesce(F.array_max(same), F.lit(0)))
 
 
+def _below(cuts: Column, value: Column, bits: int) -> Column:
+    """How many of up to ``2 ** bits - 1`` ascending cuts lie below a value, halving what is left: ``bits`` comparisons a row."""
+    steps = F.array(*[F.lit(1 << bit) for bit in reversed(range(bits))])
+    return F.aggregate(steps, F.lit(0), lambda n, step: n + F.when(F.get(cuts, n + step - 1) < value, step).otherwise(0))
+
+
 def interleaved(df: DataFrame, keys: Sequence[str], out: str, bits: int = RANK_BITS) -> DataFrame:
     """``df`` with the interleaved bits of each row's range rank in every key.
 
@@ -149,8 +155,8 @@ def interleaved(df: DataFrame, keys: Sequence[str], out: str, bits: int = RANK_B
     for i, k in enumerate(keys):
         if isinstance(kinds[k], StringType):
             ends = df.agg(F.min(k).alias("low"), F.max(k).alias("high"))
-            numbers = numbers.withColumns({f"_l{i}": ends.select("low").scalar(), f"_h{i}": ends.select("high").scalar()})
-            prefix[k] = _common_prefix(F.col(f"_l{i}"), F.col(f"_h{i}"))
+            numbers = numbers.withColumn(f"_p{i}", ends.select(_common_prefix(F.col("low"), F.col("high"))).scalar())
+            prefix[k] = F.col(f"_p{i}")
     numbers = numbers.withColumns({f"_n{i}": _as_number(F.col(k), kinds[k], prefix.get(k)) for i, k in enumerate(keys)})
     shares = [i / (1 << bits) for i in range(1, 1 << bits)]
     cuts = numbers.agg(*[F.percentile_approx(f"_n{i}", shares, 10_000).alias(f"c{i}") for i in range(len(keys))])
@@ -158,11 +164,11 @@ def interleaved(df: DataFrame, keys: Sequence[str], out: str, bits: int = RANK_B
     for i in range(len(keys)):
         own = F.col(f"_n{i}")
         numbers = numbers.withColumn(f"_c{i}", cuts.select(f"c{i}").scalar())
-        below = F.when(own.isNull(), F.lit(0)).otherwise(F.size(F.filter(F.col(f"_c{i}"), lambda c: c < own)))
+        below = F.when(own.isNull(), F.lit(0)).otherwise(_below(F.col(f"_c{i}"), own, bits))
         numbers = numbers.withColumn(f"_r{i}", below.cast("long"))
         for bit in range(bits):
             value = value + F.shiftleft(F.shiftright(F.col(f"_r{i}"), bit).bitwiseAND(F.lit(1).cast("long")), bit * len(keys) + i)
-    return numbers.withColumn(out, value).drop(*[f"_{x}{i}" for x in "nclhr" for i in range(len(keys))])
+    return numbers.withColumn(out, value).drop(*[f"_{x}{i}" for x in "ncpr" for i in range(len(keys))])
 
 
 def cluster_multi(lake: Lake, layer: str, *parts: str, keys: Sequence[str], run_id: str, target_bytes: int = TARGET_FILE_BYTES) -> None:
