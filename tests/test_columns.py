@@ -77,3 +77,18 @@ def test_stable_row_id_is_uuid5(spark):
 def test_ratio_of_zero_is_null(spark):
     df = spark.createDataFrame([(1, 0), (1, 3), (None, 3)], "a int, b int")
     assert rows(df.select(c.ratio(F.col("a"), F.col("b")))) == sorted([(None,), (0.333333333,), (None,)], key=repr)
+
+
+def test_birth_dates_are_cast_not_parsed_by_a_pattern(spark):
+    df = spark.createDataFrame([("700230",), ("725229",), ("735229",)], "v string").select(c.decode_birth_number(F.col("v")).alias("b"))
+    assert "yyyyMMdd" not in df._jdf.queryExecution().optimizedPlan().toString()
+    assert [str(r.b.birth_date) for r in df.collect()] == ["None", "1972-02-29", "None"]
+    assert [r.b.error for r in df.collect()] == ["impossible calendar date", None, "impossible calendar date"]
+
+
+def test_a_filter_on_a_decoded_field_names_the_number_once(spark):
+    born = spark.range(3).select(F.concat(F.lit("70010"), F.col("id") % 7 + 1).alias("v")).select(c.decode_birth_number(F.col("v")).alias("b"))
+    kept = born.where("b.error is null").select("b.birth_date", "b.gender")
+    condition = [x for x in kept._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Filter" in x]
+    assert len(condition) == 1 and condition[0].count("concat(70010") == 1
+    assert kept.count() == 3

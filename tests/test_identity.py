@@ -112,3 +112,13 @@ def test_relink_keeps_rows_without_customer(spark):
     facts = spark.createDataFrame([(1, "k1", "-1"), (2, "k1", None), (3, "k2", None), (4, "k9", "C9")], "id long, client string, customer_id string")
     again = idn.relink_unknown(facts, xwalk, "berka", "client")
     assert rows(again.select("id", "customer_id")) == [(1, "C1"), (2, "C1"), (3, "-1"), (4, "C9")]
+
+
+def test_a_source_with_overlap_is_read_once(spark):
+    ids = spark.range(777).select(F.col("id").cast("string").alias("k"))
+    xwalk = idn.build_crosswalk([*sources(spark)[:2], idn.KeySource("cards", ids, "k", 4, "C_", 0.4)])
+    assert xwalk._jdf.queryExecution().optimizedPlan().toString().count("Range (0, 777") == 1
+    cards = rows(xwalk.where("source_system = 'cards'").select("native_key", "customer_id"))
+    minted = [(k, c) for k, c in cards if c == f"C_{k}"]
+    assert len(cards) == len({k for k, _ in cards}) == 777 and 777 * 0.5 < len(minted) < 777 * 0.7
+    assert {c for _, c in cards} - {c for _, c in minted} <= {r[0] for r in xwalk.where("source_system <> 'cards'").select("customer_id").collect()}

@@ -27,15 +27,20 @@ def yes_no_to_bool(value: Column) -> Column:
 def decode_birth_number(raw: Column) -> Column:
     """CNF-07: ``YYMMDD`` with 50 added to the month for women, years 1900-1999.
 
-    Gives a struct ``(birth_date, gender, error)``; exactly one of date and error is set.
+    Gives a struct ``(birth_date, gender, error)``; exactly one of date and error is set. The number is bound once: a
+    filter on a field would otherwise work out the expression behind ``raw`` anew at every place the decoding names it.
     """
-    digits = F.trim(raw)
+    return F.transform(F.array(F.trim(raw)), _decoded)[0]
+
+
+def _decoded(digits: Column) -> Column:
     well_formed = F.coalesce(digits.rlike("^[0-9]{6}$"), F.lit(False))
     coded_month = F.substring(digits, 3, 2).try_cast("int")
     female = coded_month > 50
     month = F.when(female, coded_month - 50).otherwise(coded_month)
-    text = F.concat(F.lit("19"), F.substring(digits, 1, 2), F.lpad(month.cast("string"), 2, "0"), F.substring(digits, 5, 2))
-    born = F.when(well_formed & month.between(1, 12), F.try_to_date(text, "yyyyMMdd"))
+    # A cast gives NULL for a day that never was; a pattern would raise and catch an error for each.
+    text = F.concat_ws("-", F.concat(F.lit("19"), F.substring(digits, 1, 2)), F.lpad(month.cast("string"), 2, "0"), F.substring(digits, 5, 2))
+    born = F.when(well_formed & month.between(1, 12), text.try_cast("date"))
     error = (
         F.when(~well_formed, "expected 6 digits")
         .when(~month.between(1, 12), "month out of range")

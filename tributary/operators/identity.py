@@ -46,11 +46,12 @@ def build_crosswalk(sources: Sequence[KeySource]) -> DataFrame:
             taken = share < int(source.overlap * 16**8)
             size = pool.agg(F.count("*")).scalar()
             position = hash_number(salted(f"pick:{source.name}", F.col("native_key")), 15)
-            picks = keys.where(taken).withColumn("_pos", position % size + 1)
-            ranked = distributed_rank(pool, "customer_id", f"pool:{source.name}", "_pos")
-            fresh = keys.where(~taken).select(minted_id.alias("customer_id"), "native_key")
-            mapped = picks.join(ranked, "_pos").select("customer_id", "native_key").unionByName(fresh)
-            minted = fresh.select("customer_id")
+            # One frame for both kinds of keys, so the source is read once; positions below 1 meet nobody and spread like hashes.
+            placed = keys.withColumn("_pos", F.when(taken, position % size + 1).otherwise(-position))
+            ranked = distributed_rank(pool.withColumnRenamed("customer_id", "_picked"), "_picked", f"pool:{source.name}", "_pos")
+            owner = F.coalesce(F.col("_picked"), F.when(F.col("_pos") < 1, minted_id))
+            mapped = placed.join(ranked, "_pos", "left").select(owner.alias("customer_id"), "native_key").where("customer_id is not null")
+            minted = keys.where(~taken).select(minted_id.alias("customer_id"))
         tagged = mapped.select(
             "customer_id",
             F.lit(source.name).alias("source_system"),
