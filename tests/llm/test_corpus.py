@@ -649,6 +649,20 @@ def test_line_copies_match_brute_force(spark):
     assert kept[500] is None and kept[0] == "\n".join(x for k, x in enumerate(texts[0].split("\n")) if str(k) not in want[0][2].split(","))
 
 
+def test_line_keys_and_trimming_walk_no_line(spark):
+    """Lines are trimmed at both ends by all blanks; keys are cut from text of fixed width, alike for any characters."""
+    held = [a + x + b for x in ("", "word", "two\twords", "\u00e9\U0001f600") for a in ("", " ", "\t\x0b") for b in ("", "\r", " \x0c", "\u00a0")]
+    raw = spark.createDataFrame([(x,) for x in [*held, None]], "line string")
+    assert [r[0] for r in raw.select(lines.clean_line(F.col("line"))).collect()] == [x.strip(lines.BLANKS) for x in held] + [None]
+    same = "abcdefghijk"
+    each = spark.createDataFrame([(1, 0, same * 3), (2, 0, same + "\u00e9" * 11 + same), (3, 0, "\U0001f600" * 11 + same + "z" * 11)], "id long, sketch long, line string")
+    found = lines.keyed(each, [(0, i, 0) for i in range(3)], 2)
+    met = {tuple(sorted(r.ids)) for r in found.groupBy("key").agg(F.collect_list("id").alias("ids")).collect()}
+    assert met == {(1, 2), (1, 3), (1, 2), (2,), (3,)}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "substring(line" not in plan and "substring(wide" in plan
+
+
 def test_lines_that_only_look_alike_give_no_pairs(spark):
     """Lines of the same characters pass the sketch; a cell gives verified links, not the square of its lines."""
     rnd = random.Random(11)

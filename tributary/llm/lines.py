@@ -31,12 +31,17 @@ MIN_CHARS = 30
 SKETCH_MIX = np.uint64(0x9E3779B97F4A7C15)
 PLACES = 1 << 20
 CHUNK = 1024
+WIDE = 4
 CELL_CHARS = 4 * 1024 * 1024  # of either side of a cell
 BLANKS = " \t\r\x0b\x0c"
 
 
 def clean_line(line: Column) -> Column:
-    return F.btrim(line, F.lit(BLANKS))
+    """The line without blanks at either end. Trimming walks all characters of a line, so only lines that need it go there."""
+    edge = F.lit(False)
+    for blank in BLANKS:
+        edge = edge | line.startswith(blank) | line.endswith(blank)
+    return F.when(edge, F.btrim(line, F.lit(BLANKS))).otherwise(line)
 
 
 def sketches(lines: list[str]) -> np.ndarray:
@@ -101,12 +106,14 @@ def keyed(lines: DataFrame, places: list[tuple[int, int, int]], edits: int, own:
     If ``own``, also ``indexed``: whether the key is one under which the line itself is indexed.
     """
     entries = ", ".join(f"named_struct('d', {d}, 'i', {i}, 'o', {o})" for d, i, o in places)
-    each = lines.select("id", "sketch", "line", F.length("line").alias("n"), F.expr(f"inline(array({entries}))"))
+    # Four bytes for each character, so that a segment is found without walking the line up to it.
+    wide = lines.select("id", "sketch", F.encode("line", "UTF-32").alias("wide"))
+    each = wide.select("id", "sketch", "wide", F.floor(F.octet_length("wide") / WIDE).cast("int").alias("n"), F.expr(f"inline(array({entries}))"))
     length = F.col("n") - F.col("d")
     begin, size = segment(length, F.col("i"), edits)
     at = begin + F.col("o")
     fits = (at >= 0) & (at + size <= F.col("n")) & (length >= MIN_CHARS)
-    return each.where(fits).select(F.xxhash64(length, F.col("i"), F.substring(F.col("line"), at + 1, size)).alias("key"), "id", "sketch", *([((F.col("d") == 0) & (F.col("o") == 0)).alias("indexed")] if own else []))
+    return each.where(fits).select(F.xxhash64(length, F.col("i"), F.substring(F.col("wide"), WIDE * at + 1, WIDE * size)).alias("key"), "id", "sketch", *([((F.col("d") == 0) & (F.col("o") == 0)).alias("indexed")] if own else []))
 
 
 def meetings(lines: DataFrame, edits: int = EDITS) -> DataFrame:
@@ -254,14 +261,10 @@ def place_of(key: Column) -> Column:
     return F.pmod(F.xxhash64(F.lit(29), key), F.lit(PLACES)).cast("int")
 
 
-def places(keys: Column, df: DataFrame) -> DataFrame:
-    return df.select(place_of(keys).alias("place")).distinct()
-
-
 def lines_of(ids: DataFrame, lines: DataFrame) -> DataFrame:
     """``(id, line)`` of distinct ids. Lines in no place of an id stay where they are."""
     # At most PLACES numbers, so they fit any broadcast.
-    near = lines.select("id", "line", place_of(F.col("id")).alias("place")).join(F.broadcast(places(F.col("id"), ids)), "place", "left_semi")
+    near = lines.select("id", "line", place_of(F.col("id")).alias("place")).join(F.broadcast(ids.select(place_of(F.col("id")).alias("place")).distinct()), "place", "left_semi")
     return near.join(ids, "id").select("id", "line")
 
 
@@ -289,19 +292,19 @@ def digest(line: Column) -> Column:
 
 
 def located(docs: DataFrame) -> DataFrame:
-    """``(row, doc_id, no, digest)`` for each line of ``docs (row, doc_id, text)``, null for blank lines; written."""
+    """``(row, doc_id, no, digest, place)`` for each line of ``docs (row, doc_id, text)``; the digest is null for blank lines. Written."""
     each = split_lines(docs, "row", "doc_id")
-    return written(each.select("row", "doc_id", "no", digest(F.col("line")).alias("digest")), "located")[0]
+    return written(each.select("row", "doc_id", "no", digest(F.col("line")).alias("digest"), place_of(F.col("line")).alias("place")), "located")[0]
 
 
 def distinct_lines(docs: DataFrame, found: DataFrame) -> DataFrame:
     """``(id, digest, line, sketch)`` for each distinct line; the sketch only for lines long enough to be compared.
 
-    Lines whose digest shares its place with no digest that repeats are distinct where they stand; only the others move.
+    Lines that share their place with no line that repeats are distinct where they stand; only the others move.
     """
-    repeated = found.where("digest is not null").groupBy("digest").agg(F.count("*").alias("n")).where("n > 1")
-    taken = F.broadcast(places(F.col("digest"), repeated))
-    each = split_lines(docs).where("line <> ''").select("line", digest(F.col("line")).alias("digest")).select("*", place_of(F.col("digest")).alias("place"))
+    repeated = found.where("digest is not null").groupBy("digest").agg(F.count("*").alias("n"), F.min("place").alias("place")).where("n > 1")
+    taken = F.broadcast(repeated.select("place").distinct())
+    each = split_lines(docs).where("line <> ''").select("line", place_of(F.col("line")).alias("place"))
     unique = each.join(taken, "place", "left_anti").select("line").union(each.join(taken, "place", "left_semi").select("line").distinct())
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -326,7 +329,7 @@ def line_classes(found: DataFrame, docs: DataFrame, edits: int = EDITS) -> DataF
     lines = distinct_lines(docs, found)
     roots, paths = linked_lines(lines, edits)
     known = lines.select("digest", "id").join(roots, F.col("id") == F.col("node"), "left").select("digest", F.coalesce("root", "id").alias("class"))
-    placed, _ = written(found.join(known, "digest", "left").drop("digest"), "placed")
+    placed, _ = written(found.join(known, "digest", "left").drop("digest", "place"), "placed")
     discard(docs.sparkSession, *paths)
     order = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("d"), F.col("row").alias("r"), F.col("no").alias("l"))
     # Written, so that the join is free to split a hot class.
