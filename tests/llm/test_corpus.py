@@ -649,6 +649,14 @@ def test_line_copies_match_brute_force(spark):
     assert kept[500] is None and kept[0] == "\n".join(x for k, x in enumerate(texts[0].split("\n")) if str(k) not in want[0][2].split(","))
 
 
+def test_training_gives_its_memory_back(spark, monkeypatch):
+    calls = []
+    monkeypatch.setattr(quality, "give_back", lambda: calls.append(1), raising=False)
+    docs = spark.createDataFrame([(i, f"text {i} " * 5) for i in range(8)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(8)], "doc_id long, quality int")
+    assert quality.fit(docs, labels, updates=1).weights is not None and calls == [1]
+
+
 def test_line_keys_and_trimming_walk_no_line(spark):
     """Lines are trimmed at both ends by all blanks; keys are cut from text of fixed width, alike for any characters."""
     held = [a + x + b for x in ("", "word", "two\twords", "\u00e9\U0001f600") for a in ("", " ", "\t\x0b") for b in ("", "\r", " \x0c", "\u00a0")]

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import by_arrow, free_names, text_bytes, text_or_empty
+from .common import by_arrow, free_names, give_back, text_bytes, text_or_empty
 
 CHUNK, STRIDE, WIDTH = 512, 480, 6
 FILTERS, EMBEDDING, HIDDEN = 16, 8, 16
@@ -185,9 +185,10 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN_ROWS, max_
     of_each = [a + chunk_starts(n) for a, n in zip(begins, lengths)]
     sizes = np.array([len(c) for c in of_each])
     starts, ends = np.concatenate(of_each), np.repeat(begins + lengths, sizes)
-    return Network(train(
-        data, starts, ends, np.cumsum(sizes) - sizes, y, np.where(y == 1, per_class[1], per_class[0]), updates,
-    ))
+    weights = train(data, starts, ends, np.cumsum(sizes) - sizes, y, np.where(y == 1, per_class[1], per_class[0]), updates)
+    del rows, data
+    give_back()  # the driver lives on through all later stages
+    return Network(weights)
 
 
 def score_texts(net: Network, column: pa.Array) -> np.ndarray:
